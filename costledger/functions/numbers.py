@@ -17,30 +17,46 @@ AMOUNT = "decimal(28,10)"
 STRICT = "decimal(38,10)"
 
 
-def _as_double(text: Column) -> Column:
-    number = F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit(""))).try_cast("double")
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+# Texts of these characters only need no closer look before the cast.
+_DIGITS = "0123456789.+-"
+
+
+def _as_double(c: Column | str, ignored: str = "") -> Column:
+    """Finite number in a text without the ``ignored`` characters, else NULL.
+
+    Most cells are plain digits and take the short way; the pattern and the strip are for the others.
+    """
+    cell = _col(c).cast("string")
+    plain = F.translate(cell, _DIGITS + ignored, "") == ""
+    cell = F.translate(cell, ignored, "") if ignored else cell
+    text = ustrip(cell)
+    number = F.when(plain, cell.try_cast("double")).when(
+        text.rlike(FLOAT_TEXT), F.translate(text, "_", "").try_cast("double")
+    )
+    # infinite minus itself is not a number; a test by ``when`` would parse the text twice
+    return F.nanvl(number - number + number, F.lit(None).cast("double"))
 
 
 def money(c: Column | str) -> Column:
     """Money text as double, NULL when missing, unreadable or not finite; ``$`` and ``,`` are ignored."""
-    return _as_double(ustrip(F.translate(_col(c).cast("string"), "$,", "")))
+    return _as_double(c, "$,")
 
 
 def head_count(c: Column | str) -> Column:
     """Count text as bigint cut towards zero, NULL when missing or unreadable; only ``,`` is ignored."""
-    return _as_double(ustrip(F.translate(_col(c).cast("string"), ",", ""))).try_cast("bigint")
+    return _as_double(c, ",").try_cast("bigint")
 
 
 def loose_number(c: Column | str) -> Column:
     """Number text as double with 0 for all that does not read as one; grouping and ``$`` do not."""
-    text = ustrip(c)
-    number = F.when(text.rlike(PLAIN_FLOAT_TEXT), text.try_cast("double"))
-    endless = F.when(
-        text.rlike(INFINITE_TEXT),
-        F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))),
+    cell = _col(c).cast("string")
+    text = ustrip(cell)
+    return F.coalesce(
+        F.when(F.translate(cell, _DIGITS, "") == "", cell.try_cast("double"))
+        .when(text.rlike(PLAIN_FLOAT_TEXT), text.try_cast("double"))
+        .when(text.rlike(INFINITE_TEXT), F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))),
+        F.lit(0.0),
     )
-    return F.coalesce(number, endless, F.lit(0.0))
 
 
 def whole_year(c: Column | str) -> Column:
@@ -53,13 +69,13 @@ def whole_year(c: Column | str) -> Column:
 def strict_decimal(c: Column | str) -> Column:
     """Decimal out of text without ``,``; NULL when it does not read as one."""
     text = ustrip(F.translate(_col(c).cast("string"), ",", ""))
-    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit(""))).try_cast(STRICT)
+    return F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
 
 
 def lenient_decimal(c: Column | str) -> Column:
     """Decimal out of text, 0 for NULL and blank; NULL when it does not read as one."""
     text = ustrip(c)
-    number = F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit(""))).try_cast(STRICT)
+    number = F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
     return F.when(text.isNull() | (text == ""), F.lit(0).cast(STRICT)).otherwise(number)
 
 

@@ -1,4 +1,4 @@
-"""Text functions."""
+"""Text functions, and a guard against parsing texts twice."""
 
 from __future__ import annotations
 
@@ -68,12 +68,13 @@ def is_summary_word(c: Column | str) -> Column:
 
 def extract_year(c: Column | str) -> Column:
     """The leftmost year of 1900 to 2099 anywhere in the text, also inside a longer run of digits."""
-    return F.nullif(F.regexp_extract(_col(c), r"(19|20)[0-9]{2}", 0), F.lit("")).try_cast("int")
+    return F.regexp_extract(_col(c), "(19|20)[0-9]{2}", 0).try_cast("int")
 
 
 def extract_tr_code(c: Column | str) -> Column:
     """The seven digits at the start of the text after optional zeros, else NULL."""
-    return F.nullif(F.regexp_extract(ustrip(c), r"^0*([0-9]{7})", 1), F.lit(""))
+    found = F.regexp_extract(_col(c), rf"\A{WHITESPACE_CLASS}*0*([0-9]{{7}})", 1)
+    return F.when(F.length(found) == 7, found)
 
 
 def zero_pad(c: Column | str, width: int = 7) -> Column:
@@ -110,3 +111,13 @@ def is_tr_code(c: Column | str) -> Column:
 
 def column_name(prefix: object, suffix: str) -> str:
     return f"{prefix} {suffix}"
+
+
+def computed_once(c: Column) -> Column:
+    """The same value, as a column that filters on it do not compute again.
+
+    Catalyst pushes a filter below the projection that computes its input, and the texts are then parsed both for the
+    filter and for the result. It leaves filters above a projection that depends on the task, as this one
+    does in form only.
+    """
+    return F.when(F.spark_partition_id() >= 0, c)

@@ -25,7 +25,7 @@ SCHOOL_KEYS = ["school", "year"]
 def classify_rows(raw: DataFrame) -> DataFrame:
     """Typed contract rows, each with the first reason to drop it or ``kept``.
 
-    One projection without a shuffle: counting and keeping are both done on its result.
+    No shuffle, and each text is parsed once: counting and keeping are both done on the result.
     """
     keys = ["school", "subject_no", "subject"]
     typed = raw.select(
@@ -35,14 +35,15 @@ def classify_rows(raw: DataFrame) -> DataFrame:
         N.head_count("student_count").alias("students"),
     )
     missing_key = reduce(or_, [F.col(k).isNull() | (F.col(k) == "") for k in keys])
+    summary = F.lower("school").isin(*X.SUMMARY_WORDS) | F.lower("subject").isin(*X.SUMMARY_WORDS)
     reason = (
-        F.when(F.lower("school").isin(*X.SUMMARY_WORDS) | F.lower("subject").isin(*X.SUMMARY_WORDS), SUMMARY)
+        F.when(summary, SUMMARY)
         .when(missing_key, MISSING_KEY)
         .when(F.col("year").isNull(), NO_YEAR)
         .when(F.col("students") < 0, NEGATIVE)
         .otherwise(KEPT)
     )
-    return typed.withColumn("reason", reason)
+    return typed.withColumn("reason", X.computed_once(reason))
 
 
 def clean_rows(classified: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -17,13 +18,18 @@ BLOCK = 65_536
 MAX_BROADCAST_SEGMENTS = 200_000
 
 
+def _block_of(key: str, block: int) -> Column:
+    # never NULL: else a join filters one of its sides for it, and the two no longer share their shuffle
+    return F.coalesce(F.floor(F.col(key) / block).cast("bigint"), F.lit(0))
+
+
 def running_before(df: DataFrame, key: str, value: str, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """Add ``before``: the sum of ``value`` over the rows with a smaller ``key`` (unique, integral, in ``by``).
 
     Two levels: totals of blocks of keys are run up first, then each block on its own, so a window holds at most
     ``block`` rows, and the upper one a row per block.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(key) / block).cast("bigint"))
+    blocked = df.withColumn("_block", _block_of(key, block))
     totals = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_total"))
     upper = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     starts = totals.select(*by, "_block", F.coalesce(F.sum("_total").over(upper), F.lit(0)).alias("_start"))
@@ -56,24 +62,48 @@ def number_sorted(df: DataFrame, order: Sequence[Column | str], alias: str = "ro
 def number_source(df: DataFrame, alias: str = "src_row", per_file: bool = False, start: int = 0) -> DataFrame:
     """Number the rows of a file scan in source order: by file path, then by place in the file.
 
-    ``df`` is a scan, or carries ``source_file`` and ``source_split`` from one. Splits of a file may be packed
-    into tasks in any order, so rows are placed by (file, split, place in the task). The scan is stored once: a
-    second scan could be split in another way.
+    Parquet knows the place of a row in its file: only the row counts of the files are gathered, and nothing is
+    stored. For text files see ``_number_splits``. ``df`` is a scan, whole, or carries ``source_file`` and
+    ``source_split`` from one.
+    """
+    if "source_split" in df.columns:
+        return _number_splits(df, alias, per_file, start)
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("_pos"))
+    except AnalysisException:  # not Parquet
+        return _number_splits(with_source(df), alias, per_file, start)
+    if per_file:
+        offsets = None
+        number = F.col("_pos") + start
+    else:
+        files = materialise(placed.groupBy("source_file").agg(F.count("*").alias("_n")), "files")
+        offsets = _offsets(files, ["source_file"])
+        number = F.col("_pos") + F.col("before") + start
+    located = placed if offsets is None else placed.join(offsets, "source_file")
+    return located.select(*df.columns, "source_file", number.cast("bigint").alias(alias))
+
+
+def _offsets(pieces: DataFrame, keys: list[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows before each piece of the source (``_n`` rows each), broadcast where there are few pieces."""
+    # numbers of the pieces in order of their keys are the key for the running total
+    ranked = number_sorted(pieces, keys, "_rank")
+    offsets = materialise(running_before(ranked, "_rank", "_n", by).drop("_rank", "_n"), "offsets")
+    return F.broadcast(offsets) if offsets.count() <= MAX_BROADCAST_SEGMENTS else offsets
+
+
+def _number_splits(df: DataFrame, alias: str, per_file: bool, start: int) -> DataFrame:
+    """Number the rows of a text scan.
+
+    Splits of a file may be packed into tasks in any order, so rows are placed by (file, split, place in the task).
+    The scan is stored once: a second scan could be split in another way.
     """
-    if "source_split" not in df.columns:
-        df = with_source(df)
-    segment = ["source_file", "source_split"]
+    keys = ["source_file", "source_split"]
     stored = materialise(df.withColumn("_pos", F.monotonically_increasing_id()), "source")
-    splits = stored.groupBy(*segment).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-    # numbers of the splits in order of (file, split) are the key for the running total
-    ranked = number_sorted(splits, segment, "_rank")
-    before = running_before(ranked, "_rank", "_n", ["source_file"] if per_file else [])
-    offsets = materialise(before.select(*segment, (F.col("before") - F.col("_first")).alias("_shift")), "offsets")
-    if offsets.count() <= MAX_BROADCAST_SEGMENTS:
-        offsets = F.broadcast(offsets)
-    number = (F.col("_pos") + F.col("_shift") + start).cast("bigint")
+    splits = stored.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
+    offsets = _offsets(splits, keys, ["source_file"] if per_file else [])
+    number = (F.col("_pos") - F.col("_first") + F.col("before") + start).cast("bigint")
     kept = [c for c in df.columns if c != "source_split"]
-    return stored.join(offsets, segment).select(*kept, number.alias(alias))
+    return stored.join(offsets, keys).select(*kept, number.alias(alias))
 
 
 def with_source(scan: DataFrame) -> DataFrame:
@@ -93,7 +123,8 @@ def previous_value(
     One file may hold all the rows, so a window over a file would be one task. Windows here cover blocks of the
     order column; the first row of a block takes the last value of the block before it that has rows.
     """
-    blocked = df.withColumn("_block", F.floor(F.col(order) / block).cast("bigint"))
+    # one shuffle serves the windows, the last values and the join
+    blocked = df.withColumn("_block", _block_of(order, block)).repartition(by, "_block")
     last = blocked.groupBy(by, "_block").agg(F.max_by(value, order).alias("_last"))
     carried = last.select(
         by, "_block", F.lag("_last").over(W.partitionBy(by).orderBy("_block")).alias("_carried")

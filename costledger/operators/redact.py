@@ -20,8 +20,9 @@ from costledger.session import materialise
 # The tasks get the functions themselves, so the package need not be installed where they run.
 cloudpickle.register_pickle_by_value(redaction)
 
-# Largest dictionary that is sent to every task, in characters of keys and aliases.
-MAX_BROADCAST_CHARS = 64_000_000
+# Largest dictionary that is sent to every task, in characters of keys and aliases: some 300,000 entries, or 100 MB
+# in each Python worker.
+MAX_BROADCAST_CHARS = 8_000_000
 
 # The runs of a text, as in functions.redaction.
 RUNS = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"

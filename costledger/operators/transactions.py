@@ -12,6 +12,7 @@ from costledger.functions import numbers as N
 from costledger.functions import text as X
 from costledger.operators.numbering import running_before
 from costledger.schemas import TRANSACTION, TRANSACTION_RAW, conform, rename_columns
+from costledger.session import materialise
 
 CHUNK_SIZE = 50_000
 ISSUES_PER_BATCH = 5
@@ -103,9 +104,12 @@ def scorecard(classified: DataFrame) -> DataFrame:
 
 
 def batch_totals(classified: DataFrame, count_all: bool = False) -> DataFrame:
-    """Rows per batch, and rows in all batches before it; ``count_all`` counts invalid rows too."""
+    """Rows per batch, and rows in all batches before it; ``count_all`` counts invalid rows too.
+
+    The counts are stored, as the running total reads them twice.
+    """
     counted = F.count("*") if count_all else F.count("tr_code")
-    batches = classified.groupBy("batch_id").agg(counted.alias("n_rows"))
+    batches = materialise(classified.groupBy("batch_id").agg(counted.alias("n_rows")), "batches")
     return running_before(batches, "batch_id", "n_rows").withColumnRenamed("before", "rows_before")
 
 

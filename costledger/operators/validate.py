@@ -21,24 +21,25 @@ MESSAGES_PER_FILE = 5
 REQUIRED_TABLES = ("Transaction_Ledger", "All_Spenders", "Monthly_Trends", "Spending_by_Account")
 
 
-def _violations(rows: DataFrame, rule: Column | str, message: Column, order: int) -> DataFrame:
-    """``order`` puts the messages of one row in the order in which the checks are made."""
-    return rows.select(
-        "file_key",
-        F.col("row_num").cast("bigint").alias("row_num"),
-        (F.lit(rule) if isinstance(rule, str) else rule).alias("rule"),
-        F.concat(F.col("file_key"), F.lit(": "), message).alias("message"),
-        F.lit(order).alias("_order"),
-    )
-
-
 def _at_row(text: str, value: Column | None = None) -> Column:
-    parts = [F.lit(f"{text} at row "), F.col("row_num").cast("string")]
+    parts = [F.col("file_key"), F.lit(f": {text} at row "), F.col("row_num").cast("string")]
     if value is not None:
         parts += [F.lit(": '"), F.coalesce(value, F.lit("")), F.lit("'")]
     return F.concat(*parts)
 
 
+def _row_violations(rows: DataFrame, checks: Sequence[tuple[Column, str, Column]]) -> DataFrame:
+    """A violation for each check (condition, rule, message) that a row fails; all checks in one pass."""
+    failed = [
+        F.when(bad, F.struct(F.lit(rule).alias("rule"), message.alias("message"))) for bad, rule, message in checks
+    ]
+    return rows.select(
+        "file_key",
+        F.col("row_num").cast("bigint").alias("row_num"),
+        F.inline(F.array_compact(F.array(*failed))),
+    )
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], file_key: str, message: str) -> DataFrame | None:
     """One violation when a column is absent, else None: the rule is then skipped."""
     present = {c.lower() for c in df.columns}
@@ -65,36 +66,32 @@ def missing_tables(present: DataFrame, required: Sequence[str] = REQUIRED_TABLES
     )
 
 
-def _code_rows(rows: DataFrame) -> DataFrame:
+def _code_checks(rows: DataFrame) -> list:
+    if "tr_code" not in rows.columns:
+        return []
     code = F.coalesce(X.ustrip("tr_code"), F.lit(""))
-    bad = rows.where(~X.is_tr_code(code))
-    return _violations(bad, "tr_code", _at_row("invalid TR_Code", code), 0)
+    return [(~X.is_tr_code(code), "tr_code", _at_row("invalid TR_Code", code))]
 
 
-def code_violations(rows: DataFrame) -> DataFrame:
-    """Codes that are not exactly seven digits, on every row."""
-    return _code_rows(rows).drop("_order")
+def _number_checks(column: str, value: Column, label: str) -> list:
+    """Cells without a number, or with something else."""
+    blank = X.is_blank(column)
+    return [
+        (value.isNull() & blank, "missing value", _at_row(f"missing {label}")),
+        (value.isNull() & ~blank, "invalid number", _at_row(f"invalid {label}", X.ustrip(column))),
+    ]
 
 
-def _number_rows(rows: DataFrame, column: str, label: str) -> DataFrame:
-    """Cells that do not read as a number."""
-    text = X.ustrip(column)
-    blank = X.is_blank(column)
-    return _violations(
-        rows.where(N.strict_decimal(column).isNull()),
-        F.when(blank, "missing value").otherwise("invalid number"),
-        F.when(blank, _at_row(f"missing {label}")).otherwise(_at_row(f"invalid {label}", text)),
-        1,
-    )
+def code_violations(rows: DataFrame) -> DataFrame:
+    """Codes that are not exactly seven digits, on every row."""
+    return _row_violations(rows, _code_checks(rows))
 
 
 def _until_first(violations: DataFrame, order_violations: DataFrame) -> DataFrame:
     """Of each file, what comes up to its first order violation: the file is not read further."""
     first = order_violations.groupBy("file_key").agg(F.min("row_num").alias("_stop"))
     both = violations.unionByName(order_violations).join(first, "file_key", "left")
-    return both.where(F.col("_stop").isNull() | (F.col("row_num") <= F.col("_stop"))).select(
-        *VIOLATION.names
-    )
+    return both.where(F.col("_stop").isNull() | (F.col("row_num") <= F.col("_stop"))).select(*VIOLATION.names)
 
 
 def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") -> DataFrame:
@@ -103,41 +100,45 @@ def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") ->
     Cells that do not read as a number are reported and skipped. Codes are checked too where there are any.
     """
     label = "Total_Net_Spend" if column == "total_net_spend" else column
-    amounts = rows.select("file_key", "row_num", N.strict_decimal(column).alias("_value"))
-    compared = previous_value(amounts.where(F.col("_value").isNotNull()), "file_key", "row_num", "_value")
-    rising = compared.where(F.col("_value") > F.col("previous"))
-    order = _violations(rising, "not sorted", _at_row(f"{label} not sorted DESC"), 2)
-    other = _number_rows(rows, column, label)
-    if "tr_code" in rows.columns:
-        other = other.unionByName(_code_rows(rows))
-    return _until_first(other, order)
+    value = F.col("_value")
+    typed = rows.withColumn("_value", X.computed_once(N.strict_decimal(column)))
+    compared = previous_value(
+        typed.where(value.isNotNull()).select("file_key", "row_num", "_value"), "file_key", "row_num", "_value"
+    )
+    order = _row_violations(
+        compared, [(value > F.col("previous"), "not sorted", _at_row(f"{label} not sorted DESC"))]
+    )
+    cells = _row_violations(typed, [*_number_checks(column, value, label), *_code_checks(rows)])
+    return _until_first(cells, order)
 
 
 def month_order_violations(rows: DataFrame) -> DataFrame:
     """Years that rise, or months that rise as text within a year, in files sorted by both, falling."""
-    month = X.ustrip("month")
-    typed = rows.withColumns({"_year": N.strict_decimal("year"), "_month": month})
-    whole = N.is_whole("_year")
-    blank = X.is_blank("month")
-    readable = typed.where(whole & ~blank).select(
-        "file_key", "row_num", F.struct(F.col("_year").alias("year"), F.col("_month").alias("month")).alias("_key")
-    )
+    year, month = F.col("_year"), F.col("_month")
+    typed = rows.withColumns({"_year": X.computed_once(N.strict_decimal("year")), "_month": X.ustrip("month")})
+    whole, blank = N.is_whole(year), X.is_blank("month")
+    key = F.struct(year.alias("year"), month.alias("month"))
+    readable = typed.where(whole & ~blank).select("file_key", "row_num", key.alias("_key"))
     compared = previous_value(readable, "file_key", "row_num", "_key")
-    year, before = F.col("_key.year"), F.col("previous.year")
-    order = _violations(
-        compared.where(F.col("_key") > F.col("previous")),
-        "not sorted",
-        F.when(year > before, _at_row("Year not sorted DESC")).otherwise(_at_row("Month not sorted DESC")),
-        2,
+    rises = F.col("_key") > F.col("previous")
+    year_rises = F.col("_key.year") > F.col("previous.year")
+    order = _row_violations(
+        compared,
+        [
+            (rises & year_rises, "not sorted", _at_row("Year not sorted DESC")),
+            (rises & ~year_rises, "not sorted", _at_row("Month not sorted DESC")),
+        ],
     )
-    other = (
-        _number_rows(rows, "year", "Year")
-        .unionByName(_violations(typed.where(~whole), "not whole", _at_row("Year not an integer"), 1))
-        .unionByName(_violations(typed.where(whole & blank), "missing value", _at_row("missing Month"), 1))
+    cells = _row_violations(
+        typed,
+        [
+            *_number_checks("year", year, "Year"),
+            (~whole, "not whole", _at_row("Year not an integer")),
+            (whole & blank, "missing value", _at_row("missing Month")),
+            *_code_checks(rows),
+        ],
     )
-    if "tr_code" in rows.columns:
-        other = other.unionByName(_code_rows(rows))
-    return _until_first(other, order)
+    return _until_first(cells, order)
 
 
 # The amount columns of a statement and their labels.

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costledger.operators import bands as B
 from costledger.operators import contract as K
@@ -75,17 +77,40 @@ def reconciliation(
     sink.write_csv(TX.scorecard(classified), f"{output}/scorecard")
 
 
-def redaction(reference_raw: DataFrame, tables: Mapping[str, DataFrame], output: str) -> None:
-    """Redacted copies of the tables, by a dictionary out of the reference."""
+def redaction(
+    reference_raw: DataFrame,
+    tables: Mapping[str, DataFrame],
+    output: str,
+    chunk_size: int = TX.CHUNK_SIZE,
+    dry_run_limit: int = 0,
+) -> None:
+    """Redacted copies of the tables, by a dictionary out of the reference.
+
+    A limit keeps whole batches of each table, counting all rows; the tables must then be plain scans.
+    """
     dictionary = materialise(pii_dictionary(reference_raw), "dictionary")
     for name, table in tables.items():
+        columns = table.columns
+        if dry_run_limit > 0:
+            batch = F.floor(F.col("_row") / chunk_size).cast("bigint")
+            numbered = number_source(table, "_row").withColumn("batch_id", batch)
+            table = TX.limit_batches(numbered, dry_run_limit, count_all=True).select(*columns)
         sink.write_redacted(redact(table, dictionary), f"{output}/{name}")
 
 
 def validation(spark: SparkSession, package: str, names: tuple[str, ...] = V.REQUIRED_TABLES) -> DataFrame:
-    """Violations of the tables of a reconciliation run, read back from its CSV files in file order."""
+    """Violations of the tables of a reconciliation run, read back from its files in file order."""
     tables = {}
     for name in names:
-        scan = read_delimited(spark, f"{package}/{name}", encoding="UTF-8", missing=False, keep_source=True)
+        try:
+            scan = read_delimited(spark, f"{package}/{name}", encoding="UTF-8", missing=False, keep_source=True)
+        except AnalysisException:  # reported as missing
+            continue
         tables[name] = number_source(scan, "row_num", start=2).drop("source_file")
-    return V.package_violations(spark, tables)
+    found = V.package_violations(spark, tables)
+    try:
+        statements = spark.read.parquet(f"{package}/Statements")
+    except AnalysisException:
+        return found
+    amounts = {"staff_id": "file_key", "src_row": "row_num"}
+    return found.unionByName(V.total_violations(statements.withColumnsRenamed(amounts)))

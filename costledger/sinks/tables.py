@@ -54,7 +54,7 @@ def write_statements(statements: DataFrame, path: str, folder_per_staff: bool =
     Sorted by range on the row as well, so the rows of one member of staff may fill several files. A folder per
     staff id is for small numbers of staff; otherwise the sort order lets readers skip to one statement.
     """
-    ordered = statements.orderBy("staff_id", "is_total", "batch_id", "src_row").drop("src_row")
+    ordered = statements.orderBy("staff_id", "is_total", "batch_id", "src_row")
     writer = ordered.write.mode("overwrite")
     if folder_per_staff:
         writer = writer.partitionBy("staff_id")
