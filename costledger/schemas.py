@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+# needs no running session, unlike a DDL text
+_TYPES = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType()}
+
+
+def _schema(columns: str) -> T.StructType:
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 CONTRACT_RAW = _schema(

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app: str = "costledger", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs are tuned for; keyword settings use ``_`` for ``.``."""
@@ -39,9 +41,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="costledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="costledger-")
+    return _local_folders[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -50,6 +50,25 @@ def mark_missing(df: DataFrame, texts: tuple[str, ...] = MISSING_TEXTS) -> DataF
     )
 
 
+# Spark reads ISO-8859-1 but not windows-1252; the two differ in these characters.
+_WINDOWS = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+_WINDOWS = {latin: char for latin, char in _WINDOWS.items() if char}
+
+
+def _as_windows(df: DataFrame) -> DataFrame:
+    """Text read as ISO-8859-1 as the windows-1252 that it is."""
+    table = str.maketrans(_WINDOWS)
+    latin, windows = "".join(_WINDOWS), "".join(_WINDOWS.values())
+    return df.select(*[F.translate(f"`{c}`", latin, windows).alias(c.translate(table)) for c in df.columns])
+
+
+def _read_part(spark: SparkSession, files: list[str], encoding: str, multi_line: bool, keep_source: bool) -> DataFrame:
+    windows = encoding.lower() in ("windows-1252", "cp1252")
+    scan = _reader(spark, "ISO-8859-1" if windows else encoding, multi_line).csv(files)
+    columns = _as_windows(scan) if windows else scan
+    return with_source(columns) if keep_source else columns
+
+
 def _reader(spark: SparkSession, encoding: str, multi_line: bool):
     # doubled quotes inside quotes, as spreadsheets write them
     return (
@@ -81,12 +100,9 @@ def read_delimited(
     groups = files_by_encoding(spark, path) if encoding == "auto" else {encoding: [path]}
     if not groups:
         groups = {"UTF-8": [path]}
-    parts = [_reader(spark, enc, multi_line).csv(files) for enc, files in groups.items()]
-    if missing:
-        parts = [mark_missing(part) for part in parts]
-    if keep_source:
-        parts = [with_source(part) for part in parts]
-    return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    parts = [_read_part(spark, files, enc, multi_line, keep_source) for enc, files in groups.items()]
+    df = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    return mark_missing(df) if missing else df
 
 
 def read_raw_cells(spark: SparkSession, path: str, columns: int = 60, encoding: str = "UTF-8") -> DataFrame:
