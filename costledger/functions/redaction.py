@@ -4,60 +4,64 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
-# Maximal runs of word characters and of others: word boundaries are exactly where two runs meet.
+# Splits a text into maximal runs: words at odd places, the runs between them at even ones, perhaps empty at both
+# ends. Word boundaries are exactly where two runs meet, so a match always covers whole runs.
 _WORDS = re.compile(r"(\w+)")
 
 
-def pieces(text: str) -> list[str]:
-    """The runs of a text in order; non-word runs at even places (perhaps empty), words at odd ones."""
-    return _WORDS.split(text)
+class KeyIndex(NamedTuple):
+    """First run of the keys -> numbers of runs of such keys, longest first; and whether one starts with a symbol."""
 
+    sizes: dict[str, list[int]]
+    symbols: bool
 
-def is_word(run: str) -> bool:
-    return _WORDS.fullmatch(run) is not None
+    @property
+    def words_only(self) -> bool:
+        return not self.symbols and all(sizes == [1] for sizes in self.sizes.values())
 
 
-def key_lengths(keys: Iterable[str]) -> dict[str, list[int]]:
-    """First run of each key -> the numbers of runs of such keys, longest first. Keys are lower case."""
-    lengths: dict[str, set[int]] = {}
+def index_keys(keys: Iterable[str]) -> KeyIndex:
+    """Index of lower-case keys."""
+    found: dict[str, set[int]] = {}
     for key in keys:
-        runs = [p for p in pieces(key) if p]
+        runs = [run for run in _WORDS.split(key) if run]
         if runs:
-            lengths.setdefault(runs[0], set()).add(len(runs))
-    return {head: sorted(n, reverse=True) for head, n in lengths.items()}
+            found.setdefault(runs[0], set()).add(len(runs))
+    symbols = any(_WORDS.fullmatch(head) is None for head in found)
+    return KeyIndex({head: sorted(sizes, reverse=True) for head, sizes in found.items()}, symbols)
 
 
 def replace_words(text: str, aliases: Mapping[str, str]) -> str:
-    """Replace single words, for dictionaries without longer keys."""
-    parts = pieces(text)
-    parts[1::2] = [aliases.get(w.lower(), w) for w in parts[1::2]]
+    """Replace single words, for dictionaries without other keys."""
+    parts = _WORDS.split(text)
+    parts[1::2] = [aliases.get(word.lower(), word) for word in parts[1::2]]
     return "".join(parts)
 
 
-def replace_keys(text: str, aliases: Mapping[str, str], lengths: Mapping[str, list[int]]) -> str:
-    """Replace the leftmost key, the longest first, between word boundaries, in one pass.
+def replace_keys(text: str, aliases: Mapping[str, str], index: KeyIndex) -> str:
+    """Replace the leftmost key, of several the longest, between word boundaries, in one pass.
 
-    Both ends of a match are boundaries, so a match covers whole runs. A non-word run at either end of the text
-    has no word next to it on the outside, hence no boundary there.
+    The runs at both ends of a text that are no words have a boundary on one side only and are never part of a match.
     """
-    parts = pieces(text)
-    first = 1 if parts[0] == "" else 0
-    stop = len(parts) - 1 if parts[-1] == "" else len(parts)
-    lower = [p.lower() for p in parts]
+    parts = _WORDS.split(text)
+    last = len(parts) - 1
+    places = range(1, last) if index.symbols else range(1, last, 2)
     out: list[str] = []
-    i = first
-    while i < stop:
-        taken, put = 1, parts[i]
-        # at 0 there is a non-word run, which starts at no boundary
-        for n in lengths.get(lower[i], ()) if i > 0 else ():
-            end = i + n
-            if end > stop or (end == len(parts) and end % 2 == 1):
+    done = 0
+    for i in [i for i in places if parts[i].lower() in index.sizes]:
+        if i < done:
+            continue
+        for size in index.sizes[parts[i].lower()]:
+            if i + size > last:
                 continue
-            alias = aliases.get("".join(lower[i:end]))
+            alias = aliases.get("".join(parts[i : i + size]).lower())
             if alias is not None:
-                taken, put = n, alias
+                out += parts[done:i]
+                out.append(alias)
+                done = i + size
                 break
-        out.append(put)
-        i += taken
-    return "".join(out)
+    if not done:
+        return text
+    return "".join(out + parts[done:])

@@ -109,6 +109,11 @@ def is_tr_code(c: Column | str) -> Column:
     return F.coalesce(_col(c).rlike(r"\A[0-9]{7}\z"), F.lit(False))
 
 
+def all_missing(columns: list[str]) -> Column:
+    """No cell of the row has a value."""
+    return F.coalesce(*[F.col(f"`{c}`").cast("string") for c in columns]).isNull()
+
+
 def column_name(prefix: object, suffix: str) -> str:
     return f"{prefix} {suffix}"
 

@@ -38,7 +38,7 @@ def ledger(transactions: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def code_totals(transactions: DataFrame) -> DataFrame:
-    """Sums, count and first row per code, before any join.
+    """Sums, count and first source row per code, before any join.
 
     Staff figures are built on this table: the join then sees a row per code, so a code or a member of staff
     with a large share of all transactions costs no more than any other.
@@ -46,7 +46,7 @@ def code_totals(transactions: DataFrame) -> DataFrame:
     return transactions.groupBy("tr_code").agg(
         F.count("net_amount").alias("txn_count"),
         *[part for name in AMOUNTS for part in N.sum_parts(name, name)],
-        F.min(F.struct("batch_id", "src_row")).alias("first_row"),
+        F.min("src_row").alias("first_row"),
     )
 
 

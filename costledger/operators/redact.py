@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from costledger.functions import redaction
 from costledger.functions import text as X
-from costledger.functions.redaction import is_word, key_lengths, replace_keys, replace_words
+from costledger.functions.redaction import KeyIndex, index_keys, replace_keys, replace_words
 from costledger.operators.numbering import number_sorted
 from costledger.schemas import REFERENCE, conform, underscore_headers
 from costledger.session import materialise
@@ -107,18 +107,18 @@ def _key_sizes(dictionary: DataFrame) -> list[int]:
 
 def _redact_small(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
     aliases = {r["key_lower"]: r["alias"] for r in dictionary.select("key_lower", "alias").collect()}
-    shared = df.sparkSession.sparkContext.broadcast((aliases, key_lengths(aliases)))
+    shared = df.sparkSession.sparkContext.broadcast((aliases, tuple(index_keys(aliases))))
 
     @F.pandas_udf("string")
     def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        aliases, lengths = shared.value
-        # the plain form is right when each key is one word
-        words_only = all(n == [1] for n in lengths.values()) and all(is_word(head) for head in lengths)
+        aliases, index = shared.value
+        index = KeyIndex(*index)
+        words_only = index.words_only
         for batch in batches:
             if words_only:
                 texts = [None if t is None else replace_words(t, aliases) for t in batch]
             else:
-                texts = [None if t is None else replace_keys(t, aliases, lengths) for t in batch]
+                texts = [None if t is None else replace_keys(t, aliases, index) for t in batch]
             yield pd.Series(texts, dtype=object)
 
     return df.withColumns({c: replaced(F.col(f"`{c}`")) for c in columns})
@@ -161,7 +161,7 @@ def _redact_large(df: DataFrame, dictionary: DataFrame, columns: list[str], size
         for t, k, a in zip(text, keys, aliases):
             if t is not None and k is not None:
                 own = dict(zip(k, a))
-                t = replace_keys(t, own, key_lengths(own))
+                t = replace_keys(t, own, index_keys(own))
             out.append(t)
         return pd.Series(out, dtype=object)
 

@@ -40,29 +40,27 @@ def _row_violations(rows: DataFrame, checks: Sequence[tuple[Column, str, Column]
     )
 
 
-def require_columns(df: DataFrame, columns: Sequence[str], file_key: str, message: str) -> DataFrame | None:
-    """One violation when a column is absent, else None: the rule is then skipped."""
+def _on_file(spark: SparkSession, file_key: str, rule: str, text: str) -> DataFrame:
+    return spark.createDataFrame([(file_key, None, rule, f"{file_key}: {text}")], VIOLATION)
+
+
+def absent_columns(df: DataFrame, labels: Mapping[str, str]) -> list[str]:
+    """Labels of the columns that the table lacks."""
     present = {c.lower() for c in df.columns}
-    if all(c.lower() in present for c in columns):
-        return None
-    spark = df.sparkSession
-    return spark.createDataFrame([(file_key, None, "columns", f"{file_key}: {message}")], VIOLATION)
+    return [label for column, label in labels.items() if column not in present]
 
 
 def missing_tables(present: DataFrame, required: Sequence[str] = REQUIRED_TABLES) -> DataFrame:
     """Required tables that a package (``file_key``) does not list among its ``name`` values."""
-    listed = F.collect_set(F.when(F.col("name").isin(*required), F.col("name")))
-    absent = F.array_except(F.array(*[F.lit(name) for name in required]), listed)
-    return (
-        present.groupBy("file_key")
-        .agg(absent.alias("absent"))
-        .select("file_key", F.explode("absent").alias("name"))
-        .select(
-            "file_key",
-            F.lit(None).cast("bigint").alias("row_num"),
-            F.lit("missing table").alias("rule"),
-            F.concat(F.col("file_key"), F.lit(": missing "), F.col("name")).alias("message"),
-        )
+    listed = present.groupBy("file_key").agg(
+        *[F.bool_or(F.coalesce(F.col("name") == name, F.lit(False))).alias(f"_{i}") for i, name in enumerate(required)]
+    )
+    absent = [F.when(~F.col(f"_{i}"), F.lit(name)) for i, name in enumerate(required)]
+    return listed.select("file_key", F.explode(F.array_compact(F.array(*absent))).alias("name")).select(
+        "file_key",
+        F.lit(None).cast("bigint").alias("row_num"),
+        F.lit("missing table").alias("rule"),
+        F.concat(F.col("file_key"), F.lit(": missing "), F.col("name")).alias("message"),
     )
 
 
@@ -83,7 +81,9 @@ def _number_checks(column: str, value: Column, label: str) -> list:
 
 
 def code_violations(rows: DataFrame) -> DataFrame:
-    """Codes that are not exactly seven digits, on every row."""
+    """Codes that are not exactly seven digits, on every row; none where there is no such column."""
+    if "tr_code" not in rows.columns:
+        return no_violations(rows.sparkSession)
     return _row_violations(rows, _code_checks(rows))
 
 
@@ -157,17 +157,18 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         is_total = F.coalesce(X.ustrip("description") == "TOTAL", F.lit(False))
     zero = F.lit(0).cast(N.STRICT)
     cells = [c for c in rows.columns if c not in ("file_key", "row_num", "is_total")]
-    filled = rows.where(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in cells]).isNotNull())
+    filled = rows.where(~X.all_missing(cells))
     typed = filled.select(
         "file_key",
         "row_num",
         is_total.alias("_total"),
         *[N.lenient_decimal(c).alias(c) for c in STATEMENT_AMOUNTS],
     )
-    amounts = F.struct(*STATEMENT_AMOUNTS)
+    # single values and not a struct of them: Spark aggregates those by hash, without sorting the rows
+    total_row = F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)))
     per_file = typed.groupBy("file_key").agg(
         F.count_if("_total").alias("n_totals"),
-        F.max_by(amounts, F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)))).alias("total"),
+        *[F.max_by(c, total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
         *[
             F.coalesce(F.sum(F.when(~F.col("_total"), F.col(c))), zero).alias(f"sum_{c}")
             for c in STATEMENT_AMOUNTS
@@ -183,14 +184,14 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         F.array(
             finding(~has_total, "no total", "TOTAL row not found"),
             *[
-                finding(has_total & F.col(f"total.{c}").isNull(), "invalid number", f"invalid {label} at row 0")
+                finding(has_total & F.col(f"total_{c}").isNull(), "invalid number", f"invalid {label} at row 0")
                 for c, label in STATEMENT_AMOUNTS.items()
             ],
             *[
                 finding(
                     has_total
                     & (
-                        F.abs(F.coalesce(f"total.{c}", zero) - F.col(f"sum_{c}"))
+                        F.abs(F.coalesce(f"total_{c}", zero) - F.col(f"sum_{c}"))
                         > F.lit(tolerance).cast(N.STRICT)
                     ),
                     "total differs",
@@ -251,6 +252,15 @@ def no_violations(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], VIOLATION)
 
 
+# Columns without which a table's rule is skipped, with their labels, and the rule. Codes are checked in any table.
+RULES = {
+    "All_Spenders": ({"total_net_spend": "Total_Net_Spend"}, amount_order_violations),
+    "Spending_by_Account": ({"total_net_spend": "Total_Net_Spend"}, amount_order_violations),
+    "Monthly_Trends": ({"year": "Year", "month": "Month"}, month_order_violations),
+    "Statements": ({"description": "Description", **STATEMENT_AMOUNTS}, total_violations),
+}
+
+
 def package_violations(spark: SparkSession, tables: Mapping[str, DataFrame], package: str = "package") -> DataFrame:
     """All rules over the tables of a package, by table name; each has ``row_num`` counted from 2.
 
@@ -258,28 +268,18 @@ def package_violations(spark: SparkSession, tables: Mapping[str, DataFrame], pac
     statements, with ``file_key`` telling them apart.
     """
     if not tables:
-        nothing = (package, None, "no package", "No output package found for validation.")
-        return spark.createDataFrame([nothing], VIOLATION)
-    found = [missing_tables(spark.createDataFrame([(package, name) for name in tables], "file_key string, name string"))]
+        return _on_file(spark, package, "no package", "no output package found for validation")
+    listed = spark.createDataFrame([(package, name) for name in tables], "file_key string, name string")
+    found = [missing_tables(listed)]
     for name, table in tables.items():
-        if name == "Statements":
-            columns = ["description", *STATEMENT_AMOUNTS]
-            absent = require_columns(table, columns, name, f"missing columns {', '.join(columns)}")
-            found.append(absent if absent is not None else total_violations(table))
-            continue
-        rows = table.withColumn("file_key", F.lit(name))
-        if name in ("All_Spenders", "Spending_by_Account"):
-            wanted, text, rule = ["total_net_spend"], "missing Total_Net_Spend column", amount_order_violations
-        elif name == "Monthly_Trends":
-            wanted, text, rule = ["year", "month"], "missing Year or Month column", month_order_violations
+        labels, rule = RULES.get(name, ({}, code_violations))
+        rows = table if "file_key" in table.columns else table.withColumn("file_key", F.lit(name))
+        absent = absent_columns(table, labels)
+        if not set(table.columns) - {"row_num", "file_key"}:
+            found.append(_on_file(spark, name, "header", "missing header row"))
+        elif absent:
+            found.append(_on_file(spark, name, "columns", "missing " + " or ".join(absent) + " column"))
+            found.append(code_violations(rows))
         else:
-            wanted, text, rule = [], "", None
-        absent = require_columns(table, wanted, name, text)
-        if rule is not None and absent is None:
             found.append(rule(rows))
-            continue
-        if absent is not None:
-            found.append(absent)
-        if "tr_code" in table.columns:
-            found.append(code_violations(rows))
     return reduce(DataFrame.unionByName, found)

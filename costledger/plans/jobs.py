@@ -107,10 +107,9 @@ def validation(spark: SparkSession, package: str, names: tuple[str, ...] = V.REQ
         except AnalysisException:  # reported as missing
             continue
         tables[name] = number_source(scan, "row_num", start=2).drop("source_file")
-    found = V.package_violations(spark, tables)
     try:
         statements = spark.read.parquet(f"{package}/Statements")
-    except AnalysisException:
-        return found
-    amounts = {"staff_id": "file_key", "src_row": "row_num"}
-    return found.unionByName(V.total_violations(statements.withColumnsRenamed(amounts)))
+        tables["Statements"] = statements.withColumnsRenamed({"staff_id": "file_key", "src_row": "row_num"})
+    except AnalysisException:  # a package may have none
+        pass
+    return V.package_violations(spark, tables)

@@ -31,6 +31,14 @@ def build_session(app: str = "costledger", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024**2, least: int = 200) -> int:
+    """A value for ``spark.sql.shuffle.partitions`` at which a partition of the whole input fits a task.
+
+    Set it for jobs that shuffle rows; adaptive execution merges the partitions of smaller shuffles again.
+    """
+    return max(least, -(-input_bytes // target_bytes))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for intermediate data, as ``spark.checkpoint.dir`` names it.
 

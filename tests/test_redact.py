@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from costledger.functions.redaction import key_lengths, replace_keys, replace_words
+from costledger.functions.redaction import index_keys, replace_keys, replace_words
 from costledger.operators import redact as R
 from costledger.operators.redact import pii_dictionary, redact
 
@@ -30,12 +30,12 @@ def test_replacing_equals_an_alternation():
         keys = {"".join(rng.choice(parts) for _ in range(rng.randint(1, 4))).strip() for _ in range(5)} - {""}
         aliases = {k.lower(): f"<{i}>" for i, k in enumerate(sorted(keys))}
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
-        assert replace_keys(text, aliases, key_lengths(aliases)) == _by_regex(text, aliases), (aliases, text)
+        assert replace_keys(text, aliases, index_keys(aliases)) == _by_regex(text, aliases), (aliases, text)
 
 
 def test_longest_key_first():
     aliases = {"ann": "A", "ann lee": "B"}
-    assert replace_keys("ANN LEE met Ann. Annex", aliases, key_lengths(aliases)) == "B met A. Annex"
+    assert replace_keys("ANN LEE met Ann. Annex", aliases, index_keys(aliases)) == "B met A. Annex"
     assert replace_words("Ann, annex JOSÉ", {"ann": "A", "josé": "J"}) == "A, annex J"
 
 

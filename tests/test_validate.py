@@ -81,9 +81,20 @@ def test_package(spark):
         "All_Spenders": spark.createDataFrame([(2, "x")], "row_num bigint, other string"),
         "Transaction_Ledger": spark.createDataFrame([(2, "12")], "row_num bigint, tr_code string"),
         "Monthly_Trends": spark.createDataFrame([(2, "2020", "1")], "row_num bigint, year string, month string"),
+        "Extra": spark.createDataFrame([(2,)], "row_num bigint"),
+        "Statements": spark.createDataFrame([("s", 2, "1")], "file_key string, row_num bigint, debit string"),
     }
     assert _messages(V.package_violations(spark, tables)) == [
         "All_Spenders: missing Total_Net_Spend column",
+        "Extra: missing header row",
+        "Statements: missing Description or Credit or Net_Amount column",
         "Transaction_Ledger: invalid TR_Code at row 2: '12'",
         "package: missing Spending_by_Account",
     ]
+
+
+def test_all_missing(spark):
+    from costledger.functions.text import all_missing
+
+    df = spark.createDataFrame([(None, None), (1, None)], "a int, `b c` string")
+    assert [r[0] for r in df.select(all_missing(df.columns)).collect()] == [True, False]
