@@ -1,5 +1,6 @@
 import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,16 +126,35 @@ def test_money_text(spark):
     assert [r[0] for r in df.select(F.format_number("x", 2)).collect()] == [f"{v:,.2f}" for v in values]
 
 
-def test_sums_do_not_depend_on_order(spark):
-    values = [0.1] * 10 + [1e20, 0.2, -3.0]
-    totals = set()
+def _total(df):
+    return df.agg(*N.sum_parts("x", "x")).select(N.parts_total("x")).first()[0]
+
+
+def test_sums_are_exact_in_any_order(spark):
+    rng = random.Random(9)
+    values = [round(rng.uniform(-1e6, 1e6), rng.randint(0, 4)) for _ in range(500)]  # units
+    values += [round(rng.uniform(-1, 1), 9) for _ in range(200)]  # more decimals
+    values += [rng.randint(10**8, 10**12) / 100 * rng.choice((-1, 1)) for _ in range(200)]  # large
+    want = float(sum(Decimal(repr(v)) for v in values))
     for seed in range(3):
         random.Random(seed).shuffle(values)
-        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-        totals.add(df.agg(*N.sum_parts("x", "x")).select(N.parts_total("x")).first()[0])
-    assert totals == {1e20 - 1.8}
-    df = spark.createDataFrame([(float("inf"),), (1.0,)], "x double")
-    assert df.agg(*N.sum_parts("x", "x")).select(N.parts_total("x")).first()[0] == math.inf
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(4)
+        assert _total(df) == want
+
+
+def test_sums_of_extremes(spark):
+    assert _total(spark.createDataFrame([(1e20,), (0.1,), (-3.0,)], "x double")) == 1e20
+    assert _total(spark.createDataFrame([(float("inf"),), (1.0,)], "x double")) == math.inf
+    assert math.isnan(_total(spark.createDataFrame([(float("nan"),), (1.0,)], "x double")))
+    assert _total(spark.createDataFrame([(None,)], "x double")) == 0.0
+    assert _total(spark.createDataFrame([(99_999_999.9999,)] * 3, "x double")) == 299_999_999.9997
+    assert _total(spark.createDataFrame([(-0.0001,)] * 3, "x double")) == -0.0003
+
+
+def test_sums_merge(spark):
+    df = spark.createDataFrame([(i % 3, i * 0.01 + (1e-7 if i % 50 == 0 else 0)) for i in range(1000)], "g int, x double")
+    fine = df.groupBy("g").agg(*N.sum_parts("x", "x"))
+    assert fine.agg(*N.merge_parts("x")).select(N.parts_total("x")).first()[0] == _total(df)
 
 
 @pytest.mark.parametrize(
