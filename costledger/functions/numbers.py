@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from costledger.functions.text import _col, ustrip
+from costledger.functions.text import _col, strip_all, ustrip
 
-# Texts that count as a finite number, with and without grouping underscores.
+# Texts that count as a number, with grouping underscores, and without but with infinity.
 FLOAT_TEXT = r"\A[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?\z"
-PLAIN_FLOAT_TEXT = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-INFINITE_TEXT = r"(?i)\A[+-]?inf(inity)?\z"
+LOOSE_TEXT = r"(?i)\A[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?)\z"
 
 # One amount: 18 digits before and 10 after the point. Sums keep 28 before the point.
 AMOUNT = "decimal(28,10)"
@@ -29,10 +28,8 @@ def _as_double(c: Column | str, ignored: str = "") -> Column:
     cell = _col(c).cast("string")
     plain = F.translate(cell, _DIGITS + ignored, "") == ""
     cell = F.translate(cell, ignored, "") if ignored else cell
-    text = ustrip(cell)
-    number = F.when(plain, cell.try_cast("double")).when(
-        text.rlike(FLOAT_TEXT), F.translate(text, "_", "").try_cast("double")
-    )
+    text = strip_all(cell)
+    number = F.when(plain, cell).when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast("double")
     # infinite minus itself is not a number; a test by ``when`` would parse the text twice
     return F.nanvl(number - number + number, F.lit(None).cast("double"))
 
@@ -48,33 +45,29 @@ def head_count(c: Column | str) -> Column:
 
 
 def loose_number(c: Column | str) -> Column:
-    """Number text as double with 0 for all that does not read as one; grouping and ``$`` do not."""
+    """Number text as double with 0 for all that does not read as one; grouping and ``$`` do not, ``inf`` does."""
     cell = _col(c).cast("string")
-    text = ustrip(cell)
-    return F.coalesce(
-        F.when(F.translate(cell, _DIGITS, "") == "", cell.try_cast("double"))
-        .when(text.rlike(PLAIN_FLOAT_TEXT), text.try_cast("double"))
-        .when(text.rlike(INFINITE_TEXT), F.when(text.startswith("-"), float("-inf")).otherwise(float("inf"))),
-        F.lit(0.0),
-    )
+    text = strip_all(cell)
+    number = F.when(F.translate(cell, _DIGITS, "") == "", cell).when(text.rlike(LOOSE_TEXT), text)
+    return F.coalesce(number.try_cast("double"), F.lit(0.0))
 
 
 def whole_year(c: Column | str) -> Column:
     """Year as int: ``2023`` and ``2023.0`` alike, NULL for other text."""
-    text = ustrip(c)
-    number = text.try_cast("double")
-    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
+    cell = _col(c).cast("string")
+    text = F.regexp_replace(strip_all(cell), r"(?<=[0-9])\.0*\z", "")
+    return F.when(F.translate(cell, "0123456789", "") == "", cell).otherwise(text).try_cast("int")
 
 
 def strict_decimal(c: Column | str) -> Column:
     """Decimal out of text without ``,``; NULL when it does not read as one."""
-    text = ustrip(F.translate(_col(c).cast("string"), ",", ""))
+    text = strip_all(F.translate(_col(c).cast("string"), ",", ""))
     return F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
 
 
 def lenient_decimal(c: Column | str) -> Column:
     """Decimal out of text, 0 for NULL and blank; NULL when it does not read as one."""
-    text = ustrip(c)
+    text = strip_all(c)
     number = F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
     return F.when(text.isNull() | (text == ""), F.lit(0).cast(STRICT)).otherwise(number)
 

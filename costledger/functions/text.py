@@ -40,6 +40,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip_all(c: Column | str) -> Column:
+    """Strip all Unicode white space, the plain way: for cells that are rarely looked at."""
+    return F.btrim(_col(c).cast("string"), F.lit(WHITESPACE))
+
+
 def ustrip(c: Column | str) -> Column:
     """Strip all Unicode white space; ``trim`` alone removes U+0020 only.
 
@@ -50,7 +55,7 @@ def ustrip(c: Column | str) -> Column:
     trimmed = F.trim(text)
     last = F.substring(trimmed, -1, 1)
     plain = (trimmed >= "!") & (trimmed < "\x7f") & (last >= "!") & (last < "\x7f")
-    return F.when(plain, trimmed).otherwise(F.btrim(text, F.lit(WHITESPACE)))
+    return F.when(plain, trimmed).otherwise(strip_all(text))
 
 
 def is_blank(c: Column | str) -> Column:
