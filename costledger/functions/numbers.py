@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from costledger.functions.text import _col, strip_all, ustrip
+from costledger.functions.text import _col, is_blank, strip_all
 
 # Texts that count as a number, with grouping underscores, and without but with infinity.
 FLOAT_TEXT = r"\A[+-]?([0-9](_?[0-9])*\.?([0-9](_?[0-9])*)?|\.[0-9](_?[0-9])*)([eE][+-]?[0-9](_?[0-9])*)?\z"
@@ -20,8 +20,8 @@ STRICT = "decimal(38,10)"
 _DIGITS = "0123456789.+-"
 
 
-def _as_double(c: Column | str, ignored: str = "") -> Column:
-    """Finite number in a text without the ``ignored`` characters, else NULL.
+def _number_text(c: Column | str, ignored: str = "") -> Column:
+    """A text without the ``ignored`` characters, ready for a cast, or NULL where it is no finite number.
 
     Most cells are plain digits and take the short way; the pattern and the strip are for the others.
     """
@@ -29,7 +29,11 @@ def _as_double(c: Column | str, ignored: str = "") -> Column:
     plain = F.translate(cell, _DIGITS + ignored, "") == ""
     cell = F.translate(cell, ignored, "") if ignored else cell
     text = strip_all(cell)
-    number = F.when(plain, cell).when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast("double")
+    return F.when(plain, cell).when(text.rlike(FLOAT_TEXT), F.translate(text, "_", ""))
+
+
+def _as_double(c: Column | str, ignored: str = "") -> Column:
+    number = _number_text(c, ignored).try_cast("double")
     # infinite minus itself is not a number; a test by ``when`` would parse the text twice
     return F.nanvl(number - number + number, F.lit(None).cast("double"))
 
@@ -61,15 +65,17 @@ def whole_year(c: Column | str) -> Column:
 
 def strict_decimal(c: Column | str) -> Column:
     """Decimal out of text without ``,``; NULL when it does not read as one."""
-    text = strip_all(F.translate(_col(c).cast("string"), ",", ""))
-    return F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
+    return _number_text(c, ",").try_cast(STRICT)
 
 
 def lenient_decimal(c: Column | str) -> Column:
     """Decimal out of text, 0 for NULL and blank; NULL when it does not read as one."""
-    text = strip_all(c)
-    number = F.when(text.rlike(FLOAT_TEXT), F.translate(text, "_", "")).try_cast(STRICT)
-    return F.when(text.isNull() | (text == ""), F.lit(0).cast(STRICT)).otherwise(number)
+    return F.when(is_blank(c), F.lit(0).cast(STRICT)).otherwise(_number_text(c).try_cast(STRICT))
+
+
+def lenient_number(c: Column | str) -> Column:
+    """The same as double."""
+    return F.when(is_blank(c), 0.0).otherwise(_as_double(c))
 
 
 def fixed_text(c: Column | str, places: int) -> Column:
@@ -98,13 +104,16 @@ _UNIT_LIMIT = 1e8
 _LOW_BITS = 20
 
 
-def sum_parts(name: str, value: Column | str) -> list[Column]:
-    """Mergeable aggregates that together hold the sum of ``value``."""
+def sum_parts(name: str, value: Column | str, decimal: Column | None = None) -> list[Column]:
+    """Mergeable aggregates that together hold the sum of ``value``.
+
+    ``decimal`` is the same number out of its text, for those that a double does not hold exactly.
+    """
     x = _col(value)
     units = F.rint(x * _UNITS)
     short = (F.abs(x) < _UNIT_LIMIT) & (units / _UNITS == x)
     number = F.when(short, units.cast("bigint"))
-    amount = F.when(~short, x).try_cast(AMOUNT)
+    amount = F.when(~short, x if decimal is None else decimal).try_cast(AMOUNT)
     return [
         F.sum(F.shiftright(number, _LOW_BITS)).alias(f"{name}_high"),
         F.sum(number.bitwiseAND(F.lit(2**_LOW_BITS - 1))).alias(f"{name}_low"),
@@ -118,12 +127,16 @@ def merge_parts(name: str) -> list[Column]:
     return [F.sum(f"{name}_{part}").alias(f"{name}_{part}") for part in ("high", "low", "exact", "rest")]
 
 
-def parts_total(name: str) -> Column:
-    """The sum as double, rounded once."""
+def parts_decimal(name: str) -> Column:
+    """The sum as decimal, but for the values that do not fit one."""
     zero = F.lit(0).cast("decimal(37,10)")
     high, low = (F.col(f"{name}_{part}").cast("decimal(19,0)") for part in ("high", "low"))
     units = high * F.lit(2**_LOW_BITS).cast("decimal(7,0)") + low
     short = (units * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(37,10)")
-    exact = F.coalesce(short, zero) + F.coalesce(F.col(f"{name}_exact").cast("decimal(37,10)"), zero)
-    total = exact.cast("double")
+    return F.coalesce(short, zero) + F.coalesce(F.col(f"{name}_exact").cast("decimal(37,10)"), zero)
+
+
+def parts_total(name: str) -> Column:
+    """The sum as double, rounded once."""
+    total = parts_decimal(name).cast("double")
     return F.when(F.col(f"{name}_rest").isNull(), total).otherwise(total + F.col(f"{name}_rest"))

@@ -60,7 +60,7 @@ def ustrip(c: Column | str) -> Column:
 
 def is_blank(c: Column | str) -> Column:
     """NULL, or nothing left after the strip."""
-    return _col(c).isNull() | (ustrip(c) == "")
+    return _col(c).isNull() | (strip_all(c) == "")
 
 
 def normalise_header(c: Column | str) -> Column:

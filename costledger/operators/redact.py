@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -14,7 +14,7 @@ from costledger.functions import redaction
 from costledger.functions import text as X
 from costledger.functions.redaction import KeyIndex, index_keys, replace_keys, replace_words
 from costledger.operators.numbering import number_sorted
-from costledger.schemas import REFERENCE, conform, underscore_headers
+from costledger.schemas import REFERENCE, conform, rename_columns, underscore_headers
 from costledger.session import materialise
 
 # The tasks get the functions themselves, so the package need not be installed where they run.
@@ -28,9 +28,9 @@ MAX_BROADCAST_CHARS = 8_000_000
 RUNS = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
 
 
-def pii_keys(reference: DataFrame) -> DataFrame:
+def pii_keys(reference: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
     """Distinct names, parts of addresses and ids, one scan of the reference; blank keys are dropped."""
-    people = conform(underscore_headers(reference), REFERENCE)
+    people = conform(rename_columns(underscore_headers(reference), renames or {}), REFERENCE)
     names = F.concat(
         F.array(X.ustrip("first_name"), X.ustrip("family_name")),
         F.coalesce(X.email_tokens("email"), F.array().cast("array<string>")),
@@ -42,13 +42,13 @@ def pii_keys(reference: DataFrame) -> DataFrame:
     return people.select(F.inline(found)).where(F.col("key").isNotNull() & (F.col("key") != "")).distinct()
 
 
-def pii_dictionary(reference: DataFrame) -> DataFrame:
+def pii_dictionary(reference: DataFrame, renames: Mapping[str, str] | None = None) -> DataFrame:
     """Key, lower-case key, alias and whether the key is an id; a row per lower-case key.
 
     Names are numbered from the longest on, ids in text order; equal lengths go by the text, so the numbers do
     not depend on the run. An id wins over an equal name, else the last of several spellings.
     """
-    keys = pii_keys(reference)
+    keys = pii_keys(reference, renames)
     size = F.when(F.col("is_id"), 0).otherwise(-F.length("key"))
     numbered = number_sorted(keys.withColumn("_size", size), ["is_id", "_size", "key"], "_n", start=1)
     # the ids follow all the names, so their own count starts after the last name

@@ -149,7 +149,7 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     """Statements without exactly one TOTAL row, or with totals that differ from the sum of the other rows.
 
     A TOTAL row is flagged by ``is_total`` or, where the table has no such column, by its description. Of several
-    the last counts. One grouped pass over the rows: no join, no sorting.
+    the last counts. The sums come out of one grouped pass over the rows, without sorting them.
     """
     if "is_total" in rows.columns:
         is_total = F.coalesce(F.col("is_total"), F.lit(False))
@@ -162,17 +162,21 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         "file_key",
         "row_num",
         is_total.alias("_total"),
-        *[N.lenient_decimal(c).alias(c) for c in STATEMENT_AMOUNTS],
+        *[N.lenient_number(c).alias(c) for c in STATEMENT_AMOUNTS],
+        *[F.col(c).cast("string").alias(f"{c}_text") for c in STATEMENT_AMOUNTS],
     )
+
+    def decimal(c: str) -> Column:
+        return N.lenient_decimal(f"{c}_text")
+
     # single values and not a struct of them: Spark aggregates those by hash, without sorting the rows
     total_row = F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)))
+    sums = [part for c in STATEMENT_AMOUNTS for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c)), decimal(c))]
     per_file = typed.groupBy("file_key").agg(
         F.count_if("_total").alias("n_totals"),
-        *[F.max_by(c, total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
-        *[
-            F.coalesce(F.sum(F.when(~F.col("_total"), F.col(c))), zero).alias(f"sum_{c}")
-            for c in STATEMENT_AMOUNTS
-        ],
+        F.min(total_row).alias("first_total"),
+        *[F.max_by(F.when(F.col("_total"), decimal(c)), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
+        *sums,
     )
     no_row = F.lit(None).cast("bigint")
     has_total = F.col("n_totals") > 0
@@ -191,7 +195,7 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
                 finding(
                     has_total
                     & (
-                        F.abs(F.coalesce(f"total_{c}", zero) - F.col(f"sum_{c}"))
+                        F.abs(F.coalesce(f"total_{c}", zero) - N.parts_decimal(c))
                         > F.lit(tolerance).cast(N.STRICT)
                     ),
                     "total differs",
@@ -201,17 +205,25 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
             ],
         )
     )
-    # each TOTAL row after the first is reported
-    repeated = F.array_repeat(
-        F.struct(F.lit("several totals").alias("rule"), F.lit("multiple TOTAL rows found").alias("text")),
-        F.greatest(F.col("n_totals") - 1, F.lit(0)).cast("int"),
-    )
-    on_files = per_file.select("file_key", F.inline(F.concat(repeated, findings))).select(
+    on_files = per_file.select("file_key", F.inline(findings)).select(
         "file_key",
         no_row.alias("row_num"),
         "rule",
         F.concat(F.col("file_key"), F.lit(": "), F.col("text")).alias("message"),
     )
+    # each TOTAL row after the first is reported
+    repeated = (
+        typed.where("_total")
+        .select("file_key", "row_num")
+        .join(per_file.where(F.col("n_totals") > 1).select("file_key", "first_total"), "file_key")
+        .where(F.col("row_num") > F.col("first_total"))
+        .select(
+            "file_key",
+            no_row.alias("row_num"),
+            F.lit("several totals").alias("rule"),
+            F.concat(F.col("file_key"), F.lit(": multiple TOTAL rows found")).alias("message"),
+        )
+    )
     bad_cells = F.array_compact(
         F.array(*[F.when(F.col(c).isNull(), F.lit(label)) for c, label in STATEMENT_AMOUNTS.items()])
     )
@@ -223,7 +235,7 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
             F.col("file_key"), F.lit(": invalid "), F.col("label"), F.lit(" at row "), F.col("row_num").cast("string")
         ).alias("message"),
     )
-    return on_cells.unionByName(on_files)
+    return on_cells.unionByName(repeated).unionByName(on_files)
 
 
 def first_messages(violations: DataFrame, limit: int = MESSAGES_PER_FILE) -> DataFrame:

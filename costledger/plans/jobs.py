@@ -83,12 +83,13 @@ def redaction(
     output: str,
     chunk_size: int = TX.CHUNK_SIZE,
     dry_run_limit: int = 0,
+    renames: Mapping[str, str] | None = None,
 ) -> None:
     """Redacted copies of the tables, by a dictionary out of the reference.
 
     A limit keeps whole batches of each table, counting all rows; the tables must then be plain scans.
     """
-    dictionary = materialise(pii_dictionary(reference_raw), "dictionary")
+    dictionary = materialise(pii_dictionary(reference_raw, renames), "dictionary")
     for name, table in tables.items():
         columns = table.columns
         if dry_run_limit > 0:

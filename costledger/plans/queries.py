@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -278,7 +277,7 @@ def verdict(spark, folder):
 
 def own_statements_verdict(spark, folder):
     """The statements of the reconciliation job, checked by the rule for totals: no violation expected."""
-    rows = R.statements(_valid(spark, folder), _reference(spark, folder))
+    rows = materialise(R.statements(_valid(spark, folder), _reference(spark, folder)), "statements")
     checked = rows.withColumnsRenamed({"staff_id": "file_key", "src_row": "row_num"})
     return V.verdict(V.total_violations(checked.drop("batch_id")))
 
@@ -300,7 +299,7 @@ def header_names(spark, folder):
 def csv_roundtrip(spark, folder):
     path = fresh_path(spark, "transactions.csv")
     sink.write_csv(view(spark, folder, views.TRANSACTIONS_RAW), path)
-    return read_delimited(spark, os.path.dirname(path) + "/transactions.csv")
+    return read_delimited(spark, path)
 
 
 def stream_ingest(spark, folder):

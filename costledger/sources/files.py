@@ -15,9 +15,9 @@ def _listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     # the file contents are not selected, so they are not read
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{pattern}*")
         .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+        .select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+        .where(F.col("name").contains(pattern))
     )
 
 

@@ -80,6 +80,12 @@ def test_all_ways_agree(spark, people, way, monkeypatch):
     assert used == (["large"] if way == "large" else [])
 
 
+def test_other_headers(spark):
+    df = spark.createDataFrame([("Ann", "ann.leigh@x")], "`First Name` string, Work_Email string")
+    keys = {r["key"] for r in R.pii_keys(df, {"Work_Email": "email"}).collect()}
+    assert keys == {"Ann", "ann", "leigh"}
+
+
 def test_empty_dictionary_changes_nothing(spark, people):
     df = spark.createDataFrame([("Ann",)], "a string")
     assert redact(df, pii_dictionary(people).where("false")).collect() == df.collect()
