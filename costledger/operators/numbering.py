@@ -23,20 +23,27 @@ def _block_of(key: str, block: int) -> Column:
     return F.coalesce(F.floor(F.col(key) / block).cast("bigint"), F.lit(0))
 
 
-def running_before(df: DataFrame, key: str, value: str, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
+def running_before(
+    df: DataFrame, key: str, value: str, by: Sequence[str] = (), block: int = BLOCK, at_most: int | None = None
+) -> DataFrame:
     """Add ``before``: the sum of ``value`` over the rows with a smaller ``key`` (unique, integral, in ``by``).
 
     Two levels: totals of blocks of keys are run up first, then each block on its own, so a window holds at most
-    ``block`` rows, and the upper one a row per block.
+    ``block`` rows, and the upper one a row per block. A table that is known to have ``at_most`` a block of rows
+    needs one window only.
     """
+
+    def sum_before(column: str, window: W) -> Column:
+        return F.coalesce(F.sum(column).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+
+    if at_most is not None and at_most <= block:
+        return df.withColumn("before", sum_before(value, W.partitionBy(*by).orderBy(key)))
     blocked = df.withColumn("_block", _block_of(key, block))
     totals = blocked.groupBy(*by, "_block").agg(F.sum(value).alias("_total"))
-    upper = W.partitionBy(*by).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    starts = totals.select(*by, "_block", F.coalesce(F.sum("_total").over(upper), F.lit(0)).alias("_start"))
-    inner = W.partitionBy(*by, "_block").orderBy(key).rowsBetween(W.unboundedPreceding, -1)
+    starts = totals.select(*by, "_block", sum_before("_total", W.partitionBy(*by).orderBy("_block")).alias("_start"))
     return (
         blocked.join(starts, [*by, "_block"])
-        .withColumn("before", F.col("_start") + F.coalesce(F.sum(value).over(inner), F.lit(0)))
+        .withColumn("before", F.col("_start") + sum_before(value, W.partitionBy(*by, "_block").orderBy(key)))
         .drop("_block", "_start")
     )
 
@@ -51,9 +58,13 @@ def number_sorted(df: DataFrame, order: Sequence[Column | str], alias: str = "ro
     placed = df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id())
     stored = materialise(placed, "sorted").withColumn("_task", F.shiftright("_pos", 33))
     tasks = stored.groupBy("_task").agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-    offsets = running_before(tasks, "_task", "_n").select("_task", (F.col("before") - F.col("_first")).alias("_shift"))
-    # a row per task of the sort, which this setting bounds
-    if int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) <= MAX_BROADCAST_SEGMENTS:
+    # a row per task of the sort, which these settings bound
+    conf = df.sparkSession.conf
+    settings = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    n_tasks = max(int(conf.get(name, None) or 0) for name in settings)
+    before = running_before(tasks, "_task", "_n", at_most=n_tasks)
+    offsets = before.select("_task", (F.col("before") - F.col("_first")).alias("_shift"))
+    if n_tasks <= MAX_BROADCAST_SEGMENTS:
         offsets = F.broadcast(offsets)
     number = (F.col("_pos") + F.col("_shift") + start).cast("bigint")
     return stored.join(offsets, "_task").select(*df.columns, number.alias(alias))

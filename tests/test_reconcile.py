@@ -49,6 +49,30 @@ def test_ledger_does_not_depend_on_the_join(spark, data, threshold):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_hot_code_is_split(spark, data):
+    """Without a broadcast, the partition of the code with a third of the rows is joined in several tasks."""
+    tx, ref, raw, people = data
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        ledger = R.ledger(tx, ref)
+        assert len(ledger.collect()) == sum(None not in r for _, r in _joined(raw, people))
+        assert "skew=true" in ledger._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_spenders(data):
     tx, ref, raw, people = data
     sums = defaultdict(lambda: [0, 0, 0, 0])
