@@ -64,8 +64,12 @@ def missing_tables(present: DataFrame, required: Sequence[str] = REQUIRED_TABLES
     )
 
 
+def _has_codes(rows: DataFrame) -> bool:
+    return "tr_code" in [c.lower() for c in rows.columns]
+
+
 def _code_checks(rows: DataFrame) -> list:
-    if "tr_code" not in rows.columns:
+    if not _has_codes(rows):
         return []
     code = F.coalesce(X.ustrip("tr_code"), F.lit(""))
     return [(~X.is_tr_code(code), "tr_code", _at_row("invalid TR_Code", code))]
@@ -82,7 +86,7 @@ def _number_checks(column: str, value: Column, label: str) -> list:
 
 def code_violations(rows: DataFrame) -> DataFrame:
     """Codes that are not exactly seven digits, on every row; none where there is no such column."""
-    if "tr_code" not in rows.columns:
+    if not _has_codes(rows):
         return no_violations(rows.sparkSession)
     return _row_violations(rows, _code_checks(rows))
 
@@ -238,12 +242,21 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     return on_cells.unionByName(repeated).unionByName(on_files)
 
 
+# The rules in the order in which a file is checked, first as a whole, then row by row, then its totals.
+FILE_RULES = ("no package", "missing table", "header", "columns")
+ROW_RULES = ("tr_code", "missing value", "invalid number", "not whole", "not sorted")
+TOTAL_RULES = ("several totals", "no total", "total differs")
+
+
 def first_messages(violations: DataFrame, limit: int = MESSAGES_PER_FILE) -> DataFrame:
-    """The first messages of each file; the rest is only counted, by ``error_counts``.
+    """The first messages of each file, in the order of the checks; the rest is only counted, by ``error_counts``.
 
     Spark keeps the first rows of each file in every task before the shuffle.
     """
-    order = W.partitionBy("file_key").orderBy(F.col("row_num").asc_nulls_last(), "rule", "message")
+    place = F.array_position(F.lit([*FILE_RULES, *ROW_RULES, *TOTAL_RULES]), F.col("rule"))
+    order = W.partitionBy("file_key").orderBy(
+        (place > len(FILE_RULES)).asc(), F.col("row_num").asc_nulls_last(), place, "message"
+    )
     return violations.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit).drop("_rank")
 
 

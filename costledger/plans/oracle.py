@@ -554,7 +554,9 @@ ORACLE: dict[str, str] = {
     "missing_tables": _sql("SELECT * FROM missing_tables", "missing_tables"),
     "first_messages": _sql(
         "SELECT * FROM all_violations QUALIFY row_number() OVER "
-        "(PARTITION BY file_key ORDER BY row_num ASC NULLS LAST, rule, message) <= 5",
+        "(PARTITION BY file_key ORDER BY rule <> 'missing table', row_num ASC NULLS LAST, "
+        "list_position(['tr_code', 'missing value', 'invalid number', 'not whole', 'not sorted', 'several totals', 'no total', "
+        "'total differs'], rule) NULLS FIRST, message) <= 5",
         "all_violations",
     ),
     "error_counts": _sql("SELECT * FROM error_counts", "error_counts"),

@@ -1,6 +1,7 @@
 import pytest
 
 from costledger.operators import validate as V
+from costledger.schemas import VIOLATION
 
 
 def _messages(df):
@@ -75,6 +76,18 @@ def test_messages_are_limited_and_all_counted(spark):
     assert tuple(V.verdict(V.no_violations(spark)).first()) == ("PASS", 0, 0)
 
 
+def test_messages_follow_the_checks(spark):
+    rows = [("f", None, "total differs", "d"), ("f", 3, "tr_code", "b"), ("f", 3, "not sorted", "c"), ("f", None, "columns", "a")]
+    found = spark.createDataFrame(rows, VIOLATION)
+    assert _messages(V.first_messages(found, 2)) == ["a", "b"]
+    assert _messages(V.first_messages(found, 3)) == ["a", "b", "c"]
+
+
+def test_header_case_does_not_matter(spark):
+    rows = spark.createDataFrame([("f", 2, "12")], "file_key string, row_num bigint, TR_Code string")
+    assert _messages(V.code_violations(rows)) == ["f: invalid TR_Code at row 2: '12'"]
+
+
 def test_package(spark):
     assert [r["rule"] for r in V.package_violations(spark, {}).collect()] == ["no package"]
     tables = {
