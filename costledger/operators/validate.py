@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 from costledger.functions import numbers as N
 from costledger.functions import text as X
-from costledger.operators.numbering import previous_value
+from costledger.operators.numbering import BLOCK, previous_value
 from costledger.schemas import VIOLATION
 
 TOLERANCE = "0.01"
@@ -178,16 +178,25 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     sums = [part for c in STATEMENT_AMOUNTS for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c)), decimal(c))]
     per_file = typed.groupBy("file_key").agg(
         F.count_if("_total").alias("n_totals"),
-        F.min(total_row).alias("first_total"),
         *[F.max_by(F.when(F.col("_total"), decimal(c)), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
         *sums,
     )
     no_row = F.lit(None).cast("bigint")
     has_total = F.col("n_totals") > 0
 
-    def finding(bad: Column, rule: str, text: str) -> Column:
-        return F.when(bad, F.struct(F.lit(rule).alias("rule"), F.lit(text).alias("text")))
+    def entry(rule: str, text: str, copies: Column) -> Column:
+        return F.struct(F.lit(rule).alias("rule"), F.lit(text).alias("text"), copies.cast("int").alias("copies"))
 
+    def finding(bad: Column, rule: str, text: str) -> Column:
+        return F.when(bad, entry(rule, text, F.lit(1)))
+
+    # each TOTAL row after the first is reported; in blocks, as one array for all could grow with the file
+    extra = F.col("n_totals") - 1
+    blocks = F.when(extra > 0, F.sequence(F.lit(0).cast("bigint"), F.floor((extra - 1) / BLOCK)))
+    repeated = F.transform(
+        F.coalesce(blocks, F.array().cast("array<bigint>")),
+        lambda block: entry("several totals", "multiple TOTAL rows found", F.least(F.lit(BLOCK), extra - block * BLOCK)),
+    )
     findings = F.array_compact(
         F.array(
             finding(~has_total, "no total", "TOTAL row not found"),
@@ -209,23 +218,14 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
             ],
         )
     )
-    on_files = per_file.select("file_key", F.inline(findings)).select(
-        "file_key",
-        no_row.alias("row_num"),
-        "rule",
-        F.concat(F.col("file_key"), F.lit(": "), F.col("text")).alias("message"),
-    )
-    # each TOTAL row after the first is reported
-    repeated = (
-        typed.where("_total")
-        .select("file_key", "row_num")
-        .join(per_file.where(F.col("n_totals") > 1).select("file_key", "first_total"), "file_key")
-        .where(F.col("row_num") > F.col("first_total"))
+    on_files = (
+        per_file.select("file_key", F.inline(F.concat(repeated, findings)))
+        .select("file_key", "rule", "text", F.explode(F.sequence(F.lit(1), F.col("copies"))))
         .select(
             "file_key",
             no_row.alias("row_num"),
-            F.lit("several totals").alias("rule"),
-            F.concat(F.col("file_key"), F.lit(": multiple TOTAL rows found")).alias("message"),
+            "rule",
+            F.concat(F.col("file_key"), F.lit(": "), F.col("text")).alias("message"),
         )
     )
     bad_cells = F.array_compact(
@@ -239,7 +239,7 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
             F.col("file_key"), F.lit(": invalid "), F.col("label"), F.lit(" at row "), F.col("row_num").cast("string")
         ).alias("message"),
     )
-    return on_cells.unionByName(repeated).unionByName(on_files)
+    return on_cells.unionByName(on_files)
 
 
 # The rules in the order in which a file is checked, first as a whole, then row by row, then its totals.

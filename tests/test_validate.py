@@ -68,6 +68,12 @@ def test_total_rows(spark):
     ]
 
 
+def test_each_repeated_total_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(V, "BLOCK", 4)
+    for n in (2, 5, 6, 9, 14):
+        assert _statement(spark, [("TOTAL", "0", "0", "0")] * n) == ["s: multiple TOTAL rows found"] * (n - 1)
+
+
 def test_messages_are_limited_and_all_counted(spark):
     found = V.amount_order_violations(_amounts(spark, ["x"] * 9))
     assert _messages(V.first_messages(found)) == [f"f: invalid Total_Net_Spend at row {i}: 'x'" for i in range(2, 7)]
