@@ -2,6 +2,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from costledger.plans.oracle import ORACLE
+from costledger.plans.queries import QUERIES
 
 WITHOUT_SQL = {"redacted_conversations", "own_statements_verdict", "fingerprint", "source_choice"}
 
@@ -11,22 +13,22 @@ def con(sf):
     return compare.connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, sf, con, name):
-    assert compare.differences(entry.queries()[name](spark, sf), con, entry.oracle_sql()[name]) == []
+    assert compare.differences(QUERIES[name](spark, sf), con, ORACLE[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
 def test_query_without_sql_has_rows(spark, sf, name):
-    assert entry.queries()[name](spark, sf).count() > 0
+    assert QUERIES[name](spark, sf).count() > 0
 
 
 def test_every_query_is_checked():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLE) == WITHOUT_SQL
 
 
 def test_own_statements_pass(spark, sf):
-    assert entry.queries()["own_statements_verdict"](spark, sf).first()["verdict"] == "PASS"
+    assert QUERIES["own_statements_verdict"](spark, sf).first()["verdict"] == "PASS"
 
 
 def test_entry(spark):
