@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm import chat, line_dedup, mixing, packing
-from costledger.llm.common import table
+from costledger.llm import chat, language, line_dedup, mixing, packing, secrets, toxicity
+from costledger.llm.common import crc_remainder, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -24,6 +24,13 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_remainder("doc_id", 4) == 2)
+    profiles = language.learn_profiles(docs.where("NOT held_out"))
+    found = language.identify(docs, profiles)
+    return found.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     kinds = ", ".join(f"{c} {k}" for c, k in turns.dtypes)
@@ -32,6 +39,23 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(formatted).withColumnRenamed("tree", "conv_id")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(crc_remainder("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    held_out = (crc_remainder("doc_id", 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = secrets.scan(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.sha2(joined(F.filter("spans", lambda s: s["kind"] != "novel")), 256)
+    counts = [count(k) for k in ("assign", "access", "hex")]
+    return scanned.select("doc_id", *counts, base.alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     marked = line_dedup.drop_repeated_lines(table(spark, folder, "documents").select("doc_id", "text"))
     kept = F.sha2(line_dedup.kept_text("text", F.col("bitmap")), 256)
@@ -45,7 +69,10 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_chat": op3_chat,
+    "op5_toxicity": op5_toxicity,
+    "op6_secrets": op6_secrets,
     "op7_line_dedup": op7_line_dedup,
     "op9_mixing": op9_mixing,
 }
