@@ -115,3 +115,51 @@ def shingle_sets(column: pa.Array, width: int) -> Iterator[np.ndarray]:
         for k in range(n):
             total = mix(total * ODD + words[k : len(words) - n + 1 + k])
         yield np.unique(total.view(np.int64))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole groups out of a stream that is sorted by its first ``n_keys`` columns (whole numbers, not NULL).
+
+    Also gives where each group starts, and the end. What is held is one batch and one group.
+    """
+
+    def starts_of(rows: pa.Table) -> np.ndarray:
+        changes = np.zeros(rows.num_rows, dtype=bool)
+        changes[0] = True
+        for k in range(n_keys):
+            values = rows.column(k).to_numpy()
+            changes[1:] |= values[1:] != values[:-1]
+        return np.flatnonzero(changes)
+
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = pa.Table.from_batches([batch])
+        if held:
+            last, first = held[-1].slice(held[-1].num_rows - 1), new.slice(0, 1)
+            if all(last.column(k)[0] == first.column(k)[0] for k in range(n_keys)) and len(starts_of(new)) == 1:
+                held.append(new)  # one group so far
+                continue
+        rows = pa.concat_tables([*held, new]).combine_chunks()
+        starts = starts_of(rows)
+        if starts[-1]:
+            yield rows.slice(0, starts[-1]), starts
+        held = [rows.slice(starts[-1])]
+    if held:
+        rows = pa.concat_tables(held).combine_chunks()
+        yield rows, np.append(starts_of(rows), rows.num_rows)
+
+
+def by_groups(df: DataFrame, keys: list[str], function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str, rows: int = 2000) -> DataFrame:
+    """Runs ``function`` over partitions that hold whole groups of ``keys``, sorted by them."""
+    return in_batches(df.repartition(*keys).sortWithinPartitions(*keys), function, schema, rows)
+
+
+def block_pairs(block, n_blocks):
+    """For a member of block ``block`` of ``n_blocks``: the pairs (i <= j) of blocks that hold it, as an array of structs.
+
+    Comparing within each pair compares all members with each other, in groups of bounded size.
+    """
+    others = F.sequence(F.lit(0), n_blocks - 1)
+    return F.transform(others, lambda o: F.struct(F.least(o, block).cast("int").alias("i"), F.greatest(o, block).cast("int").alias("j")))

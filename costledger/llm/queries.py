@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm import chat, language, line_dedup, mixing, packing, secrets, toxicity
+from costledger.llm import chat, language, line_dedup, mixing, near_dedup, packing, secrets, toxicity
 from costledger.llm.common import crc_remainder, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -39,6 +39,10 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(formatted).withColumnRenamed("tree", "conv_id")
 
 
+def op4_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=2)
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").where(crc_remainder("doc_id", 5) != 0)
@@ -71,6 +75,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
     "op3_chat": op3_chat,
+    "op4_near_dedup": op4_near_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op7_line_dedup": op7_line_dedup,
