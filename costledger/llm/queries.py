@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm import chat, language, line_dedup, mixing, near_dedup, packing, secrets, toxicity
+from costledger.llm import chat, language, line_dedup, mixing, near_dedup, packing, secrets, topk, toxicity, vector_dedup
 from costledger.llm.common import crc_remainder, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
@@ -66,11 +66,20 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select("doc_id", "n_lines", "n_dropped", kept.alias("kept_sha256"))
 
 
+def op8_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -79,5 +88,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_secrets": op6_secrets,
     "op7_line_dedup": op7_line_dedup,
+    "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
+    "op10_vector_dedup": op10_vector_dedup,
 }
