@@ -22,6 +22,9 @@ from costledger.llm.common import SPACES, stored
 
 LEAST_DOCUMENTS = 10
 KEY = ["doc_id", "text_hash"]
+#: Names of added columns, which documents do not have.
+OWN = "lines__"
+LINES, DROPPED, BITMAP = (f"{OWN}{name}" for name in ("n_lines", "n_dropped", "bitmap"))
 
 
 def lines(text: str = "text") -> Column:
@@ -82,8 +85,8 @@ def kept_text(text: str, bitmap: Column) -> Column:
     return F.when(bitmap.isNull(), whole).otherwise(F.array_join(F.flatten(parts), "\n"))
 
 
-def line_bitmaps(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """Bitmaps of the documents that lose lines: ``doc_id``, ``text_hash``, ``n_lines``, ``n_dropped``, ``bitmap``.
+def dropped_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """The documents that lose lines: ``doc_id``, ``text_hash`` and the sorted positions ``dropped``.
 
     All lines go whose key occurs in at least ``least_documents`` documents.
     """
@@ -93,17 +96,32 @@ def line_bitmaps(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> Dat
     # one row per hash and task is shuffled
     found = rows.where("first").groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_documents)
     dropped = rows.join(found.select("h1", "h2"), ["h1", "h2"])  # a hot hash is split by adaptive execution
-    by_document = dropped.groupBy(*KEY).agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
-    return by_document
+    return dropped.groupBy(*KEY).agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
+
+
+def _marked(docs: DataFrame, least_documents: int) -> DataFrame:
+    """The documents with all their columns, the number of their lines, of those dropped, and the bitmap."""
+    marks = dropped_lines(docs, least_documents)
+    marks = marks.select(F.col("doc_id").alias(f"{OWN}id"), F.col("text_hash").alias(f"{OWN}mark"), F.col("dropped").alias(f"{OWN}dropped"))
+    same = F.col("doc_id").eqNullSafe(F.col(f"{OWN}id")) & (F.col(f"{OWN}hash") == F.col(f"{OWN}mark"))
+    joined = docs.withColumn(f"{OWN}hash", text_hash()).join(marks, same, "left")
+    n_lines, dropped = F.size(lines()), F.col(f"{OWN}dropped")
+    n_dropped = F.coalesce(F.size(dropped), F.lit(0)).cast("long")
+    bitmap = F.when(dropped.isNotNull(), keep_bitmap(dropped, n_lines))
+    return joined.select(*docs.columns, n_lines.cast("long").alias(LINES), n_dropped.alias(DROPPED), bitmap.alias(BITMAP))
 
 
 def drop_repeated_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """All documents with ``n_lines``, ``n_dropped`` and ``bitmap`` (NULL if every line stays); ``kept_text`` applies the bitmap."""
-    marks = line_bitmaps(docs, least_documents).withColumnsRenamed({"doc_id": "m_id", "text_hash": "m_hash"})
-    same = F.col("doc_id").eqNullSafe(F.col("m_id")) & (text_hash() == F.col("m_hash"))
-    n_lines = F.size(lines())
-    joined = docs.join(marks, same, "left")
-    bitmap = F.when(F.col("dropped").isNotNull(), keep_bitmap(F.col("dropped"), n_lines))
-    n_dropped = F.coalesce(F.size("dropped"), F.lit(0)).cast("long")
-    added = [n_lines.cast("long").alias("n_lines"), n_dropped.alias("n_dropped"), bitmap.alias("bitmap")]
-    return joined.select(*[docs[c] for c in docs.columns], *added)
+    """``doc_id``, ``text``, ``n_lines``, ``n_dropped`` and ``bitmap`` (NULL if every line stays) of all documents; ``kept_text`` applies the bitmap."""
+    names = [F.col(LINES).alias("n_lines"), F.col(DROPPED).alias("n_dropped"), F.col(BITMAP).alias("bitmap")]
+    return _marked(docs.select("doc_id", "text"), least_documents).select("doc_id", "text", *names)
+
+
+def without_repeated_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+    """All documents with all their columns; texts that lose lines, and their ``n_chars``, are replaced."""
+    columns = {c: F.col(c) for c in docs.columns}
+    columns["text"] = F.when(F.col(DROPPED) > 0, kept_text("text", F.col(BITMAP))).otherwise(F.col("text"))
+    if "n_chars" in columns:
+        length = F.length(columns["text"]).cast(dict(docs.dtypes)["n_chars"])
+        columns["n_chars"] = F.when(F.col(DROPPED) > 0, length).otherwise(F.col("n_chars"))
+    return _marked(docs, least_documents).select(*[column.alias(name) for name, column in columns.items()])

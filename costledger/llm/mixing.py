@@ -30,6 +30,9 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 #: The per-source totals (three numbers a source) go through the driver, which solves the shares; more sources are an error.
 MOST_SOURCES = 1_000_000
+#: Names of added columns, which documents do not have.
+OWN = "mixing__"
+SIZE, HASH, STRATUM, REPEATS = (f"{OWN}{name}" for name in ("own_size", "own_hash", "own_stratum", "own_repeats"))
 
 
 def word_count(text: str = "text") -> Column:
@@ -71,9 +74,9 @@ def doc_hash(column: str = "doc_id") -> Column:
     return F.substring(F.md5(F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "utf-8")), 1, DIGITS * LEVELS)
 
 
-def stratum() -> Column:
+def stratum(size: Column) -> Column:
     """Number of bits of the size."""
-    return F.length(F.bin("size"))
+    return F.length(F.bin(size))
 
 
 def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -122,21 +125,47 @@ def _boundaries(spark: SparkSession, sizes: DataFrame, open_: list[tuple], at: i
     return running.where((F.col("before") < F.col("budget")) & (F.col("before") + F.col("words") >= F.col("budget"))).collect()
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MOST_REPEATS, share: float = 1.0) -> DataFrame:
-    """Per document: ``doc_id``, ``size``, ``source_size``, ``target`` (of its source), ``repeats``, ``taken`` (words, repeats counted)."""
-    sizes = docs.select("doc_id", "source", word_count().alias("size"), doc_hash().alias("hash"))
-    sizes = stored(sizes.withColumn("stratum", stratum()), "mix_sizes")
+def _with_numbers(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({SIZE: word_count(), HASH: doc_hash()}).withColumn(STRATUM, stratum(F.col(SIZE)))
+
+
+def _joined(rows: DataFrame, sizes: DataFrame, weights: tuple[float, ...], cap: float, share: float) -> DataFrame:
+    """``rows`` (a frame with the numbers of ``_with_numbers``) with the source's size and target and the document's repeats."""
     wanted = targets(sizes, weights, cap, share)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     wanted = wanted.withColumn("whole", whole.cast("long")).withColumnRenamed("source", "p_source")
-    same_source = F.col("source").eqNullSafe(F.col("p_source"))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     strata = sizes.groupBy("source", "stratum").agg(F.sum("size").cast("double").alias("words"))
-    budgets = strata.join(wanted, same_source).select("source", "stratum", (rest * F.col("words") / F.col("source_size")).alias("budget"))
-    limits = thresholds(sizes, budgets.where("budget > 0")).withColumnsRenamed({"source": "l_source", "stratum": "l_stratum"})
-    same_stratum = F.col("source").eqNullSafe(F.col("l_source")) & (F.col("stratum") == F.col("l_stratum"))
-    # both tables have a few rows a source
-    joined = sizes.join(wanted, same_source).join(limits, same_stratum, "left")
-    below = (F.col("hash") < F.col("bound")) | (F.col("inclusive") & (F.col("hash") == F.col("bound")))
-    repeats = (F.col("whole") + F.coalesce(below, F.lit(False)).cast("long")).alias("repeats")
-    return joined.select("doc_id", "size", "source_size", "target", repeats).withColumn("taken", F.col("size") * F.col("repeats"))
+    budgets = strata.join(wanted, F.col("source").eqNullSafe(F.col("p_source")))
+    budgets = budgets.select("source", "stratum", (rest * F.col("words") / F.col("source_size")).alias("budget"))
+    limits = thresholds(sizes, budgets.where("budget > 0"))
+    # both tables have a few rows a source; other names than the documents' columns may have
+    known = wanted.select(*[F.col(c).alias(f"{OWN}{c}") for c in wanted.columns])
+    bounds = limits.select(*[F.col(c).alias(f"{OWN}{c}") for c in limits.columns])
+    same_stratum = F.col("source").eqNullSafe(F.col(f"{OWN}source")) & (F.col(STRATUM) == F.col(f"{OWN}stratum"))
+    joined = rows.join(known, F.col("source").eqNullSafe(F.col(f"{OWN}p_source"))).join(bounds, same_stratum, "left")
+    bound = F.col(f"{OWN}bound")
+    below = (F.col(HASH) < bound) | (F.col(f"{OWN}inclusive") & (F.col(HASH) == bound))
+    return joined.withColumn(REPEATS, F.col(f"{OWN}whole") + F.coalesce(below, F.lit(False)).cast("long"))
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    rows = _with_numbers(docs.select("doc_id", "source", "text"))
+    return stored(rows.select("doc_id", "source", F.col(SIZE).alias("size"), F.col(HASH).alias("hash"), F.col(STRATUM).alias("stratum")), "mix_sizes")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MOST_REPEATS, share: float = 1.0) -> DataFrame:
+    """Per document: ``doc_id``, ``size``, ``source_size``, ``target`` (of its source), ``repeats``, ``taken`` (words, repeats counted)."""
+    sizes = _sizes(docs)
+    rows = sizes.select("doc_id", "source", F.col("size").alias(SIZE), F.col("hash").alias(HASH), F.col("stratum").alias(STRATUM))
+    joined = _joined(rows, sizes, weights, cap, share)
+    named = [F.col(f"{OWN}{c}").alias(c) for c in ("source_size", "target")]
+    columns = ["doc_id", F.col(SIZE).alias("size"), *named, F.col(REPEATS).alias("repeats")]
+    return joined.select(*columns).withColumn("taken", F.col("size") * F.col("repeats"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MOST_REPEATS, share: float = 1.0) -> DataFrame:
+    """The documents of the mix with all their columns, each as often as it is taken. Texts are read twice and not shuffled."""
+    joined = _joined(_with_numbers(docs), _sizes(docs), weights, cap, share)
+    times = F.explode(F.array_repeat(F.lit(0), F.col(REPEATS).cast("int")))
+    return joined.withColumn(f"{OWN}time", times).select(*docs.columns)

@@ -228,3 +228,12 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     component = F.coalesce("component", "rep", "doc_id")
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
+    """The documents, with all their columns, that ``near_duplicates`` keeps; of rows with the same id one stays, rows without id all stay."""
+    found = near_duplicates(docs, width).where("NOT kept").select("doc_id").distinct()
+    left = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    once = left.join(repeated, "doc_id", "left_anti")
+    return once.select(*docs.columns).union(left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))

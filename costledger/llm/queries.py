@@ -18,12 +18,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
-    packed = packing.pack(table(spark, folder, "documents"), tokenizer_path())
+def packed_pieces(docs: DataFrame) -> DataFrame:
+    packed = packing.pack(docs, tokenizer_path())
     crc = F.crc32("ids").alias("ids_crc32")
     return packed.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_pieces(table(spark, folder, "documents"))
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_remainder("doc_id", 4) == 2)
     profiles = language.learn_profiles(docs.where("NOT held_out"))

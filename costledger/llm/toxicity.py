@@ -253,16 +253,36 @@ def sample_features(sample: DataFrame, lexicons: list[dict[str, float]]) -> Data
     return in_batches(sample.select("text", "toxic", "fold"), run, schema)
 
 
+class Scorer:
+    """Scores of texts by a learned model."""
+
+    def __init__(self, model: tuple[dict[str, float], tuple[float, ...]]):
+        self.grammar = Grammar(model[0])
+        self.weights = np.array(model[1])
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        found = np.array([self.grammar.features(t) for t in texts.to_pylist()], dtype=np.float64).reshape(-1, len(self.weights) - 1)
+        return 1 / (1 + np.exp(-np.clip(self.weights[0] + found @ self.weights[1:], -30, 30)))
+
+
 def score(docs: DataFrame, model: tuple[dict[str, float], tuple[float, ...]]) -> DataFrame:
     """``doc_id`` and ``score`` (0 to 1) of every document; reads ``text`` only."""
-    terms, weights = model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grammar = Grammar(terms)
-        known = np.array(weights)
+        scorer = Scorer(model)
         for batch in batches:
-            found = np.array([grammar.features(t) for t in batch.column(1).to_pylist()], dtype=np.float64).reshape(-1, 3)
-            scores = 1 / (1 + np.exp(-np.clip(known[0] + found @ known[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.scores(batch.column(1)), pa.float64())], ["doc_id", "score"])
 
     return in_batches(docs.select("doc_id", "text"), run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+
+
+def accepted(docs: DataFrame, model: tuple[dict[str, float], tuple[float, ...]], threshold: float = 0.5) -> DataFrame:
+    """The documents, with all their columns, whose score is below ``threshold``; texts are not shuffled."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column(at)) < threshold))
+
+    return in_batches(docs, run, docs.schema)
