@@ -52,7 +52,7 @@ def grams(text: str | None) -> np.ndarray:
 
 def counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = np.sort(values)
-    edges = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+    edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), dtype=bool), values[1:] != values[:-1])))
     return values[edges], np.diff(np.concatenate((edges, [len(values)])))
 
 
