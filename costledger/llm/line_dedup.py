@@ -119,9 +119,10 @@ def drop_repeated_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS)
 
 def without_repeated_lines(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
     """All documents with all their columns; texts that lose lines, and their ``n_chars``, are replaced."""
-    columns = {c: F.col(c) for c in docs.columns}
-    columns["text"] = F.when(F.col(DROPPED) > 0, kept_text("text", F.col(BITMAP))).otherwise(F.col("text"))
-    if "n_chars" in columns:
-        length = F.length(columns["text"]).cast(dict(docs.dtypes)["n_chars"])
-        columns["n_chars"] = F.when(F.col(DROPPED) > 0, length).otherwise(F.col("n_chars"))
-    return _marked(docs, least_documents).select(*[column.alias(name) for name, column in columns.items()])
+    marked = _marked(docs, least_documents)
+    lost = F.col(DROPPED) > 0
+    replaced = marked.withColumn("text", F.when(lost, kept_text("text", F.col(BITMAP))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        replaced = replaced.withColumn("n_chars", F.when(lost, length).otherwise(F.col("n_chars")))
+    return replaced.select(*docs.columns)

@@ -137,7 +137,7 @@ def _joined(rows: DataFrame, sizes: DataFrame, weights: tuple[float, ...], cap:
     rest = F.col("target") - F.col("whole") * F.col("source_size")
     strata = sizes.groupBy("source", "stratum").agg(F.sum("size").cast("double").alias("words"))
     budgets = strata.join(wanted, F.col("source").eqNullSafe(F.col("p_source")))
-    budgets = budgets.select("source", "stratum", (rest * F.col("words") / F.col("source_size")).alias("budget"))
+    budgets = budgets.select("source", "stratum", F.try_divide(rest * F.col("words"), F.col("source_size")).alias("budget"))
     limits = thresholds(sizes, budgets.where("budget > 0"))
     # both tables have a few rows a source; other names than the documents' columns may have
     known = wanted.select(*[F.col(c).alias(f"{OWN}{c}") for c in wanted.columns])

@@ -1,0 +1,72 @@
+import re
+from hashlib import sha256
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from costledger.llm import queries, secrets
+
+PATTERNS = [
+    ("assign", re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A), lambda m: len(m.group(2)) >= 8),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 16),
+    ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m.group()) >= 32),
+]
+
+
+def plain(text):
+    found = [(m.start(), k, name, m.end()) for k, (name, p, fits) in enumerate(PATTERNS) for m in p.finditer(text or "") if fits(m)]
+    return [f"{name}:{s}:{e}" for s, _, name, e in sorted(found)]
+
+
+def texts_of(spans):
+    return [f"{s['kind']}:{s['start']}:{s['end']}" for s in spans if s["kind"] != "novel"]
+
+
+def test_query_equals_a_plain_version(spark):
+    folder = "/root/testdata/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = queries.op6_secrets(spark, folder).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = plain(texts[r["doc_id"]])
+        assert r["base_sha256"] == sha256(",".join(want).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex")]
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("novel")] == want
+
+
+parts = st.sampled_from(["token", "PassWord", "api_key", "apiKEY", "secret", "passwd", ":", "=", " ", '"', "'", "AKIA", "ABCDEFGH1234", "deadbeef01234567", "x.y", "-", "é", "K", "ſ", "\n"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(parts, max_size=14))
+def test_patterns_on_odd_texts(pieces):
+    text = "".join(pieces)
+    found = sorted(secrets.pattern_spans(text), key=lambda x: (x[1], x[0]))
+    assert [f"{secrets.KINDS[k]}:{s}:{e}" for k, s, e in found] == plain(text)
+
+
+def test_novelty_tells_keys_from_names():
+    novelty = secrets.Novelty()
+    key, name = "kJ8x2QpZ7vLr4TnW9sYb", "default_configuration_production1"
+    text = f"client_id is {key} here\nclient_id is {name} in production configuration default_config\n"
+    found = [text[s:e] for _, s, e, _ in secrets.novel_spans(text, novelty, [])]
+    assert found == [key]
+    assert secrets.novel_spans(f"nothing here {key}", novelty, []) == []
+    covered = [(0, text.index(key), text.index(key) + len(key))]
+    assert secrets.novel_spans(text, novelty, covered) == []
+
+
+def test_odd_rows(spark):
+    long = "word " * 100_000 + "token=abcdefgh12"
+    rows = [(1, None), (2, ""), (3, long), (None, "secret: 12345678"), (4, "\U0001f600token=abcdefgh"), (4, "\U0001f600token=abcdefgh")]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, spans string, n_hex int")
+    got = sorted((r["doc_id"] or 0, texts_of(r["spans"])) for r in secrets.scan(docs).collect())
+    assert got == sorted((i or 0, plain(t)) for i, t in rows)
+    assert secrets.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text", ["token=token=abcdefgh", "token: secret:abcdefghijk", "password == x12345678", "a" * 31 + "g" + "b" * 33])
+def test_leftmost_matches_that_fail_are_dropped(text):
+    found = sorted(secrets.pattern_spans(text), key=lambda x: (x[1], x[0]))
+    assert [f"{secrets.KINDS[k]}:{s}:{e}" for k, s, e in found] == plain(text)
