@@ -14,6 +14,8 @@ LOOSE_TEXT = r"(?i)\A[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?
 # One amount: 18 digits before and 10 after the point. Sums keep 28 before the point.
 AMOUNT = "decimal(28,10)"
 STRICT = "decimal(38,10)"
+# Counts and their sums, which may pass 64 bits.
+COUNT = "decimal(38,0)"
 
 
 # Texts of these characters only need no closer look before the cast.
@@ -44,8 +46,10 @@ def money(c: Column | str) -> Column:
 
 
 def head_count(c: Column | str) -> Column:
-    """Count text as bigint cut towards zero, NULL when missing or unreadable; only ``,`` is ignored."""
-    return _as_double(c, ",").try_cast("bigint")
+    """Count text as whole decimal cut towards zero, NULL when missing or unreadable; only ``,`` is ignored."""
+    number = _as_double(c, ",")
+    # few counts are beyond 64 bits
+    return F.coalesce(number.try_cast("bigint").cast(COUNT), (number - number % F.lit(1.0)).try_cast(COUNT))
 
 
 def loose_number(c: Column | str) -> Column:
@@ -63,9 +67,45 @@ def whole_year(c: Column | str) -> Column:
     return F.when(F.translate(cell, "0123456789", "") == "", cell).otherwise(text).try_cast("int")
 
 
-def strict_decimal(c: Column | str) -> Column:
-    """Decimal out of text without ``,``; NULL when it does not read as one."""
-    return _number_text(c, ",").try_cast(STRICT)
+def exact_number(c: Column | str, ignored: str = ",") -> Column:
+    """The number in a text, of any size and without rounding, or NULL.
+
+    ``d`` holds it as decimal where that is exact at a glance, as for most cells, else ``t`` holds its text. Compare with ``exceeds``.
+    """
+    text = _number_text(c, ignored)
+    short = (F.length(text) <= 18) & (F.translate(text, _DIGITS, "") == "") & (F.length(F.split_part(text, F.lit("."), F.lit(2))) <= 10)
+    d = F.when(short, text.try_cast(STRICT))
+    t = F.when(~short & text.rlike(FLOAT_TEXT), text)
+    return F.when(d.isNotNull() | t.isNotNull(), F.struct(d.alias("d"), t.alias("t")))
+
+
+def _order(number: Column) -> Column:
+    """Sign, place of the first digit and digits: sorts as the numbers do, of any length."""
+    text = F.coalesce(number["t"], number["d"].cast("string"))
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)\z", 1).try_cast("bigint"), F.lit(0))
+    mantissa = F.translate(F.regexp_replace(text, "[eE].*", ""), "+-", "")
+    whole, part = (F.split_part(mantissa, F.lit("."), F.lit(n)) for n in (1, 2))
+    significant = F.ltrim(F.concat(whole, part), F.lit("0"))
+    place = F.length(significant) - F.length(part) + exponent
+    digits = F.rtrim(significant, F.lit("0"))
+    # of negative numbers the longer and the larger ones come first
+    turned = F.concat(F.translate(digits, "0123456789", "9876543210"), F.lit("~"))
+    key = lambda sign, at, digits: F.struct(F.lit(sign).alias("sign"), at.cast("bigint").alias("place"), digits.alias("digits"))
+    return F.when(digits == "", key(0, F.lit(0), F.lit(""))).when(text.startswith("-"), key(-1, -place, turned)).otherwise(key(1, place, digits))
+
+
+def exceeds(left: Column, right: Column) -> Column:
+    """Whether one exact number is larger than another; not if either is NULL."""
+    both = left["d"].isNotNull() & right["d"].isNotNull()
+    missing = left.isNull() | right.isNull()
+    return F.when(missing, False).when(both, left["d"] > right["d"]).otherwise(_order(left) > _order(right))
+
+
+def is_whole_number(number: Column) -> Column:
+    """Whether an exact number has no decimals."""
+    key = _order(number)
+    digits = F.length(F.translate(key["digits"], "~", ""))
+    return F.when(number["d"].isNotNull(), number["d"] == F.floor(number["d"])).otherwise(digits <= key["place"] * key["sign"])
 
 
 def lenient_decimal(c: Column | str) -> Column:
@@ -91,10 +131,6 @@ def round_exact(c: Column | str, places: int) -> Column:
     return fixed_text(c, places).cast("double")
 
 
-def is_whole(c: Column | str) -> Column:
-    return _col(c) == F.floor(_col(c))
-
-
 # Sums of doubles depend on the order of the rows, which a shuffle does not fix, and sums of decimals are slow. An amount
 # of at most four decimals, below a hundred million, is a whole number of units; the upper and the lower bits of
 # the units are summed apart, which neither rounds nor overflows below 9 * 10^12 rows. Other amounts are summed as

@@ -23,12 +23,15 @@ class KeyIndex(NamedTuple):
 
 
 def index_keys(keys: Iterable[str]) -> KeyIndex:
-    """Index of lower-case keys."""
+    """Index of keys in any case.
+
+    Keys are split as the texts are, before the lower case is taken: that of some letters has more runs.
+    """
     found: dict[str, set[int]] = {}
     for key in keys:
         runs = [run for run in _WORDS.split(key) if run]
         if runs:
-            found.setdefault(runs[0], set()).add(len(runs))
+            found.setdefault(runs[0].lower(), set()).add(len(runs))
     symbols = any(_WORDS.fullmatch(head) is None for head in found)
     return KeyIndex({head: sorted(sizes, reverse=True) for head, sizes in found.items()}, symbols)
 

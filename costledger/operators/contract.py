@@ -51,7 +51,7 @@ def clean_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("reason") == KEPT).select(
         *SUBJECT_KEYS,
         F.coalesce("cost", F.lit(0.0)).alias("cost"),
-        F.coalesce("students", F.lit(0).cast("bigint")).alias("students"),
+        F.coalesce("students", F.lit(0)).try_cast("bigint").alias("students"),
     )
 
 
@@ -66,7 +66,7 @@ def accumulate(classified: DataFrame) -> DataFrame:
         "reason", *[F.when(kept, F.col(k)).alias(k) for k in SUBJECT_KEYS]
     ).agg(
         *N.sum_parts("cost", F.coalesce("cost", F.lit(0.0))),
-        F.sum(F.coalesce("students", F.lit(0).cast("bigint"))).alias("students"),
+        F.try_sum(F.coalesce("students", F.lit(0).cast(N.COUNT))).alias("students"),
         F.count("*").alias("n_rows"),
         F.count_if(counted & F.col("cost").isNull()).alias("n_missing_cost"),
         F.count_if(counted & F.col("students").isNull()).alias("n_missing_students"),
@@ -74,19 +74,22 @@ def accumulate(classified: DataFrame) -> DataFrame:
 
 
 def _measures(grouped: DataFrame, keys: list[str]) -> DataFrame:
-    totals = grouped.select(
-        *keys, N.parts_total("cost").alias("total_oncosts"), F.col("students").alias("total_students")
-    )
-    cost, students = F.col("total_oncosts"), F.col("total_students")
+    totals = grouped.select(*keys, N.parts_total("cost").alias("total_oncosts"), "students")
+    cost, students = F.col("total_oncosts"), F.col("students")
     return totals.select(
-        "*",
+        *keys,
+        "total_oncosts",
+        students.try_cast("bigint").alias("total_students"),
         C.cost_per_student(cost, students).alias("oncosts_per_student"),
         C.cost_status(cost, students).alias("status"),
     )
 
 
 def subject_year(accumulated: DataFrame) -> DataFrame:
-    """Cost, students, cost per student and status by school, subject and year."""
+    """Cost, students, cost per student and status by school, subject and year.
+
+    The number of students is NULL where it passes 64 bits; cost per student and status come from the whole number.
+    """
     return _measures(accumulated.where(F.col("reason") == KEPT), SUBJECT_KEYS)
 
 
@@ -95,7 +98,7 @@ def school_year(accumulated: DataFrame) -> DataFrame:
     grouped = (
         accumulated.where(F.col("reason") == KEPT)
         .groupBy(*SCHOOL_KEYS)
-        .agg(*N.merge_parts("cost"), F.sum("students").alias("students"))
+        .agg(*N.merge_parts("cost"), F.try_sum("students").alias("students"))
     )
     return _measures(grouped, SCHOOL_KEYS)
 

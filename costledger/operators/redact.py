@@ -101,13 +101,16 @@ def _chars(dictionary: DataFrame) -> int:
 
 def _key_sizes(dictionary: DataFrame) -> list[int]:
     """The numbers of runs that keys have; a handful."""
-    runs = F.size(F.regexp_extract_all("key_lower", F.lit(RUNS), F.lit(1)))
-    return sorted(r["n"] for r in dictionary.select(runs.alias("n")).distinct().collect())
+    both = dictionary.select(F.explode(F.array("key", "key_lower")).alias("key"))
+    runs = F.size(F.regexp_extract_all("key", F.lit(RUNS), F.lit(1)))
+    return sorted(r["n"] for r in both.select(runs.alias("n")).distinct().collect())
 
 
 def _redact_small(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
-    aliases = {r["key_lower"]: r["alias"] for r in dictionary.select("key_lower", "alias").collect()}
-    shared = df.sparkSession.sparkContext.broadcast((aliases, tuple(index_keys(aliases))))
+    rows = dictionary.select("key", "key_lower", "alias").collect()
+    aliases = {r["key_lower"]: r["alias"] for r in rows}
+    index = index_keys([*aliases, *(r["key"] for r in rows)])
+    shared = df.sparkSession.sparkContext.broadcast((aliases, tuple(index)))
 
     @F.pandas_udf("string")
     def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -131,11 +134,11 @@ def _candidates(columns: list[str], sizes: list[int]) -> Column:
     def of_size(runs: Column, n: int) -> Column:
         last = F.size(runs) - (n - 1)
         starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(runs, i, n), ""))
+        return F.transform(starts, lambda i: F.lower(F.array_join(F.slice(runs, i, n), "")))
 
     found = [nothing]
     for c in columns:
-        runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(f"`{c}`"), F.lit(""))), F.lit(RUNS), F.lit(1))
+        runs = F.regexp_extract_all(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit(RUNS), F.lit(1))
         found += [of_size(runs, n) for n in sizes]
     return F.array_distinct(F.concat(*found))
 
@@ -150,22 +153,24 @@ def _redact_large(df: DataFrame, dictionary: DataFrame, columns: list[str], size
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
     hits = (
         rows.select("_row", F.explode(_candidates(columns, sizes)).alias("key_lower"))
-        .join(dictionary.select("key_lower", "alias"), "key_lower")
+        .join(dictionary.select("key", "key_lower", "alias"), "key_lower")
         .groupBy("_row")
-        .agg(F.collect_list("key_lower").alias("_keys"), F.collect_list("alias").alias("_aliases"))
+        .agg(F.collect_list(F.struct("key", "key_lower", "alias")).alias("_hits"))
+        .select("_row", "_hits.key", "_hits.key_lower", "_hits.alias")
+        .toDF("_row", "_spellings", "_keys", "_aliases")
     )
 
     @F.pandas_udf("string")
-    def replaced(text: pd.Series, keys: pd.Series, aliases: pd.Series) -> pd.Series:
+    def replaced(text: pd.Series, spellings: pd.Series, keys: pd.Series, aliases: pd.Series) -> pd.Series:
         out = []
-        for t, k, a in zip(text, keys, aliases):
+        for t, s, k, a in zip(text, spellings, keys, aliases):
             if t is not None and k is not None:
                 own = dict(zip(k, a))
-                t = replace_keys(t, own, index_keys(own))
+                t = replace_keys(t, own, index_keys([*k, *s]))
             out.append(t)
         return pd.Series(out, dtype=object)
 
     redacted = rows.join(hits, "_row", "left").withColumns(
-        {c: replaced(F.col(f"`{c}`"), F.col("_keys"), F.col("_aliases")) for c in columns}
+        {c: replaced(F.col(f"`{c}`"), F.col("_spellings"), F.col("_keys"), F.col("_aliases")) for c in columns}
     )
     return redacted.select(*[f"`{c}`" for c in df.columns])

@@ -105,12 +105,12 @@ def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") ->
     """
     label = "Total_Net_Spend" if column == "total_net_spend" else column
     value = F.col("_value")
-    typed = rows.withColumn("_value", X.computed_once(N.strict_decimal(column)))
+    typed = rows.withColumn("_value", X.computed_once(N.exact_number(column)))
     compared = previous_value(
         typed.where(value.isNotNull()).select("file_key", "row_num", "_value"), "file_key", "row_num", "_value"
     )
     order = _row_violations(
-        compared, [(value > F.col("previous"), "not sorted", _at_row(f"{label} not sorted DESC"))]
+        compared, [(N.exceeds(value, F.col("previous")), "not sorted", _at_row(f"{label} not sorted DESC"))]
     )
     cells = _row_violations(typed, [*_number_checks(column, value, label), *_code_checks(rows)])
     return _until_first(cells, order)
@@ -119,18 +119,18 @@ def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") ->
 def month_order_violations(rows: DataFrame) -> DataFrame:
     """Years that rise, or months that rise as text within a year, in files sorted by both, falling."""
     year, month = F.col("_year"), F.col("_month")
-    typed = rows.withColumns({"_year": X.computed_once(N.strict_decimal("year")), "_month": X.ustrip("month")})
-    whole, blank = N.is_whole(year), X.is_blank("month")
+    typed = rows.withColumns({"_year": X.computed_once(N.exact_number("year")), "_month": X.ustrip("month")})
+    whole, blank = N.is_whole_number(year), X.is_blank("month")
     key = F.struct(year.alias("year"), month.alias("month"))
     readable = typed.where(whole & ~blank).select("file_key", "row_num", key.alias("_key"))
     compared = previous_value(readable, "file_key", "row_num", "_key")
-    rises = F.col("_key") > F.col("previous")
-    year_rises = F.col("_key.year") > F.col("previous.year")
+    year_rises = N.exceeds(F.col("_key.year"), F.col("previous.year"))
+    same_year = F.col("previous").isNotNull() & ~year_rises & ~N.exceeds(F.col("previous.year"), F.col("_key.year"))
     order = _row_violations(
         compared,
         [
-            (rises & year_rises, "not sorted", _at_row("Year not sorted DESC")),
-            (rises & ~year_rises, "not sorted", _at_row("Month not sorted DESC")),
+            (year_rises, "not sorted", _at_row("Year not sorted DESC")),
+            (same_year & (F.col("_key.month") > F.col("previous.month")), "not sorted", _at_row("Month not sorted DESC")),
         ],
     )
     cells = _row_violations(
@@ -292,10 +292,10 @@ def package_violations(spark: SparkSession, tables: Mapping[str, DataFrame], pac
     The spender and account tables are sorted by amount, the trends by month; ``Statements`` holds all
     statements, with ``file_key`` telling them apart.
     """
-    if not tables:
-        return _on_file(spark, package, "no package", "no output package found for validation")
-    listed = spark.createDataFrame([(package, name) for name in tables], "file_key string, name string")
+    listed = spark.createDataFrame([(package, name) for name in [*tables, None]], "file_key string, name string")
     found = [missing_tables(listed)]
+    if not tables:
+        found.append(_on_file(spark, package, "no package", "no output package found for validation"))
     for name, table in tables.items():
         labels, rule = RULES.get(name, ({}, code_violations))
         rows = table if "file_key" in table.columns else table.withColumn("file_key", F.lit(name))

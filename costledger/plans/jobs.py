@@ -17,9 +17,10 @@ from costledger.operators import validate as V
 from costledger.operators.numbering import number_source
 from costledger.operators.redact import pii_dictionary, redact
 from costledger.operators.reference import check_reference, prepare_reference
-from costledger.session import materialise
+from costledger.session import fit_shuffles, materialise
 from costledger.sinks import tables as sink
 from costledger.sources.delimited import read_delimited
+from costledger.sources.files import table_names
 
 
 def contract_costs(
@@ -27,6 +28,7 @@ def contract_costs(
 ) -> None:
     """Contract rows to reports. The rows are read once; everything derives from their grouped table."""
     spark = raw.sparkSession
+    fit_shuffles(raw)
     grouped = materialise(K.accumulate(K.classify_rows(raw)), "contract_groups")
     schools = materialise(K.school_year(grouped), "school_years")
     subjects = K.subject_year(grouped)
@@ -59,11 +61,12 @@ def reconciliation(
 
     The coerced transactions are stored once and all outputs read them, each with the columns it needs.
     """
+    fit_shuffles(transactions_raw, reference_raw)
     check_reference(reference_raw, renames)
     sink.replace_reference(prepare_reference(reference_raw, renames), f"{output}/reference")
     spark = reference_raw.sparkSession
     reference = spark.read.parquet(f"{output}/reference")
-    classified = materialise(TX.classify_transactions(transactions_raw, chunk_size), "transactions")
+    classified = materialise(TX.classify_transactions(transactions_raw, chunk_size, renames), "transactions")
     classified = TX.limit_batches(classified, dry_run_limit)
     valid = TX.valid_transactions(classified)
     sink.write_data_issues(TX.data_issues(classified), f"{output}/data_issues")
@@ -89,6 +92,7 @@ def redaction(
 
     A limit keeps whole batches of each table, counting all rows; the tables must then be plain scans.
     """
+    fit_shuffles(reference_raw, *tables.values())
     dictionary = materialise(pii_dictionary(reference_raw, renames), "dictionary")
     for name, table in tables.items():
         columns = table.columns
@@ -99,15 +103,18 @@ def redaction(
         sink.write_redacted(redact(table, dictionary), f"{output}/{name}")
 
 
-def validation(spark: SparkSession, package: str, names: tuple[str, ...] = V.REQUIRED_TABLES) -> DataFrame:
-    """Violations of the tables of a reconciliation run, read back from its files in file order."""
+def validation(spark: SparkSession, package: str) -> DataFrame:
+    """Violations of all tables that a package holds, read back from their files in file order.
+
+    Of each table the columns that its rule reads are numbered and stored, and nothing else.
+    """
     tables = {}
-    for name in names:
-        try:
-            scan = read_delimited(spark, f"{package}/{name}", encoding="UTF-8", missing=False, keep_source=True)
-        except AnalysisException:  # reported as missing
-            continue
-        tables[name] = number_source(scan, "row_num", start=2).drop("source_file")
+    for name in table_names(spark, package):
+        scan = read_delimited(spark, f"{package}/{name}", encoding="UTF-8", missing=False, keep_source=True)
+        key = name.rsplit(".", 1)[0]
+        needed = [c for c in scan.columns if c.lower() in (*V.RULES.get(key, ({}, None))[0], "tr_code")]
+        cells = scan.select(*(needed or scan.columns[:1]), "source_file", "source_split")
+        tables[key] = number_source(cells, "row_num", start=2).drop("source_file")
     try:
         statements = spark.read.parquet(f"{package}/Statements")
         tables["Statements"] = statements.withColumnsRenamed({"staff_id": "file_key", "src_row": "row_num"})

@@ -25,6 +25,12 @@ def _money(column: str) -> str:
     return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
+# Cells with the canonical names of headers.
+_NAMED = """SELECT *, CASE lower(regexp_replace(trim(cell), ' +', ' ', 'g')) WHEN 'school' THEN 'school' WHEN 'subject' THEN 'subject'
+        WHEN 'subject no' THEN 'subject_no' WHEN 'subject no.' THEN 'subject_no' WHEN 'subject number' THEN 'subject_no'
+        WHEN 'teaching session' THEN 'teaching_session' WHEN 'incl oncosts' THEN 'incl_oncosts' WHEN 'incl. oncosts' THEN 'incl_oncosts'
+        WHEN 'student count' THEN 'student_count' ELSE coalesce(trim(cell), '') END AS name FROM {0}"""
+
 # Named subqueries, each with those it builds on.
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "contract_raw": ((), views.plain(views.CONTRACT_RAW)),
@@ -33,7 +39,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"""SELECT trim(school) AS school, trim(subject_no) AS subject_no, trim(subject) AS subject,
         TRY_CAST(nullif(regexp_extract(teaching_session, '(19|20)[0-9][0-9]', 0), '') AS INTEGER) AS year,
         {_number("trim(replace(replace(incl_oncosts, '$', ''), ',', ''))")} AS cost,
-        CAST(trunc({_number("trim(replace(student_count, ',', ''))")}) AS BIGINT) AS students FROM contract_raw""",
+        CAST(trunc({_number("trim(replace(student_count, ',', ''))")}) AS HUGEINT) AS students FROM contract_raw""",
     ),
     "classified": (
         ("typed",),
@@ -48,16 +54,16 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "subject_year": (
         ("kept",),
-        f"""SELECT *, CASE WHEN total_students > 0 THEN total_oncosts / total_students WHEN total_oncosts = 0 THEN 0.0 END AS cps,
+        f"""SELECT *, CASE WHEN total_students > 0 THEN total_oncosts / CAST(total_students AS DOUBLE) WHEN total_oncosts = 0 THEN 0.0 END AS cps,
         CASE WHEN total_students > 0 THEN 'OK' WHEN total_oncosts = 0 THEN 'No activity' ELSE 'Undefined (0 students)' END AS status
-        FROM (SELECT school, subject_no, subject, year, {_money("cost")} AS total_oncosts, CAST(sum(students) AS BIGINT) AS total_students
+        FROM (SELECT school, subject_no, subject, year, {_money("cost")} AS total_oncosts, sum(students) AS total_students
         FROM kept GROUP BY ALL)""",
     ),
     "school_year": (
         ("kept",),
-        f"""SELECT *, CASE WHEN total_students > 0 THEN total_oncosts / total_students WHEN total_oncosts = 0 THEN 0.0 END AS cps,
+        f"""SELECT *, CASE WHEN total_students > 0 THEN total_oncosts / CAST(total_students AS DOUBLE) WHEN total_oncosts = 0 THEN 0.0 END AS cps,
         CASE WHEN total_students > 0 THEN 'OK' WHEN total_oncosts = 0 THEN 'No activity' ELSE 'Undefined (0 students)' END AS status
-        FROM (SELECT school, year, {_money("cost")} AS total_oncosts, CAST(sum(students) AS BIGINT) AS total_students
+        FROM (SELECT school, year, {_money("cost")} AS total_oncosts, sum(students) AS total_students
         FROM kept GROUP BY ALL)""",
     ),
     "anchors": (
@@ -139,7 +145,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "spender_files": ((), views.plain(views.SPENDER_FILES)),
     "spender_typed": (
         ("spender_files",),
-        """SELECT *, TRY_CAST(replace(total_net_spend, ',', '') AS DECIMAL(38,10)) AS v FROM spender_files""",
+        """SELECT *, TRY_CAST(replace(total_net_spend, ',', '') AS DOUBLE) AS v FROM spender_files""",
     ),
     "code_rows": (
         ("spender_files",),
@@ -168,7 +174,7 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "trend_files": ((), views.plain(views.TREND_FILES)),
     "trend_typed": (
         ("trend_files",),
-        """SELECT *, TRY_CAST(year AS DECIMAL(38,10)) AS y, trim(month) AS m FROM trend_files""",
+        """SELECT *, TRY_CAST(year AS DOUBLE) AS y, trim(month) AS m FROM trend_files""",
     ),
     "trend_order": (
         ("trend_typed",),
@@ -249,11 +255,10 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "sheet_names": (
         ("sheet_cells",),
-        """SELECT *, CASE lower(regexp_replace(trim(cell), ' +', ' ', 'g')) WHEN 'school' THEN 'school' WHEN 'subject' THEN 'subject'
-        WHEN 'subject no' THEN 'subject_no' WHEN 'subject no.' THEN 'subject_no' WHEN 'subject number' THEN 'subject_no'
-        WHEN 'teaching session' THEN 'teaching_session' WHEN 'incl oncosts' THEN 'incl_oncosts' WHEN 'incl. oncosts' THEN 'incl_oncosts'
-        WHEN 'student count' THEN 'student_count' ELSE coalesce(trim(cell), '') END AS name FROM sheet_cells""",
+        _NAMED.format("sheet_cells"),
     ),
+    "all_cells": (("raw_sheet",), "SELECT unnest([_c0, _c1, _c2, _c3, _c4, _c5, _c6, _c7]) AS cell FROM raw_sheet"),
+    "all_names": (("all_cells",), _NAMED.format("all_cells")),
     "located": (
         ("sheet_names",),
         """SELECT sheet_ord, sheet, row_idx AS header_row, CAST(max(position) FILTER (WHERE name = 'school') AS INTEGER) AS school,
@@ -366,7 +371,7 @@ def _message_body() -> str:
 
 _FAMILY = "CASE WHEN family_key = '-' THEN NULL ELSE family_key END"
 _SAFE = f"concat(trim(first_name), '_', coalesce({_FAMILY}, 'None'))"
-_YEAR_COLUMNS = "school, {keys}year, total_oncosts, total_students, cps AS oncosts_per_student, status"
+_YEAR_COLUMNS = "school, {keys}year, total_oncosts, TRY_CAST(total_students AS BIGINT) AS total_students, cps AS oncosts_per_student, status"
 
 
 def _case(column: str, values: dict[str, str]) -> str:
@@ -374,7 +379,7 @@ def _case(column: str, values: dict[str, str]) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "clean_rows": _sql("SELECT * FROM kept", "kept"),
+    "clean_rows": _sql("SELECT * REPLACE (TRY_CAST(students AS BIGINT) AS students) FROM kept", "kept"),
     "drop_reasons": _sql("SELECT reason, count(*) AS n_rows FROM classified GROUP BY reason", "classified"),
     "quality_counters": _sql("SELECT metric, value FROM counter_rows", "counter_rows"),
     "subject_year": _sql(
@@ -429,7 +434,7 @@ ORACLE: dict[str, str] = {
         + ", "
         + _per_year('max(cps) FILTER (WHERE year = {y}) AS "{y} Incl Oncosts Per Student"')
         + ", "
-        + _per_year('coalesce(max(total_students) FILTER (WHERE year = {y}), 0) AS "{y} Student Count"')
+        + _per_year('coalesce(max(TRY_CAST(total_students AS BIGINT)) FILTER (WHERE year = {y}), 0) AS "{y} Student Count"')
         + " FROM subject_year GROUP BY school, subject_no, subject",
         "subject_year",
     ),
@@ -572,7 +577,7 @@ ORACLE: dict[str, str] = {
         "raw_sheet",
         "located",
     ),
-    "header_names": _sql("SELECT cell, name FROM sheet_names WHERE position IN (0, 3, 4)", "sheet_names"),
+    "header_names": _sql("SELECT cell, name FROM all_names", "all_names"),
     "csv_roundtrip": _sql(
         "SELECT CAST(src_row AS VARCHAR) AS src_row, activity, debit, credit, net_amount, CAST(year AS VARCHAR) AS year, month, "
         "journal_line_desc FROM transactions_raw",

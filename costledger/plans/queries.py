@@ -292,7 +292,8 @@ def positional_rows(spark, folder):
 
 
 def header_names(spark, folder):
-    cells = view(spark, folder, views.RAW_SHEET).where(F.col("row_idx") <= 30).select(F.explode(F.array("_c0", "_c3", "_c4")).alias("cell"))
+    sheet = view(spark, folder, views.RAW_SHEET)
+    cells = sheet.select(F.explode(F.array(*[c for c in sheet.columns if c.startswith("_c")])).alias("cell"))
     return cells.select("cell", X.canonical_header("cell").alias("name"))
 
 
@@ -304,7 +305,8 @@ def csv_roundtrip(spark, folder):
 
 def stream_ingest(spark, folder):
     path = fresh_path(spark, "incoming")
-    sink.write_csv(view(spark, folder, views.TRANSACTIONS_RAW).select(*TRANSACTION_RAW.names), path)
+    # the files' columns are in another order than the job's
+    sink.write_csv(view(spark, folder, views.TRANSACTIONS_RAW).select(*reversed(TRANSACTION_RAW.names)), path)
     output = fresh_path(spark, "ingested")
     ingest_stream(read_transaction_stream(spark, path), output, fresh_path(spark, "progress")).awaitTermination()
     return read_ingested(spark, output).select(*[c for c in TRANSACTION.names if c != "batch_id"])
@@ -314,10 +316,6 @@ def fingerprint(spark, folder):
     return source_files.fingerprints(spark, folder, "*.parquet")
 
 
-def source_choice(spark, folder):
-    return source_files.choose_file(spark, folder, "er", (".csv", ".parquet")).select("name", "type_rank")
-
-
 QUERIES: dict[str, Query] = {
     "clean_rows": clean_rows,
     "drop_reasons": drop_reasons,
@@ -373,5 +371,4 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "stream_ingest": stream_ingest,
     "fingerprint": fingerprint,
-    "source_choice": source_choice,
 }

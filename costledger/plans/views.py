@@ -20,7 +20,7 @@ SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'Total' WHEN l_orderkey % 89 = 0 THEN
        CASE WHEN l_orderkey % 71 = 0 THEN NULL WHEN l_orderkey % 67 = 0 THEN 'n/a'
             WHEN l_orderkey % 5 = 0 THEN concat('$', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(24)))
             ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR(24)) END AS incl_oncosts,
-       CASE WHEN l_orderkey % 61 = 0 THEN NULL WHEN l_orderkey % 59 = 0 THEN '-3'
+       CASE WHEN l_orderkey % 1201 = 7 THEN '9e18' WHEN l_orderkey % 61 = 0 THEN NULL WHEN l_orderkey % 59 = 0 THEN '-3'
             WHEN l_suppkey % 12 = 11 THEN '0'
             ELSE concat(CAST(CAST(l_quantity AS INT) AS VARCHAR(8)), '.7') END AS student_count
 FROM {lineitem}
@@ -85,7 +85,7 @@ FROM ({PEOPLE_WORDS}) AS t WHERE first_name <> '' AND family_name <> ''
 # files sorted by falling amount, with unreadable cells, bad codes and a few rows out of order
 SPENDER_FILES = """
 SELECT concat('spenders_', CAST(o_custkey % 5 AS VARCHAR(4))) AS file_key, o_orderkey + 2 AS row_num,
-       CASE WHEN o_orderkey % 1009 = 1008 THEN '99,999,999.50' WHEN o_orderkey % 43 = 0 THEN 'n/a' WHEN o_orderkey % 47 = 0 THEN NULL
+       CASE WHEN o_orderkey < 30 THEN concat(CAST(90 - o_orderkey AS VARCHAR(4)), 'e30') WHEN o_orderkey % 1009 = 1008 THEN '99,999,999.50' WHEN o_orderkey % 43 = 0 THEN 'n/a' WHEN o_orderkey % 47 = 0 THEN NULL
             ELSE CAST(CAST(10000000 - o_orderkey * 0.25 AS DECIMAL(18,2)) AS VARCHAR(24)) END AS total_net_spend,
        CASE WHEN o_orderkey % 53 = 0 THEN '12' ELSE lpad(CAST(o_custkey AS VARCHAR(12)), 7, '0') END AS tr_code
 FROM {orders}
@@ -94,7 +94,7 @@ FROM {orders}
 # files sorted by falling year and month text, with the like
 TREND_FILES = """
 SELECT concat('trends_', CAST(o_custkey % 3 AS VARCHAR(4))) AS file_key, o_orderkey + 2 AS row_num,
-       CASE WHEN o_orderkey % 907 = 906 THEN '9999' WHEN o_orderkey % 103 = 0 THEN '2020.5' WHEN o_orderkey % 107 = 0 THEN NULL
+       CASE WHEN o_orderkey % 907 = 906 THEN '9999' WHEN o_orderkey % 103 = 0 THEN '2020.5' WHEN o_orderkey % 113 = 0 THEN '2020.00000000001' WHEN o_orderkey % 107 = 0 THEN NULL
             WHEN o_orderkey % 109 = 0 THEN 'abc'
             ELSE CAST(9000 - CAST(floor(o_orderkey / 400) AS INT) AS VARCHAR(8)) END AS year,
        CASE WHEN o_orderkey % 101 = 0 THEN ' '

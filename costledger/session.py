@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,6 +40,16 @@ def shuffle_partitions(input_bytes: int, target_bytes: int = 128 * 1024**2, leas
     return max(least, -(-input_bytes // target_bytes))
 
 
+def fit_shuffles(*inputs: DataFrame) -> None:
+    """Set the session's number of shuffle partitions for jobs over these inputs, by their estimated size; it never falls."""
+    spark = inputs[0].sparkSession
+    estimate = sum(int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for df in inputs)
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # an unknown size is reported as the largest number there is
+    wanted = now if estimate >= 2**62 else shuffle_partitions(estimate, least=now)
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's folder for intermediate data, as ``spark.checkpoint.dir`` names it.
 
@@ -47,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:

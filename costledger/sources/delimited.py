@@ -26,7 +26,7 @@ def check_suffix(path: str, suffixes: tuple[str, ...] = SUFFIXES) -> None:
         raise ValueError(f"Unsupported input file format: {name}")
 
 
-def files_by_encoding(spark: SparkSession, path: str) -> dict[str, list[str]]:
+def files_by_encoding(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
     """The files below ``path`` by encoding: UTF-8 where every line is valid UTF-8, else windows-1252.
 
     One distributed pass; a row per file reaches the driver. Name the encoding to save the pass.
@@ -84,22 +84,24 @@ def _reader(spark: SparkSession, encoding: str, multi_line: bool):
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     encoding: str = "auto",
     multi_line: bool = False,
     missing: bool = True,
     keep_source: bool = False,
 ) -> DataFrame:
-    """All text columns of a delimited file or folder.
+    """All text columns of a delimited file or folder, or of several files with one header.
 
     ``encoding="auto"`` falls back to windows-1252 for files that are not UTF-8, file by file. ``multi_line``
     allows line breaks in quoted cells, at the price of one task per file. ``keep_source`` adds the file and split
     that ``number_source`` numbers rows by.
     """
-    check_suffix(path)
-    groups = files_by_encoding(spark, path) if encoding == "auto" else {encoding: [path]}
+    paths = [path] if isinstance(path, str) else list(path)
+    for one in paths:
+        check_suffix(one)
+    groups = files_by_encoding(spark, paths) if encoding == "auto" else {encoding: paths}
     if not groups:
-        groups = {"UTF-8": [path]}
+        groups = {"UTF-8": paths}
     parts = [_read_part(spark, files, enc, multi_line, keep_source) for enc, files in groups.items()]
     df = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
     return mark_missing(df) if missing else df

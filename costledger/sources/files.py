@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,18 @@ def _listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
+def table_names(spark: SparkSession, package: str) -> list[str]:
+    """Names of the CSV files, or folders of such files, right below a folder; none if it does not exist."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    try:
+        paths = listing.load(package).select("path")
+    except AnalysisException:
+        return []
+    base = package.rstrip("/").rsplit("/", 1)[-1]
+    below = F.regexp_extract("path", f"/{re.escape(base)}/([^/]+)", 1)
+    return sorted(r["name"] for r in paths.select(below.alias("name")).distinct().where("name <> ''").collect())
+
+
 def candidate_files(
     spark: SparkSession, folder: str, pattern: str, suffixes: Sequence[str] = PREFERRED_SUFFIXES
 ) -> DataFrame:

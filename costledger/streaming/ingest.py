@@ -2,46 +2,70 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from costledger.operators.numbering import number_source
 from costledger.operators.transactions import classify_transactions, valid_transactions
-from costledger.schemas import TRANSACTION, TRANSACTION_RAW
+from costledger.schemas import TRANSACTION
+from costledger.sources.delimited import read_delimited
+
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def read_transaction_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> DataFrame:
-    """Raw transactions out of CSV files as they arrive, all columns as text but the row number."""
-    return (
-        spark.readStream.schema(TRANSACTION_RAW)
-        .option("header", True)
-        .option("escape", '"')
-        .option("maxFilesPerTrigger", max_files)
-        .csv(folder)
-    )
+    """The CSV files as they arrive, by path; their content is read by name of its columns, see ``ingest_stream``."""
+    files = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", max_files).load(folder)
+    return files.select("path")  # the content is not selected, so it is not read
+
+
+def read_by_header(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """Files whose headers may differ: a scan for each header, with columns by name.
+
+    The first line of each file is read once more; the files of a trigger are bounded by ``maxFilesPerTrigger``.
+    """
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for path in sorted(paths):
+        header = read_delimited(spark, path, encoding="UTF-8", missing=False).columns
+        by_header.setdefault(tuple(header), []).append(path)
+    parts = []
+    for header, files in by_header.items():
+        # files without row numbers are numbered as they are placed
+        own = "src_row" in [c.lower() for c in header]
+        scan = read_delimited(spark, files, encoding="UTF-8", keep_source=not own)
+        parts.append(scan.withColumn("src_row", F.col("src_row").cast("bigint")) if own else number_source(scan, "src_row").drop("source_file"))
+    return parts
 
 
 def ingest_stream(
-    raw: DataFrame,
+    files: DataFrame,
     output: str,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
     renames: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
-    """Store the valid transactions of each micro-batch, with the epoch as their batch.
+    """Store the valid transactions of each micro-batch of files, with the epoch as their batch.
 
     An epoch that is repeated after a failure overwrites its own folder, so no row is stored twice. The coercions
-    keep no state, hence no watermark.
+    keep no state, hence no watermark. A file without an activity column raises.
     """
 
-    def store(rows: DataFrame, epoch: int) -> None:
-        typed = valid_transactions(classify_transactions(rows, renames=renames))
+    def store(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        paths = [r["path"] for r in batch.select("path").collect()]
+        if not paths:
+            return
+        # classified by header, so a file that lacks the activity raises and is not filled up from the others
+        parts = [valid_transactions(classify_transactions(rows, renames=renames)) for rows in read_by_header(spark, paths)]
+        typed = reduce(DataFrame.unionByName, parts)
         typed.drop("batch_id").write.mode("overwrite").parquet(f"{output}/batch_id={epoch}")
 
     return (
-        raw.writeStream.foreachBatch(store)
+        files.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from costledger.operators import validate as V
@@ -82,6 +83,48 @@ def test_redaction(spark, sf, tmp_path):
     assert data.count() == 200 and data.columns == tx.columns
 
 
+def test_validation_reads_every_table(spark, tmp_path):
+    extra = spark.createDataFrame([("bad", "x"), ("1234567", "y")], "tr_code string, note string")
+    sink.write_csv(extra, str(tmp_path / "Extra"))
+    (tmp_path / "Spending_by_Account.csv").write_text("account_name,net\na,1\n")
+    found = sorted((r["file_key"], r["rule"]) for r in jobs.validation(spark, str(tmp_path)).collect())
+    assert found == [("Extra", "tr_code"), ("Spending_by_Account", "columns"), *[("package", "missing table")] * 3]
+    assert {r["rule"] for r in jobs.validation(spark, str(tmp_path / "nothing")).collect()} == {"missing table", "no package"}
+
+
+def test_one_large_count_does_not_stop_the_job(spark):
+    from costledger.operators import contract as K
+
+    rows = [("A", "1", "S", "2020", "10", "9e18"), ("A", "1", "S", "2020", "10", "9e18"), ("B", "1", "S", "2020", "10", "4")]
+    raw = spark.createDataFrame(rows, "school string, subject_no string, subject string, teaching_session string, incl_oncosts string, student_count string")
+    got = {r["school"]: (r["total_students"], r["oncosts_per_student"], r["status"]) for r in K.school_year(K.accumulate(K.classify_rows(raw))).collect()}
+    assert got == {"A": (None, 20 / 18e18, "OK"), "B": (4, 2.5, "OK")}
+
+
+def test_stream_reads_columns_by_name(spark, tmp_path):
+    incoming, stored, progress = (str(tmp_path / n) for n in ("incoming", "stored", "progress"))
+    os.mkdir(incoming)
+    with open(f"{incoming}/a.csv", "w") as f:
+        f.write("src_row,activity,debit,credit\n0,1234567 - X,5,6\n")
+    with open(f"{incoming}/b.csv", "w") as f:
+        f.write("credit,debit,src_row,Activity Level 3 Code and Name\n6,5,1,1234567 - X\n")
+    with open(f"{incoming}/c.csv", "w") as f:
+        f.write("credit,debit,activity\n6,5,1234567 - X\n")
+    ingest_stream(read_transaction_stream(spark, incoming), stored, progress).awaitTermination()
+    rows = read_ingested(spark, stored).collect()
+    assert len(rows) == 3 and {(r["debit"], r["credit"], r["tr_code"]) for r in rows} == {(5.0, 6.0, "1234567")}
+    with open(f"{incoming}/d.csv", "w") as f:
+        f.write("src_row,debit\n2,5\n")
+    with pytest.raises(StreamingQueryException, match="activity"):
+        ingest_stream(read_transaction_stream(spark, incoming), stored, progress).awaitTermination()
+
+
+def test_renames_reach_the_transactions(spark, sf, tmp_path):
+    raw = view(spark, sf, views.TRANSACTIONS_RAW).where("src_row < 400")
+    jobs.reconciliation(raw.withColumnRenamed("debit", "Amount_Debit"), view(spark, sf, views.REFERENCE_RAW), str(tmp_path), renames={"Amount_Debit": "debit"})
+    assert read_delimited(spark, f"{tmp_path}/Transaction_Ledger").agg(F.sum(F.col("debit").cast("double"))).first()[0] > 0
+
+
 def test_stream(spark, sf, tmp_path):
     raw = view(spark, sf, views.TRANSACTIONS_RAW)
     incoming, stored, progress = (str(tmp_path / n) for n in ("incoming", "stored", "progress"))

@@ -5,7 +5,7 @@ import __spark_entry__ as entry
 from costledger.plans.oracle import ORACLE
 from costledger.plans.queries import QUERIES
 
-WITHOUT_SQL = {"redacted_conversations", "own_statements_verdict", "fingerprint", "source_choice"}
+WITHOUT_SQL = {"redacted_conversations", "own_statements_verdict", "fingerprint"}
 
 
 @pytest.fixture(scope="module")

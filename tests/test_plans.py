@@ -4,14 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
-from costledger.plans.oracle import ORACLE
 from costledger.plans.queries import QUERIES
 
 # queries that end in one row, or number a small table
 ONE_TASK = {
     "quality_counters", "processing_summary", "scorecard", "verdict", "own_statements_verdict", "batch_totals",
-    "dry_run_batches", "pii_dictionary", "pii_dictionary_people", "redacted_reference", "located_header", "source_choice",
+    "dry_run_batches", "pii_dictionary", "pii_dictionary_people", "redacted_reference", "located_header",
 }
 PYTHON = {"redacted_documents", "redacted_phrases", "redacted_conversations", "redacted_reference"}
 

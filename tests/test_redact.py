@@ -109,3 +109,10 @@ def test_people_of_the_given_tables(spark, sf):
     }
     got = {(r["conv_id"], r["turn"]): r["text"] for r in queries.redacted_conversations(spark, sf).collect()}
     assert got == {k: t and _by_regex(t, aliases) for k, t in texts.items()}
+
+
+@pytest.mark.parametrize("limit", [R.MAX_BROADCAST_CHARS, 0])
+def test_keys_whose_lower_case_has_more_runs(spark, limit):
+    dictionary = spark.createDataFrame([("İnci", "İnci".lower(), "R_1", False), ("Öz", "öz", "R_2", False)], "key string, key_lower string, alias string, is_id boolean")
+    df = spark.createDataFrame([("İnci Öz phoned",), ("xİnci inci ÖZ",)], "t string")
+    assert [r["t"] for r in redact(df, dictionary, max_broadcast_chars=limit).collect()] == ["R_1 R_2 phoned", "xİnci inci R_2"]

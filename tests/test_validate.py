@@ -95,7 +95,7 @@ def test_header_case_does_not_matter(spark):
 
 
 def test_package(spark):
-    assert [r["rule"] for r in V.package_violations(spark, {}).collect()] == ["no package"]
+    assert sorted(r["rule"] for r in V.package_violations(spark, {}).collect()) == ["missing table"] * 4 + ["no package"]
     tables = {
         "All_Spenders": spark.createDataFrame([(2, "x")], "row_num bigint, other string"),
         "Transaction_Ledger": spark.createDataFrame([(2, "12")], "row_num bigint, tr_code string"),
