@@ -22,6 +22,11 @@ SUBJECT_KEYS = ["school", "subject_no", "subject", "year"]
 SCHOOL_KEYS = ["school", "year"]
 
 
+def known_headers(raw: DataFrame) -> DataFrame:
+    """Columns with the names that the job reads, for headers in other spellings; unknown ones keep theirs."""
+    return raw.withColumnsRenamed({c: X.HEADER_ALIASES.get(" ".join(c.split()).lower(), c) for c in raw.columns})
+
+
 def classify_rows(raw: DataFrame) -> DataFrame:
     """Typed contract rows, each with the first reason to drop it or ``kept``.
 

@@ -19,15 +19,35 @@ from costledger.operators.redact import pii_dictionary, redact
 from costledger.operators.reference import check_reference, prepare_reference
 from costledger.session import fit_shuffles, materialise
 from costledger.sinks import tables as sink
-from costledger.sources.delimited import read_delimited
-from costledger.sources.files import table_names
+from costledger.sources.delimited import read_delimited, read_raw_cells
+from costledger.sources.files import find_file, fingerprints, table_names
+from costledger.sources.sheet import body_rows, locate_table
+
+
+def contract_costs_of_file(spark: SparkSession, path: str, output: str, pattern: str = "") -> None:
+    """Reports out of an export as it is: the table is found below any notes, and its cells stay the texts they are.
+
+    With a ``pattern`` the file is chosen in the folder ``path``. The summary names the file's fingerprint and the header's row.
+    """
+    path = find_file(spark, path, pattern, (".csv",)) if pattern else path
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    cells = number_source(read_raw_cells(spark, path), "row_idx", per_file=True, start=1)
+    sheet = cells.withColumns({"sheet_ord": F.lit(1), "sheet": F.lit(name)})
+    located = materialise(locate_table(sheet), "header")
+    rows = body_rows(sheet, located)
+    sha256 = fingerprints(spark, path).first()["sha256"]
+    contract_costs(rows, output, sha256, path, name, located.first()["header_row"])
 
 
 def contract_costs(
     raw: DataFrame, output: str, sha256: str = "", source: str = "", sheet: str = "", header_row: int = 0
 ) -> None:
-    """Contract rows to reports. The rows are read once; everything derives from their grouped table."""
+    """Contract rows to reports. The rows are read once; everything derives from their grouped table.
+
+    Headers may be spelled as exports do, in any case and spacing.
+    """
     spark = raw.sparkSession
+    raw = K.known_headers(raw)
     fit_shuffles(raw)
     grouped = materialise(K.accumulate(K.classify_rows(raw)), "contract_groups")
     schools = materialise(K.school_year(grouped), "school_years")

@@ -439,8 +439,8 @@ ORACLE: dict[str, str] = {
         "subject_year",
     ),
     "processing_summary": _sql(
-        "SELECT 0 AS ord, 'Input file SHA-256' AS label, 'none' AS value UNION ALL SELECT 1, 'Input sheet', 'Data' "
-        "UNION ALL SELECT 2, 'Header row (1-based)', '5' UNION ALL SELECT "
+        "SELECT 0 AS ord, 'Input file SHA-256' AS label, 'none' AS value UNION ALL SELECT 1, 'Input sheet', sheet FROM located "
+        "UNION ALL SELECT 2, 'Header row (1-based)', CAST(header_row AS VARCHAR) FROM located UNION ALL SELECT "
         + _case("metric", {name: str(i + 3) for i, name in enumerate(COUNTER_LABELS)})
         + ", "
         + _case("metric", {name: f"'{label}'" for name, label in COUNTER_LABELS.items()})
@@ -448,6 +448,7 @@ ORACLE: dict[str, str] = {
         "format('min {:.4f}, median {:.4f}, max {:.4f}', a, b, c) FROM anchors",
         "counter_rows",
         "anchors",
+        "located",
     ),
     "reference_clean": _sql("SELECT * FROM reference", "reference"),
     "reference_issues": _sql(

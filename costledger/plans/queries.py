@@ -119,7 +119,8 @@ def subject_report(spark, folder):
 def processing_summary(spark, folder):
     grouped = materialise(_grouped(spark, folder), "contract_groups")
     anchors = B.year_anchors(materialise(K.school_year(grouped), "school_years"))
-    return sink.processing_summary(K.quality_counters(grouped), anchors, "none", "Data", 5)
+    found = locate_table(view(spark, folder, views.RAW_SHEET)).first()
+    return sink.processing_summary(K.quality_counters(grouped), anchors, "none", found["sheet"], found["header_row"])
 
 
 def reference_clean(spark, folder):

@@ -1,4 +1,5 @@
 import os
+from hashlib import sha256
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -28,6 +29,27 @@ def test_contract_costs(spark, sf, tmp_path):
     assert [tuple(r) for r in read_delimited(spark, f"{out}/run_log").collect()] == [("OK", "in.csv", out, "abc")] * 2
 
 
+def test_contract_costs_of_an_export(spark, tmp_path):
+    lines = ["Exported by finance,,,,,", ",,,,,", 'School , Subject No.,Subject,TEACHING  SESSION,"Incl. Oncosts",Student Count']
+    lines += ["NA,1,Maths,Autumn 2020,$100,4", "None,1,Maths,Autumn 2020,50,5", "None,2,null,Autumn 2020,50,5"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "contracts_2020.csv").write_text("\n".join(lines) + "\n")
+    jobs.contract_costs_of_file(spark, str(tmp_path / "in"), str(tmp_path / "out"), "contracts")
+    summary = {r["label"]: r["value"] for r in read_delimited(spark, f"{tmp_path}/out/processing_summary").collect()}
+    assert summary["Header row (1-based)"] == "3" and summary["Input file SHA-256"] == sha256((tmp_path / "in" / "contracts_2020.csv").read_bytes()).hexdigest()
+    trends = read_delimited(spark, f"{tmp_path}/out/trend_analysis", missing=False)
+    assert {(r["school"], float(r["2020"])) for r in trends.collect()} == {("NA", 25.0), ("None", 10.0)}
+    raw = read_delimited(spark, f"{tmp_path}/in/contracts_2020.csv", missing=False)
+    assert len(raw.columns) == 6
+
+
+def test_contract_headers_in_other_spellings(spark, tmp_path):
+    columns = ["School", "Subject No.", "Subject", "Teaching Session", "Incl. Oncosts", "Student Count"]
+    raw = spark.createDataFrame([("A", "1", "S", "2020", "10", "2")], columns)
+    jobs.contract_costs(raw, str(tmp_path))
+    assert float(read_delimited(spark, f"{tmp_path}/trend_analysis").first()["2020"]) == 5.0
+
+
 def test_contract_costs_without_rows(spark, sf, tmp_path):
     out = str(tmp_path)
     jobs.contract_costs(view(spark, sf, views.CONTRACT_RAW).where("false"), out)
