@@ -156,10 +156,13 @@ def by_groups(df: DataFrame, keys: list[str], function: Callable[[Iterator[pa.Re
     return in_batches(df.repartition(*keys).sortWithinPartitions(*keys), function, schema, rows)
 
 
-def block_pairs(block, n_blocks):
+def block_pairs(block, n_blocks, inner: bool = True):
     """For a member of block ``block`` of ``n_blocks``: the pairs (i <= j) of blocks that hold it, as an array of structs.
 
-    Comparing within each pair compares all members with each other, in groups of bounded size.
+    Comparing within each pair compares all members with each other, in groups of bounded size. Without ``inner`` a pair of equal blocks
+    is left out unless there is one block only, for comparisons that take a pair of blocks as one group.
     """
     others = F.sequence(F.lit(0), n_blocks - 1)
+    if not inner:
+        others = F.filter(others, lambda o: (o != block) | (n_blocks == 1))
     return F.transform(others, lambda o: F.struct(F.least(o, block).cast("int").alias("i"), F.greatest(o, block).cast("int").alias("j")))

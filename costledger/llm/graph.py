@@ -33,25 +33,37 @@ class Forest:
         return kept
 
 
+def contracted(left: list[int], right: list[int]) -> tuple[list[int], list[int]]:
+    """The edges of one task as stars: each node that is not the smallest of its tree, and the smallest one."""
+    nodes, at = np.unique(np.array([left, right], dtype=np.int64), return_inverse=True)
+    forest = Forest(len(nodes))
+    forest.spanning(*at.reshape(2, -1))
+    roots = np.array([forest.root(x) for x in range(len(nodes))], dtype=np.int64)
+    inner = np.flatnonzero(roots != np.arange(len(nodes)))
+    return nodes[inner].tolist(), nodes[roots[inner]].tolist()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and none of those with one has a larger one."""
+    sides = edges.select(F.col("u").alias("node"), F.col("v").alias("up")).union(edges.select(F.col("v"), F.lit(None).cast("long")))
+    seen = sides.groupBy("node").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.max(F.col("up").isNull()).alias("above"))
+    return not seen.where("low <> high OR (low IS NOT NULL AND above)").limit(1).count()
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """``node`` and ``component`` (the smallest node reachable) of all nodes that have an edge ``a``, ``b``.
 
-    Alternating stars: each round links a node's larger neighbours to its smallest one, then its smaller ones. Minima are summed in the
-    tasks and joined back, so a hub's edges are split over tasks. The number of rounds grows with the logarithm of the nodes.
+    Alternating stars: each round links a node's larger neighbours to its smallest one, then its smaller ones, until only stars are left. Minima
+    are formed in the tasks and joined back, so a hub's edges are split over tasks. The number of rounds grows with the logarithm of the nodes.
     """
-    current = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    before = None
-    while True:
+    current = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), name)
+    while not _stars(current):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        large = both.join(least, F.col("u") == F.col("x")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, F.col("u") == F.col("x")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x")
         joined = large.join(least, F.col("u") == F.col("x"))
-        small = joined.select("u", F.col("m").alias("v")).union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = least.select(F.col("x").alias("u"), F.col("m").alias("v")).union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
         current = stored(small.distinct(), name)
-        state = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        if state == before:
-            break
-        before = state
-    roots = current.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+    own = current.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), "v"))).alias("e"))
+    return own.select(F.col("e.u").alias("node"), F.col("e.v").alias("component")).distinct()

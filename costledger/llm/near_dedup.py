@@ -8,8 +8,8 @@
    than ``LIST_BLOCK`` in pairs of blocks.
 3. Within a list the bottom-k sketch of each pair's union estimates its similarity. Pairs above the estimate's lower bound connect; a task hands on a
    spanning forest, never the pairs. Components of these edges are the clusters: linked documents are in one cluster.
-4. Within a cluster (in pairs of blocks of bounded size) the full sets give exact intersections. Again a spanning forest of the links is handed on.
-5. Components of the links.
+4. Within a cluster (in pairs of blocks of bounded size) the full sets give exact intersections. Again the links leave the task as a forest.
+5. Components of the links; of a cluster that is one block the task has them already.
 
 So no step makes rows for all pairs of a group, and no group meets in one task. Texts are read twice; sets are made for members of clusters only.
 
@@ -27,15 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costledger.llm.common import block_pairs, by_groups, in_batches, shingle_sets, stored, whole_groups
-from costledger.llm.graph import Forest, components
+from costledger.llm.graph import Forest, components, contracted
 
 K = 48
 #: Of ``K`` sketch values, those that sets with a similarity of 0.8 share at least: 38.4 are expected, with a deviation of 2.8.
 LEAST_SHARED = 23
 LEAST_ESTIMATE = LEAST_SHARED / K
-LIST_BLOCK = 512
-#: Shingles in a block of a cluster.
+LIST_BLOCK = 2048
+#: Shingles and documents in a block of a cluster.
 CLUSTER_BLOCK = 1_000_000
+CLUSTER_DOCUMENTS = 2048
 #: Shared shingles that are compared at once.
 COLUMNS = 8192
 #: Links have a similarity of at least ``PART`` / ``WHOLE``.
@@ -127,11 +128,6 @@ def near_in_list(sketches: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int
     return edges
 
 
-def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
-    columns = [pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-
 def padded(sketches: pa.ChunkedArray | pa.Array) -> np.ndarray:
     lists_ = sketches.combine_chunks() if isinstance(sketches, pa.ChunkedArray) else sketches
     offsets = lists_.offsets.to_numpy()
@@ -147,16 +143,14 @@ def candidate_edges(reps: DataFrame, post: DataFrame) -> DataFrame:
     listed = post.join(lists(post), "value").join(reps.select("rep", "n", "sketch"), "rep")
     n_blocks = F.ceil(F.col("members") / LIST_BLOCK).cast("int")
     block = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
-    rows = listed.withColumn("pair", F.explode(block_pairs(block, n_blocks))).select("value", "pair.i", "pair.j", "rep", "n", "sketch")
+    rows = listed.withColumn("pair", F.explode(block_pairs(block, n_blocks, inner=False))).select("value", "pair.i", "pair.j", "rep", "n", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_, starts in whole_groups(batches, 3):
             ids, sizes, sketches = rows_.column(3).to_numpy(), rows_.column(4).to_numpy(), padded(rows_.column(5))
-            edges = []
-            for first, last in zip(starts[:-1], starts[1:], strict=True):
-                own = ids[first:last]
-                edges += [(int(own[a]), int(own[b])) for a, b in near_in_list(sketches[first:last], sizes[first:last])]
-            yield _edge_batch(sorted(set(edges)))
+            edges = [(a + first, b + first) for first, last in zip(starts[:-1], starts[1:], strict=True) for a, b in near_in_list(sketches[first:last], sizes[first:last])]
+            sides = contracted(ids[[a for a, _ in edges]], ids[[b for _, b in edges]]) if edges else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in sides], ["a", "b"])
 
     return by_groups(rows, ["value", "i", "j"], run, "a long, b long")
 
@@ -186,9 +180,12 @@ def links_in_cluster(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return Forest(len(sets)).spanning(left, right)
 
 
-def link_edges(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
-    """Edges ``a``, ``b`` that connect all linked documents of each cluster. ``clusters``: ``rep``, ``n``, ``cluster``."""
-    sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("shingles"))
+def linked(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
+    """Edges ``a``, ``b`` (the smaller one) that connect all linked documents of each cluster. ``clusters``: ``rep``, ``n``, ``cluster``.
+
+    ``whole`` says that the cluster is one block, so ``b`` is the smallest document of the component already.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("shingles"), F.count("*").alias("documents"))
     members = stored(clusters.join(sizes, "cluster"), "near_members")
     texts = docs.where("doc_id IS NOT NULL").join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
 
@@ -198,21 +195,26 @@ def link_edges(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["rep", "shingles_of"])
 
     sets = in_batches(texts.select("doc_id", "text"), make, "rep long, shingles_of binary").dropDuplicates(["rep"])
-    n_blocks = F.ceil(F.col("shingles") / CLUSTER_BLOCK).cast("int")
+    n_blocks = F.greatest(F.ceil(F.col("shingles") / CLUSTER_BLOCK), F.ceil(F.col("documents") / CLUSTER_DOCUMENTS)).cast("int")
     block = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
-    rows = members.join(sets, "rep").withColumn("pair", F.explode(block_pairs(block, n_blocks)))
+    rows = members.join(sets, "rep").withColumns({"blocks": n_blocks, "pair": F.explode(block_pairs(block, n_blocks, inner=False))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_, starts in whole_groups(batches, 3):
-            ids = rows_.column(3).to_numpy()
-            sets_ = [np.frombuffer(s, dtype=np.int64) for s in rows_.column(4).to_pylist()]
-            edges = []
+            ids, blocks = rows_.column(3).to_numpy(), rows_.column(4).to_numpy()
+            sets_ = [np.frombuffer(s, dtype=np.int64) for s in rows_.column(5).to_pylist()]
+            nodes, least, whole = [], [], []
             for first, last in zip(starts[:-1], starts[1:], strict=True):
-                if last - first > 1:
-                    edges += [(int(ids[first + a]), int(ids[first + b])) for a, b in links_in_cluster(sets_[first:last])]
-            yield _edge_batch(edges)
+                own = ids[first:last]
+                edges = links_in_cluster(sets_[first:last]) if last - first > 1 else []
+                if edges:
+                    a, b = contracted(own[[x for x, _ in edges]], own[[y for _, y in edges]])
+                    nodes, least, whole = nodes + a, least + b, whole + [bool(blocks[first] == 1)] * len(a)
+            columns = [pa.array(nodes, pa.int64()), pa.array(least, pa.int64()), pa.array(whole, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "whole"])
 
-    return by_groups(rows.select("cluster", "pair.i", "pair.j", "rep", "shingles_of"), ["cluster", "i", "j"], run, "a long, b long", 256)
+    columns = ["cluster", "pair.i", "pair.j", "rep", "blocks", "shingles_of"]
+    return by_groups(rows.select(columns), ["cluster", "i", "j"], run, "a long, b long, whole boolean", 256)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -223,9 +225,10 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     post = stored(posted(reps), "near_posted")
     clusters = components(candidate_edges(reps, post), "near_clusters")
     clusters = clusters.join(reps.select("rep", "n"), F.col("node") == F.col("rep")).select("rep", "n", F.col("component").alias("cluster"))
-    found = components(link_edges(docs, clusters, width), "near_links")
+    links = stored(linked(docs, clusters, width), "near_links")
+    found = components(links.where("NOT whole"), "near_groups").union(links.where("whole").select("a", "b"))
     joined = known.join(found, F.col("rep") == F.col("node"), "left")
-    component = F.coalesce("component", "rep", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
 
