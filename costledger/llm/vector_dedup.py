@@ -188,7 +188,7 @@ def near_vectors(embeddings: DataFrame, least: float = LEAST_COSINE) -> DataFram
     links = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("links"))
     groups = components(found.where("b IS NOT NULL"), "vector_groups")
     joined = known.select("vec_id", "rep", "weight").join(links, F.col("rep") == F.col("a"), "left").join(groups, F.col("rep") == F.col("node"), "left")
-    n_links = F.coalesce(F.col("weight") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
-    component = F.coalesce("component", "rep", "vec_id")
+    n_links = F.when(F.col("vec_id").isNotNull(), F.coalesce(F.col("weight") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))).otherwise(F.lit(0))
+    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "rep", "vec_id"))
     kept = F.coalesce(component == F.col("vec_id"), F.lit(True))
     return joined.select("vec_id", n_links.alias("n_links"), component.alias("component_id"), kept.alias("kept"))
