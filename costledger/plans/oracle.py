@@ -513,6 +513,36 @@ ORACLE: dict[str, str] = {
         "FROM staff_totals",
         "staff_totals",
     ),
+    "sorted_spenders": _sql(
+        "SELECT row_number() OVER (ORDER BY total_net_spend DESC NULLS LAST, staff_id NULLS FIRST, first_name NULLS FIRST, family_name NULLS FIRST, "
+        f"email NULLS FIRST) AS place, staff_id, first_name, family_name, email FROM (SELECT staff_id, first_name, family_name, email, "
+        f"{_money('net_amount')} AS total_net_spend FROM matched GROUP BY staff_id, first_name, family_name, email)",
+        "matched",
+    ),
+    "sorted_trends": _sql(
+        "SELECT row_number() OVER (ORDER BY year DESC NULLS LAST, month DESC NULLS LAST) AS place, CAST(year AS VARCHAR) AS year, month "
+        "FROM (SELECT DISTINCT year, month FROM tx)",
+        "tx",
+    ),
+    "sorted_accounts": _sql(
+        "SELECT row_number() OVER (ORDER BY total_net_spend DESC NULLS LAST, account_name NULLS FIRST) AS place, account_name "
+        f"FROM (SELECT account_name, {_money('net_amount')} AS total_net_spend FROM tx GROUP BY account_name)",
+        "tx",
+    ),
+    "sorted_report": _sql(
+        "SELECT row_number() OVER (ORDER BY school, subject_no, subject) AS place, school, subject_no, subject "
+        "FROM (SELECT DISTINCT school, subject_no, subject FROM subject_year)",
+        "subject_year",
+    ),
+    "sorted_bands": _sql(
+        "SELECT row_number() OVER (ORDER BY school, year) AS place, school, CAST(year AS VARCHAR) AS year FROM bands", "bands"
+    ),
+    "sorted_statements": _sql(
+        "SELECT row_number() OVER (ORDER BY staff_id, is_total, batch_id NULLS FIRST, src_row NULLS FIRST) AS place, staff_id, is_total, src_row "
+        "FROM (SELECT staff_id, false AS is_total, batch_id, src_row FROM matched WHERE staff_id IS NOT NULL "
+        "UNION ALL SELECT staff_id, true, NULL, NULL FROM staff_totals)",
+        "staff_totals",
+    ),
     "statements": _sql(
         "SELECT tr_code, account_name, debit, credit, net_amount, year, month, description, batch_id, first_name, family_name, "
         "email, staff_id, false AS is_total FROM matched WHERE staff_id IS NOT NULL UNION ALL "

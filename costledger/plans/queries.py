@@ -197,6 +197,47 @@ def staff_totals(spark, folder):
     return R.staff_totals(_valid(spark, folder), _reference(spark, folder))
 
 
+def _placed(spark, path: str, columns: list[str]) -> DataFrame:
+    """Place of each row in the files of a sorted output, with the columns it is sorted by."""
+    return number_source(read_delimited(spark, path, encoding="UTF-8", keep_source=True), "place", start=1).select("place", *columns)
+
+
+def sorted_spenders(spark, folder):
+    path = fresh_path(spark, "spenders")
+    sink.write_spenders(spenders(spark, folder), path)
+    return _placed(spark, path, ["staff_id", "first_name", "family_name", "email"])
+
+
+def sorted_trends(spark, folder):
+    path = fresh_path(spark, "trends")
+    sink.write_monthly_trends(monthly_trends(spark, folder), path)
+    return _placed(spark, path, ["year", "month"])
+
+
+def sorted_accounts(spark, folder):
+    path = fresh_path(spark, "accounts")
+    sink.write_account_summary(account_summary(spark, folder), path)
+    return _placed(spark, path, ["account_name"])
+
+
+def sorted_report(spark, folder):
+    path = fresh_path(spark, "report")
+    sink.write_subject_report(subject_report(spark, folder), path)
+    return _placed(spark, path, ["school", "subject_no", "subject"])
+
+
+def sorted_bands(spark, folder):
+    path = fresh_path(spark, "bands")
+    sink.write_bands(fuzzy_bands(spark, folder), path, fresh_path(spark, "summary"), fresh_path(spark, "notice"))
+    return _placed(spark, path, ["school", "year"])
+
+
+def sorted_statements(spark, folder):
+    path = fresh_path(spark, "statements")
+    sink.write_statements(R.statements(_valid(spark, folder), _reference(spark, folder)), path)
+    return number_source(spark.read.parquet(path), "place", start=1).select("place", "staff_id", "is_total", "src_row")
+
+
 def statements(spark, folder):
     return R.statements(_valid(spark, folder), _reference(spark, folder)).drop("src_row")
 
@@ -350,6 +391,12 @@ QUERIES: dict[str, Query] = {
     "staff_statement_one": staff_statement_one,
     "staff_totals": staff_totals,
     "statements": statements,
+    "sorted_spenders": sorted_spenders,
+    "sorted_trends": sorted_trends,
+    "sorted_accounts": sorted_accounts,
+    "sorted_report": sorted_report,
+    "sorted_bands": sorted_bands,
+    "sorted_statements": sorted_statements,
     "messages": messages,
     "pii_dictionary": dictionary_of_staff,
     "pii_dictionary_people": dictionary_of_people,
