@@ -8,7 +8,7 @@ The template writes a turn as ``<|turn|>role<|text|>text<|end|>`` and a newline.
 inside roles and texts are broken by a backslash after their first character; backslashes are doubled. Both are undone on reading.
 
 Defined cases: a NULL text or role is empty; a NULL tree id is a tree of its own; a message whose parent does not exist in its tree is a root;
-messages of a cycle have no root, so they are in no path; of repeated ids in a tree one row stays; ties between branches go to the smaller
+messages of a cycle have no root, so they are in no path; of repeated ids in a tree the row with the smallest parent, role and text stays; ties between branches go to the smaller
 leaf id; an empty table gives no rows; other columns are ignored.
 """
 
@@ -55,35 +55,36 @@ def reply_chain(turns: DataFrame) -> DataFrame:
     return numbered.select(F.col("conv_id").alias("tree"), "id", parent.alias("parent"), "role", "text", F.lit(0.0).alias("score"))
 
 
-def _same(tree: str, node: str) -> Column:
-    return F.col("tree").eqNullSafe(F.col(tree)) & (F.col("up") == F.col(node))
+def doubled_ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The ancestors 2^k steps above, and all messages whose paths are known to the root.
 
-
-def doubled_ancestors(nodes: DataFrame) -> list[DataFrame]:
-    """Tables k = 0, 1, ... with ``up``, the ancestor 2^k steps above (NULL if there is none), and the ``steps`` and ``total`` score up to there.
-
-    The last one covers whole paths: ``up`` is NULL for all messages but those of a cycle.
+    Tables k = 0, 1, ... have ``tree``, ``id``, ``up`` (the ancestor), ``steps`` and ``total`` (length and score of the path below it) of the messages
+    that have such an ancestor; only these are joined again, so a few deep trees cost little. The others, with ``steps`` and ``total`` up to and
+    with the root, are in the second result; messages of a cycle are not.
     """
+    columns = ["tree", "id", "up", "steps", "total"]
     own = nodes.select(F.col("tree").alias("p_tree"), F.col("id").alias("p_id"))
-    exists = nodes["tree"].eqNullSafe(own["p_tree"]) & (nodes["parent"] == own["p_id"])
+    exists = F.col("tree").eqNullSafe(F.col("p_tree")) & (F.col("parent") == F.col("p_id"))
     first = nodes.join(own, exists, "left").select("tree", "id", F.col("p_id").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total"))
-    levels = [stored(first, "chat_up")]
-    most = levels[0].groupBy("tree").count().agg(F.max("count")).first()[0] or 0  # a path is no longer than its tree
-    while 2 ** (len(levels) - 1) < most and levels[-1].where("up IS NOT NULL").limit(1).count():
-        last = levels[-1]
-        above = last.select(F.col("tree").alias("a_tree"), F.col("id").alias("a_id"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
-        joined = last.join(above, _same("a_tree", "a_id"), "left")
-        steps = (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps")
-        total = (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total")
-        levels.append(stored(joined.select("tree", "id", F.col("a_up").alias("up"), steps, total), "chat_up"))
-    return levels
+    rows = stored(first, "chat_up")
+    most = rows.groupBy("tree").count().agg(F.max("count")).first()[0] or 0  # a path is no longer than its tree
+    done, levels = rows.where("up IS NULL"), []
+    active = rows.where("up IS NOT NULL")
+    while active.limit(1).count() and 2 ** len(levels) <= most:
+        levels.append(active)
+        above = active.union(done).select(*[F.col(c).alias(f"a_{c}") for c in columns])
+        met = F.col("tree").eqNullSafe(F.col("a_tree")) & (F.col("up") == F.col("a_id"))
+        sums = [(F.col(c) + F.col(f"a_{c}")).alias(c) for c in ("steps", "total")]
+        rows = stored(active.join(above, met).select("tree", "id", F.col("a_up").alias("up"), *sums), "chat_up")
+        done, active = done.union(rows.where("up IS NULL")), rows.where("up IS NOT NULL")
+    return levels, done
 
 
 def best_branches(nodes: DataFrame, whole: DataFrame, branches: int) -> DataFrame:
     """``tree``, ``leaf``, ``rank``, ``score``: the leaves whose paths have the highest mean score."""
     parents = nodes.where("parent IS NOT NULL").select(F.col("tree").alias("p_tree"), F.col("parent").alias("p_id")).distinct()
     is_parent = F.col("tree").eqNullSafe(F.col("p_tree")) & (F.col("id") == F.col("p_id"))
-    leaves = whole.where("up IS NULL").join(parents, is_parent, "left_anti")
+    leaves = whole.join(parents, is_parent, "left_anti")
     scored = leaves.select("tree", F.col("id").alias("leaf"), (F.col("total") / F.col("steps")).alias("score"))
     order = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
@@ -93,7 +94,7 @@ def path_members(leaves: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """All messages of the paths from the leaves: ``tree``, ``leaf``, ``id``, ``back`` (steps from the leaf)."""
     members = leaves.select("tree", "leaf", F.col("leaf").alias("id"), F.lit(0).cast("long").alias("back"))
     for k in range(len(levels) - 1, -1, -1):
-        up = levels[k].where("up IS NOT NULL").select(F.col("tree").alias("u_tree"), F.col("id").alias("u_id"), "up")
+        up = levels[k].select(F.col("tree").alias("u_tree"), F.col("id").alias("u_id"), "up")
         same = F.col("tree").eqNullSafe(F.col("u_tree")) & (F.col("id") == F.col("u_id"))
         here = F.struct("id", "back")
         there = F.struct(F.col("up").alias("id"), (F.col("back") + 2**k).alias("back"))
@@ -108,10 +109,11 @@ def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     ``messages``: ``tree``, ``id`` (long), ``parent``, ``role``, ``text``, ``score``. ``loss_spans`` are start and end (code points) of the trained texts
     in ``formatted``, without the marks of the template.
     """
-    messages = stored(messages.dropDuplicates(["tree", "id"]), "chat_messages")
+    whole = F.min(F.struct("parent", "role", "text", "score")).alias("m")
+    messages = stored(messages.groupBy("tree", "id").agg(whole).select("tree", "id", "m.*"), "chat_messages")
     nodes = messages.select("tree", "id", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
-    levels = doubled_ancestors(nodes)
-    leaves = best_branches(nodes, levels[-1], branches)
+    levels, whole = doubled_ancestors(nodes)
+    leaves = best_branches(nodes, whole, branches)
     members = path_members(leaves, levels).withColumnsRenamed({"tree": "m_tree", "id": "m_id"})
     same = F.col("tree").eqNullSafe(F.col("m_tree")) & (F.col("id") == F.col("m_id"))
     role = F.coalesce("role", F.lit(""))
