@@ -98,5 +98,63 @@ SELECT d.doc_id, d.size, w.source_size, w.target,
   (d.size * (w.whole + CASE WHEN d.hash < walk.hash OR (d.hash = walk.hash AND abs(walk.taken) <= abs(walk.left_out)) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source
 LEFT JOIN walk ON d.source IS NOT DISTINCT FROM walk.source AND walk.stratum = length(bin(d.size))
+""",
+    "op4_near_dedup": f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) = 1 THEN [words[1]]
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingle
+  FROM w
+), n AS (
+  SELECT w.doc_id, count(s.shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), classes AS (
+  -- equal sets go on as their smallest id
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY digest) AS rep FROM (SELECT doc_id, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS digest FROM s GROUP BY doc_id)
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+  FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  WHERE a.doc_id IN (SELECT rep FROM classes) AND b.doc_id IN (SELECT rep FROM classes)
+  GROUP BY a.doc_id, b.doc_id
+), links AS (
+  SELECT a, b FROM shared JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT rep AS id, rep AS other FROM classes UNION SELECT reach.id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+), least AS (
+  SELECT id, min(other) AS component FROM reach GROUP BY id
+)
+SELECT n.doc_id, n.n AS n_shingles, coalesce(component, n.doc_id) AS component_id, coalesce(component, n.doc_id) = n.doc_id AS kept
+FROM n LEFT JOIN classes USING (doc_id) LEFT JOIN least ON least.id = classes.rep
+""",
+    "op8_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM p
+QUALIFY rank <= 20
+""",
+    "op10_vector_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+), reach AS (
+  SELECT vec_id AS id, vec_id AS other FROM embeddings UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a
+), least AS (
+  SELECT id, min(other) AS component FROM reach GROUP BY id
+), counted AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS component_id, component = vec_id AS kept
+FROM embeddings JOIN least ON id = vec_id LEFT JOIN counted ON a = vec_id
 """,
 }
