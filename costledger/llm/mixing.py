@@ -30,6 +30,8 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 #: The per-source totals (three numbers a source) go through the driver, which solves the shares; more sources are an error.
 MOST_SOURCES = 1_000_000
+#: Rows of the tables per source (100 bytes each) that are sent to every task; larger ones are joined by shuffles.
+BROADCAST_ROWS = 200_000
 #: Names of added columns, which documents do not have.
 OWN = "mixing__"
 SIZE, HASH, STRATUM, REPEATS = (f"{OWN}{name}" for name in ("own_size", "own_hash", "own_stratum", "own_repeats"))
@@ -110,7 +112,7 @@ def thresholds(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
 
 def _boundaries(spark: SparkSession, sizes: DataFrame, open_: list[tuple], at: int) -> list:
     """The bucket in which the running sum of a stratum's words reaches the budget; a row per source and stratum."""
-    known = spark.createDataFrame(open_, "k_source string, k_stratum int, budget double, k_prefix string, base long")
+    known = _measured(spark.createDataFrame(open_, "k_source string, k_stratum int, budget double, k_prefix string, base long"))
     same = [F.col("source").eqNullSafe(F.col("k_source")), F.col("stratum") == F.col("k_stratum"), F.col("prefix") == F.col("k_prefix")]
     rows = sizes.withColumn("prefix", F.substring("hash", 1, at) if at else F.lit(""))
     group = ["source", "stratum", "prefix"]
@@ -125,6 +127,11 @@ def _boundaries(spark: SparkSession, sizes: DataFrame, open_: list[tuple], at: i
     return running.where((F.col("before") < F.col("budget")) & (F.col("before") + F.col("words") >= F.col("budget"))).collect()
 
 
+def _measured(table: DataFrame) -> DataFrame:
+    """A table with a few rows a source, to be broadcast if it is as small as it should be."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+
+
 def _with_numbers(docs: DataFrame) -> DataFrame:
     return docs.withColumns({SIZE: word_count(), HASH: doc_hash()}).withColumn(STRATUM, stratum(F.col(SIZE)))
 
@@ -143,7 +150,7 @@ def _joined(rows: DataFrame, sizes: DataFrame, weights: tuple[float, ...], cap:
     known = wanted.select(*[F.col(c).alias(f"{OWN}{c}") for c in wanted.columns])
     bounds = limits.select(*[F.col(c).alias(f"{OWN}{c}") for c in limits.columns])
     same_stratum = F.col("source").eqNullSafe(F.col(f"{OWN}source")) & (F.col(STRATUM) == F.col(f"{OWN}stratum"))
-    joined = rows.join(known, F.col("source").eqNullSafe(F.col(f"{OWN}p_source"))).join(bounds, same_stratum, "left")
+    joined = rows.join(_measured(known), F.col("source").eqNullSafe(F.col(f"{OWN}p_source"))).join(_measured(bounds), same_stratum, "left")
     bound = F.col(f"{OWN}bound")
     below = (F.col(HASH) < bound) | (F.col(f"{OWN}inclusive") & (F.col(HASH) == bound))
     return joined.withColumn(REPEATS, F.col(f"{OWN}whole") + F.coalesce(below, F.lit(False)).cast("long"))
