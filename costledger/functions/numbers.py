@@ -67,13 +67,19 @@ def whole_year(c: Column | str) -> Column:
     return F.when(F.translate(cell, "0123456789", "") == "", cell).otherwise(text).try_cast("int")
 
 
-def exact_number(c: Column | str, ignored: str = ",") -> Column:
-    """The number in a text, of any size and without rounding, or NULL.
+def number_text(c: Column | str, ignored: str = ",") -> Column:
+    """The text of a number without white space and grouping, NULL for most other text; see ``exact_number``."""
+    return _number_text(c, ignored)
+
+
+def exact_number(text: Column) -> Column:
+    """The number in a ``number_text``, of any size and without rounding, or NULL.
 
     ``d`` holds it as decimal where that is exact at a glance, as for most cells, else ``t`` holds its text. Compare with ``exceeds``.
     """
-    text = _number_text(c, ignored)
-    short = (F.length(text) <= 18) & (F.translate(text, _DIGITS, "") == "") & (F.length(F.split_part(text, F.lit("."), F.lit(2))) <= 10)
+    # at most ten decimals if the point is among the last eleven characters, or none at all
+    point = F.instr(text, ".")
+    short = (F.length(text) <= 18) & ((point == 0) | (point >= F.length(text) - 10)) & ~F.contains(F.lower(text), F.lit("e"))
     d = F.when(short, text.try_cast(STRICT))
     t = F.when(~short & text.rlike(FLOAT_TEXT), text)
     return F.when(d.isNotNull() | t.isNotNull(), F.struct(d.alias("d"), t.alias("t")))

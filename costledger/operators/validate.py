@@ -105,7 +105,8 @@ def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") ->
     """
     label = "Total_Net_Spend" if column == "total_net_spend" else column
     value = F.col("_value")
-    typed = rows.withColumn("_value", X.computed_once(N.exact_number(column)))
+    typed = rows.withColumn("_text", X.computed_once(N.number_text(column)))
+    typed = typed.withColumn("_value", X.computed_once(N.exact_number(F.col("_text"))))
     compared = previous_value(
         typed.where(value.isNotNull()).select("file_key", "row_num", "_value"), "file_key", "row_num", "_value"
     )
@@ -119,7 +120,8 @@ def amount_order_violations(rows: DataFrame, column: str = "total_net_spend") ->
 def month_order_violations(rows: DataFrame) -> DataFrame:
     """Years that rise, or months that rise as text within a year, in files sorted by both, falling."""
     year, month = F.col("_year"), F.col("_month")
-    typed = rows.withColumns({"_year": X.computed_once(N.exact_number("year")), "_month": X.ustrip("month")})
+    typed = rows.withColumns({"_text": X.computed_once(N.number_text("year")), "_month": X.ustrip("month")})
+    typed = typed.withColumn("_year", X.computed_once(N.exact_number(F.col("_text"))))
     whole, blank = N.is_whole_number(year), X.is_blank("month")
     key = F.struct(year.alias("year"), month.alias("month"))
     readable = typed.where(whole & ~blank).select("file_key", "row_num", key.alias("_key"))
