@@ -13,7 +13,7 @@ What a document is scored by are its matched clauses: the sum of their weights,
 
 The weights are learned: words and stems of four to seven letters from a bounded sample of labelled rows (``SAMPLE`` of each label, by hash of the id)
 by their log odds, and a logistic regression over the clause features, which are computed with lexicons learned on the other half of the
-sample. Rows that share their smallest word hash (copies) count once.
+sample. Rows with the same set of words (copies) count once.
 
 Documents without any lexicon word, most of them, are found by one Aho-Corasick pass and not parsed. Nothing but the sample is shuffled.
 
@@ -148,12 +148,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> D
     rows = docs.select("doc_id", "text").join(F.broadcast(parts[0].union(parts[1])), "doc_id").where("text IS NOT NULL")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            smallest = pa.array([int(s[0]) if len(s) else 0 for s in shingle_sets(batch.column(0), 1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), smallest], ["text", "toxic", "smallest"])
+        import xxhash
 
-    found = in_batches(rows.select("text", "toxic"), keyed, "text string, toxic int, smallest long").dropDuplicates(["smallest", "toxic"])
-    return found.select("text", "toxic", F.pmod(F.xxhash64("smallest"), F.lit(FOLDS)).cast("int").alias("fold"))
+        for batch in batches:
+            digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in shingle_sets(batch.column(1), 1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digests], ["doc_id", "text", "toxic", "digest"])
+
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, text string, toxic int, digest binary"
+    found = in_batches(rows.select("doc_id", "text", "toxic"), keyed, schema)
+    # of rows with the same words the one with the smallest id, so that reruns learn from the same rows
+    first = found.groupBy("digest", "toxic").agg(F.min(F.struct("doc_id", "text")).alias("first"))
+    return first.select("first.text", "toxic", F.pmod(F.xxhash64("digest"), F.lit(FOLDS)).cast("int").alias("fold"))
 
 
 def sample_terms(sample: DataFrame) -> DataFrame:

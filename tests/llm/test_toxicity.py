@@ -88,6 +88,18 @@ def test_sample_is_bounded_and_copies_count_once(spark):
     assert toxicity.labelled_sample(docs, labels, 10).count() <= 20
 
 
+def test_rows_that_share_a_passage_all_stay_in_the_sample(spark):
+    passage = " ".join(FILLER)
+    rows = [(i, f"{passage} own{i}a {'idiot' if i % 2 else ''}", i % 2) for i in range(80)]
+    rows += [(100 + i, f"{passage.upper()} own{i}a  {'idiot' if i % 2 else ''}", i % 2) for i in range(80)]  # the same words
+    docs, _ = frames(spark, rows)
+    labels = spark.createDataFrame([(i, y, 0, "x") for i, _, y in rows], LABELS)
+    found = [(r["text"], r["toxic"], r["fold"]) for r in toxicity.labelled_sample(docs, labels, 1000).collect()]
+    assert sorted((t, y) for t, y, _ in found) == sorted((t, y) for i, t, y in rows if i < 100)
+    again = toxicity.labelled_sample(docs.orderBy(docs.doc_id.desc()), labels, 1000).collect()
+    assert sorted((r["text"], r["toxic"], r["fold"]) for r in again) == sorted(found)
+
+
 @pytest.mark.parametrize("counts", [[("lowei*", 90, 0), ("lowe*", 91, 60), ("loweitas", 40, 0), ("rare", 2, 0), ("common", 50, 900)]])
 def test_choose_terms(counts):
     assert list(toxicity.choose_terms(counts, 100, 1000)) == ["lowei*"]
