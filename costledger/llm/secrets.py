@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and the novelty of strings in sensitive contexts as zstandard measures it.
 
-A candidate is a string of letters, digits and ``+/_=-`` with both letters and digits that follows a sensitive word closely. Its novelty is the
-growth of the compressed size when it is put into its surroundings, with a compressor that is primed with a dictionary of identifiers:
-names, prose and repeated values cost few bytes, random keys nearly their full entropy. Candidates that cost at least ``LEAST_RATIO`` bytes
-a character are reported as ``novel``, unless a pattern's span covers them already. Spans of the patterns always stay.
+A candidate is a maximal run of letters, digits and ``+/_=-`` with both letters and digits that has a sensitive word within ``CONTEXT`` characters on
+either side, on any line, or in itself; a run that follows a sensitive one after nothing but space, quotes and the like goes on with it (a key over
+several lines). Its novelty is the growth of the compressed size when it is put into its surroundings, with a compressor that is primed with a
+dictionary of identifiers: names, prose and repeated values cost few bytes, random keys nearly their full entropy. A run that is not novel as a whole is
+measured part by part, so a key behind a long name is found. Candidates that cost at least ``LEAST_RATIO`` bytes a character are reported as
+``novel``; what a pattern's span covers is left out. Spans of the patterns always stay.
 
 Each task reads its texts once; nothing is shuffled. Offsets are code points, ends exclusive.
 
@@ -13,7 +15,8 @@ Defined cases: a NULL or empty text has no spans; repeated rows are scanned each
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,7 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_ASSIGNED, LEAST_ACCESS = 8, 16
 
 SENSITIVE = (
-    "password", "passwd", "secret", "token", "api_key", "apikey", "api-key", "credential", "bearer", "private_key", "privatekey",
+    "password", "passwd", "secret", "token", "api_key", "apikey", "api-key", "credential", "bearer", "private_key", "privatekey", "private key",
     "access_key", "client_id", "authorization", "passphrase", "pwd",
 )
 #: Words that any code or configuration contains: the compressor knows them before it reads a text.
@@ -40,7 +43,15 @@ IDENTIFIERS = " ".join(SENSITIVE) + (
     " username localhost database connection environment production development version 00000000 11111111 12345678 abcdefgh"
     " ABCDEFGHIJKLMNOPQRSTUVWXYZ abcdefghijklmnopqrstuvwxyz 0123456789abcdef 0123456789ABCDEF"
 )
-NEAR = re.compile(rf"(?:{'|'.join(map(re.escape, SENSITIVE))})(?P<gap>[^\n]{{0,24}}?)(?P<value>[A-Za-z0-9+/_=-]{{16,}})", re.I)
+SENSITIVE_WORD = re.compile("|".join(map(re.escape, SENSITIVE)), re.I)
+LEAST = 16
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+#: Between a name and its value, in contrast to the end of a value.
+ASSIGNED = re.compile("=+(?=[^=])")
+#: What a run that is not novel as a whole is cut at, in this order.
+CUTS = (SENSITIVE_WORD, re.compile("/"), re.compile("[+_=-]"))
+#: What may lie between the parts of one key.
+GOES_ON = re.compile(r"""(?:\\r|[\s"'`\\+,;#*>|]){0,64}""")
 CONTEXT = 256
 LEAST_RATIO = 0.55
 
@@ -74,20 +85,66 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+def is_candidate(value: str) -> bool:
+    return len(value) >= LEAST and bool(re.search("[0-9]", value) and re.search("[A-Za-z]", value))
+
+
+def gaps(start: int, end: int, taken: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the spans ``taken``, by their start, leave of ``start`` to ``end``."""
+    left = []
+    for s, e in taken:
+        if s > start:
+            left.append((start, min(s, end)))
+        start = max(start, e)
+    return [*left, (start, end)] if start < end else left
+
+
+def sensitive_runs(text: str, words: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs near a sensitive word (``words``: their spans), or that go on with such a run."""
+    found: list[tuple[int, int]] = []
+    k = 0  # the first word that does not end too far before the run
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        while k < len(words) and words[k][1] < start - CONTEXT:
+            k += 1
+        near = k < len(words) and words[k][0] <= end + CONTEXT
+        if near or (found and GOES_ON.fullmatch(text, found[-1][1], start)):
+            found.append((start, end))
+    return found
+
+
 def novel_spans(text: str, novelty: Novelty, covered: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Spans of incompressible strings in a sensitive context that no pattern covers, with their marginal bytes."""
     lower = text.lower()
     if not any(w in lower for w in SENSITIVE):
         return []
-    found = []
-    for m in NEAR.finditer(text):
-        start, end = m.span("value")
-        value = m.group("value")
-        if any(s < end and start < e for _, s, e in covered) or not (re.search("[0-9]", value) and re.search("[A-Za-z]", value)):
-            continue
+    found: list[tuple[int, int, int, int]] = []
+
+    def measure(start: int, end: int, cuts: tuple[re.Pattern[str], ...]) -> bool:
+        value = text[start:end]
+        if not is_candidate(value):
+            return False
         marginal = novelty.marginal(text, start, end)
-        if marginal >= LEAST_RATIO * (end - start):
+        if marginal >= LEAST_RATIO * len(value):
             found.append((3, start, end, marginal))
+            return True
+        for k, cut in enumerate(cuts):
+            parts = gaps(start, end, [m.span() for m in cut.finditer(text, start, end)])
+            if parts != [(start, end)]:
+                return any([measure(s, e, cuts[k + 1 :]) for s, e in parts])
+        return False
+
+    taken = sorted((s, e) for _, s, e in covered)
+    first = 0
+    for run_start, run_end in sensitive_runs(text, [m.span() for m in SENSITIVE_WORD.finditer(text)]):
+        while first < len(taken) and taken[first][1] <= run_start:
+            first += 1
+        over = takewhile(lambda span: span[0] < run_end, taken[first:])  # noqa: B023
+        for start, end in gaps(run_start, run_end, over):
+            sides = gaps(start, end, [m.span() for m in ASSIGNED.finditer(text, start, end)])
+            # name=value: the value alone, if it is novel
+            if len(sides) == 1 or not any([measure(s, e, CUTS) for s, e in sides]):
+                measure(start, end, CUTS)
     return found
 
 
