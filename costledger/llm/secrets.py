@@ -3,9 +3,10 @@
 A candidate is a maximal run of letters, digits and ``+/_=-`` with both letters and digits that has a sensitive word within ``CONTEXT`` characters on
 either side, on any line, or in itself; a run that follows a sensitive one after nothing but space, quotes and the like goes on with it (a key over
 several lines). Its novelty is the growth of the compressed size when it is put into its surroundings, with a compressor that is primed with a
-dictionary of identifiers: names, prose and repeated values cost few bytes, random keys nearly their full entropy. A run that is not novel as a whole is
-measured part by part, so a key behind a long name is found. Candidates that cost at least ``LEAST_RATIO`` bytes a character are reported as
-``novel``; what a pattern's span covers is left out. Spans of the patterns always stay.
+dictionary of identifiers: names and prose cost few bytes, random keys nearly their full entropy. All runs are blanked out of the surroundings, so a
+key costs the same at each place it is written. A run that is not novel as a whole is measured part by part, so a key behind a long name is
+found. Candidates that cost at least ``LEAST_RATIO`` bytes a character (``HEX_RATIO`` for hex digits) are reported as ``novel``; what a
+pattern's span covers is left out. Spans of the patterns always stay.
 
 Each task reads its texts once; nothing is shuffled. Offsets are code points, ends exclusive.
 
@@ -52,8 +53,10 @@ ASSIGNED = re.compile("=+(?=[^=])")
 CUTS = (SENSITIVE_WORD, re.compile("/"), re.compile("[+_=-]"))
 #: What may lie between the parts of one key.
 GOES_ON = re.compile(r"""(?:\\r|[\s"'`\\+,;#*>|]){0,64}""")
+HEX_VALUE = re.compile(r"[0-9a-f+/_=-]+|[0-9A-F+/_=-]+")
 CONTEXT = 256
-LEAST_RATIO = 0.55
+#: Hex digits have an entropy of 0.5 bytes a character.
+LEAST_RATIO, HEX_RATIO = 0.55, 0.4
 
 
 class Novelty:
@@ -68,8 +71,10 @@ class Novelty:
     def size(self, text: str) -> int:
         return len(self.compressor.compress(text.encode("utf-8", "surrogatepass")))
 
-    def marginal(self, text: str, start: int, end: int) -> int:
-        before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+    def marginal(self, text: str, start: int, end: int, around: str | None = None) -> int:
+        """``around``: the text that the surroundings are taken from, of the same length."""
+        around = text if around is None else around
+        before, after = around[max(0, start - CONTEXT) : start], around[end : end + CONTEXT]
         return max(0, self.size(before + after + text[start:end]) - self.size(before + after))
 
 
@@ -118,14 +123,15 @@ def novel_spans(text: str, novelty: Novelty, covered: list[tuple[int, int, int]]
     lower = text.lower()
     if not any(w in lower for w in SENSITIVE):
         return []
+    around = RUN.sub(lambda m: " " * len(m.group()) if is_candidate(m.group()) else m.group(), text)
     found: list[tuple[int, int, int, int]] = []
 
     def measure(start: int, end: int, cuts: tuple[re.Pattern[str], ...]) -> bool:
         value = text[start:end]
         if not is_candidate(value):
             return False
-        marginal = novelty.marginal(text, start, end)
-        if marginal >= LEAST_RATIO * len(value):
+        marginal = novelty.marginal(text, start, end, around)
+        if marginal >= (HEX_RATIO if HEX_VALUE.fullmatch(value) else LEAST_RATIO) * len(value):
             found.append((3, start, end, marginal))
             return True
         for k, cut in enumerate(cuts):

@@ -91,6 +91,18 @@ def test_all_lines_of_a_key_and_what_a_pattern_leaves():
     assert novel(f"a password. {'x ' * 200}{KEY}") == []
 
 
+def test_copies_and_keys_close_together():
+    assert novel(f"Authorization: Bearer {KEY}\nretry with Authorization: Bearer {KEY}") == [KEY, KEY]
+    assert novel(f"bearer {KEY}\n# the bearer was x-{KEY}") == [KEY, f"x-{KEY}"]
+    draw = random.Random(1)
+    for alphabet in ("0123456789ABCDEF", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"):
+        for size in (16, 24, 31):
+            keys = [alphabet[10] + "7" + "".join(draw.choices(alphabet, k=size - 2)) for _ in range(40)]
+            assert novel("bearer " + "\n".join(keys)) == keys
+            around = "".join(draw.choices(alphabet, k=256))
+            assert keys[0] in novel(f"{around} bearer {keys[0]} {around[::-1]}")
+
+
 def test_odd_rows(spark):
     long = "word " * 100_000 + "token=abcdefgh12"
     rows = [(1, None), (2, ""), (3, long), (None, "secret: 12345678"), (4, "\U0001f600token=abcdefgh"), (4, "\U0001f600token=abcdefgh")]
