@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from costledger.llm import quality
 from costledger.llm.chat import CONTROLS, END, TEXT, TURN
 
 SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -20,6 +21,96 @@ def _escaped_length(column: str) -> str:
     return f"(length({column}) + {' + '.join(counts)})"
 
 
+def _listed(texts) -> str:
+    return "(" + ", ".join(_quoted(t) for t in sorted(texts)) + ")"
+
+
+def _lower(column: str) -> str:
+    return f"translate({column}, '{UPPER}', '{LOWER}')"
+
+
+_STOCK = " OR ".join(f"contains({_lower('line')}, {_quoted(p)})" for p in quality.STOCK_PHRASES)
+
+QUALITY = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), parts AS (
+  SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d
+), lines AS (
+  SELECT r, pos, line, regexp_extract_all(line, '{WORD}') AS words FROM parts
+), tested AS (
+  SELECT r, words, list_sum(list_transform(words, lambda w: length(w))) AS chars,
+    row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS copy,
+    len(list_filter(words, lambda w: regexp_matches(w, {_quoted(quality.SENTENCE_END)}))) = 0
+      OR 2 * len(regexp_extract_all(line, {_quoted(quality.SYMBOL.pattern)})) > len(words)
+      OR 4 * len(regexp_extract_all(line, {_quoted(quality.DOUBLED.pattern)})) > len(words) AS punctuation,
+    len(list_filter(words, lambda w: w IN {_listed(quality.SEPARATORS)})) AS separators,
+    len(list_filter(words, lambda w: {_lower("w")} IN {_listed(quality.MENU_WORDS)})) = len(words) AS menu,
+    len(words) <= {quality.SHORT_LINE} AND ({_STOCK}) AS stock
+  FROM lines WHERE len(words) > 0
+), ruled AS (
+  SELECT *, CASE WHEN punctuation THEN 'p' WHEN menu OR separators >= 2 AND len(words) - separators <= 3 * (separators + 1) THEN 'n'
+    WHEN stock OR copy THEN 'b' END AS rule
+  FROM tested
+), counted AS (
+  SELECT r, sum(len(words))::BIGINT AS n_words, sum(chars)::BIGINT AS word_chars, count(*) AS n_lines, count(*) FILTER (copy) AS n_dup_lines,
+    count(*) FILTER (rule = 'p') AS removed_punctuation, count(*) FILTER (rule = 'n') AS removed_navigation,
+    count(*) FILTER (rule = 'b') AS removed_boilerplate, coalesce(sum(chars) FILTER (rule IS NOT NULL), 0)::BIGINT AS removed_chars
+  FROM ruled GROUP BY r
+), words AS (
+  SELECT r, regexp_extract_all(text, '{WORD}') AS words FROM d
+), placed AS (
+  SELECT r, words, unnest(range(1, len(words) + 1)) AS pos FROM words
+), windows AS (
+  SELECT r, pos, CASE WHEN pos + {quality.WINDOW - 1} <= len(words) THEN array_to_string(words[pos:pos + {quality.WINDOW - 1}], ' ') END AS win FROM placed
+), marked AS (
+  SELECT r, pos, win IS NOT NULL AND count(*) OVER (PARTITION BY r, win) > 1 AS again FROM windows
+), covered AS (
+  SELECT r, max(again::INT) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN {quality.WINDOW - 1} PRECEDING AND CURRENT ROW) AS inside FROM marked
+), repeated AS (
+  SELECT r, sum(inside)::BIGINT AS n_repeat_words FROM covered GROUP BY r
+), together AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    len(regexp_extract_all(text, {_quoted(quality.SYMBOL.pattern)}))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(removed_punctuation, 0) AS removed_punctuation,
+    coalesce(removed_navigation, 0) AS removed_navigation, coalesce(removed_boilerplate, 0) AS removed_boilerplate,
+    coalesce(removed_chars, 0) AS removed_chars
+  FROM d LEFT JOIN counted USING (r) LEFT JOIN repeated USING (r)
+)
+SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words OR 100 * removed_chars > {quality.MOST_LOST} * word_chars) AS kept
+FROM together
+"""
+
+
+def clusters(k: int = 8, rounds: int = 10) -> str:
+    """Lloyd's rounds one after the other; the nearest centroid is the smallest distance * k + number."""
+
+    def assigned(i: int) -> str:
+        squares = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: ((p[1] - p[2]) * (p[1] - p[2]))::HUGEINT))"
+        return f"a{i} AS MATERIALIZED (SELECT n, v.vec_id, v.x, min({squares} * {k} + c.c) AS best FROM v, c{i} c GROUP BY ALL)"
+
+    steps = [assigned(0)]
+    for i in range(rounds):
+        steps.append(f"s{i} AS (SELECT (best % {k})::INT AS c, unnest(x) AS x, generate_subscripts(x, 1) AS j FROM a{i})")
+        steps.append(f"t{i} AS (SELECT c, j, sum(x)::HUGEINT AS s, count(*) AS n FROM s{i} GROUP BY c, j)")
+        # floor, as // cuts towards zero
+        steps.append(f"m{i} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS x FROM t{i} GROUP BY c)")
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m USING (c))")
+        steps.append(assigned(i + 1))
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST) - 1)::INT AS c, x FROM v QUALIFY c < {k}
+), {", ".join(steps)}
+SELECT vec_id, c.c AS cluster, (best // {k})::BIGINT AS distance, (sum(best // {k}) OVER (PARTITION BY c.c))::BIGINT AS cluster_inertia,
+  (sum(best // {k}) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.c = best % {k}
+"""
+
+
 ORACLE = {
     "op3_chat": f"""
 WITH t AS (
@@ -157,4 +248,6 @@ WITH RECURSIVE v AS (
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component AS component_id, component = vec_id AS kept
 FROM embeddings JOIN least ON id = vec_id LEFT JOIN counted ON a = vec_id
 """,
+    "op11_quality": QUALITY,
+    "op12_bitplanes": clusters(),
 }

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costledger.llm import chat, language, line_dedup, mixing, near_dedup, packing, secrets, topk, toxicity, vector_dedup
-from costledger.llm.common import crc_remainder, table
+from costledger.llm import bitplanes, chat, language, line_dedup, mixing, near_dedup, packing, periodic, quality, secrets, topk, toxicity, vector_dedup
+from costledger.llm.common import WORD_PATTERN, crc_remainder, table
 
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -84,6 +84,41 @@ def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_vectors(table(spark, folder, "embeddings"))
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.clean_documents(table(spark, folder, "documents"), with_text=False)
+
+
+def op12_bitplanes(spark: SparkSession, folder: str) -> DataFrame:
+    return bitplanes.cluster(table(spark, folder, "embeddings"))[0]
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by a hash of its id, repeats a stretch of its words to its end."""
+    crc = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "utf-8"))
+    numbered = docs.select("doc_id", "text", (crc % 10).alias("h"), F.floor(crc / 10).cast("long").alias("g"))
+    words = F.when(F.col("h") == 0, F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)))
+    cut = numbered.withColumn("words", words).withColumn("n", F.size("words").cast("long"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    cut = cut.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("long") + 1)
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    at = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i).cast("int")))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(at, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.collapse_runs(with_planted_runs(table(spark, folder, "documents")))
+    # the first of the longest: runs are sorted by start, then period
+    longest = F.get(F.filter("runs", lambda r: r["length"] == F.array_max(F.transform("runs", lambda x: x["length"]))), F.lit(0))
+    line = lambda r: F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = found.withColumn("best", longest)
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", exponent,
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -95,4 +130,7 @@ QUERIES = {
     "op8_topk": op8_topk,
     "op9_mixing": op9_mixing,
     "op10_vector_dedup": op10_vector_dedup,
+    "op11_quality": op11_quality,
+    "op12_bitplanes": op12_bitplanes,
+    "op13_periodic": op13_periodic,
 }
