@@ -64,6 +64,18 @@ def weights(planes: int) -> list[int]:
     return [1 << b for b in range(planes - 1)] + [-(1 << (planes - 1))]
 
 
+def weighted(planes: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The planes of some rows with what their bits count; neighbours that are equal in all rows count as one, and zeros not at all."""
+    found: list[tuple[int, np.ndarray]] = []
+    for b, weight in enumerate(weights(planes.shape[1])):
+        plane = planes[:, b]
+        if found and np.array_equal(found[-1][1], plane):
+            found[-1] = (found[-1][0] + weight, plane)
+        else:
+            found.append((weight, plane))
+    return [(weight, plane) for weight, plane in found if plane.any()]
+
+
 def number_type(bits: int) -> type:
     """Whether 64-bit numbers hold a sum of 64 products whose factors have so many bits together."""
     return np.int64 if bits + 8 < 63 else object
@@ -73,10 +85,10 @@ def dot_products(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact dot products of all rows of planes ``x`` with all rows of planes ``c``."""
     kind = number_type(x.shape[1] + c.shape[1])
     total = np.zeros((len(x), len(c)), dtype=kind)
-    for a, weight in enumerate(weights(x.shape[1])):
-        for b, other in enumerate(weights(c.shape[1])):
-            common = np.bitwise_count(x[:, a, None] & c[None, :, b])
-            total += common.astype(kind) * (weight * other)
+    of_c = weighted(c)
+    for weight, plane in weighted(x):
+        for other, own in of_c:
+            total += np.bitwise_count(plane[:, None] & own[None, :]).astype(kind) * (weight * other)
     return total
 
 
@@ -84,9 +96,10 @@ def squares(x: np.ndarray) -> np.ndarray:
     """Exact squared lengths of rows of planes."""
     kind = number_type(2 * x.shape[1])
     total = np.zeros(len(x), dtype=kind)
-    for a, weight in enumerate(weights(x.shape[1])):
-        for b, other in enumerate(weights(x.shape[1])[: a + 1]):
-            total += np.bitwise_count(x[:, a] & x[:, b]).astype(kind) * (weight * other * (1 if a == b else 2))
+    planes = weighted(x)
+    for a, (weight, plane) in enumerate(planes):
+        for b, (other, own) in enumerate(planes[: a + 1]):
+            total += np.bitwise_count(plane & own).astype(kind) * (weight * other * (1 if a == b else 2))
     return total
 
 
@@ -113,7 +126,7 @@ class Nearest:
     """The nearest of some centroids."""
 
     def __init__(self, centroids: list[list[int]]):
-        self.numbers = np.array(centroids, dtype=object)
+        self.numbers = np.array(centroids, dtype=object).reshape(-1, WIDTH)
         self.planes = planes_of(self.numbers)
         self.squares = squares(self.planes)
 
