@@ -3,71 +3,115 @@
 Each task packs the documents it reads, in one pass and without a shuffle. It keeps an array with the number of open windows at each
 fill level. A document (its tail, if it is longer than a window) goes to the level at which the sum of the squared counts of partially
 filled windows becomes smallest; full windows leave at once. Open windows are bounded: at ``most_open`` of them, and at the end of the
-task, they are closed by cutting the emptiest into the gaps of the fullest, so that at most one window of a task is padded.
+task, windows are closed by cutting the emptiest into the gaps of the fullest (half of them, and all at the end), so that at most one
+window of a task is padded.
 
-Defined cases: a NULL text is empty and gives the end id alone; a NULL id is kept; repeated rows are packed each on their own; an empty
-table gives no rows; other columns are ignored. Sequence ids are unique over all tasks, not dense.
+Defined cases: a NULL text is empty and gives the end id alone; a NULL id is kept; repeated rows are packed each on their own; of levels with
+equal sums the fullest is taken; a very long text fills windows of its own and only its tail is placed; an empty table gives no
+rows; other columns are ignored. Sequence ids are unique over all tasks, not dense.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from costledger.llm.common import in_batches
+from costledger.llm.common import WORD_PATTERN, in_batches
 
 WINDOW = 2048
 END_ID = 1
 MOST_OPEN = 4096
-#: Entries of the cache of words in a task; it is emptied when full.
-CACHED_WORDS = 1_000_000
+#: Pieces, and words of other than plain characters, whose ids a worker process keeps; beyond it the oldest half goes.
+CACHED_WORDS = 400_000
 #: Pieces in one batch of results.
 PIECES_OUT = 4096
 
-#: The pre-tokenizer's pattern of the vocabulary file, for lower-case ASCII without white space (fixed value).
-ASCII_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PRINTABLE = re.compile(rb"[\x21-\x7e]+")
+#: Letters beyond ASCII whose lower case is one letter of the same range, and marks; canonical composition leaves all of them alone.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+PLAIN = re.compile(f"[\x20-\x7e\x09-\x0d{_LETTERS}¡¿«»“”„‘’…–—]*")
+
+#: The pre-tokenizer's pattern of the vocabulary file (fixed value) for plain characters in lower case.
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^a-z0-9\x20\x09-\x0d{_LETTERS}]+")
+WORDS = re.compile(WORD_PATTERN)
+
+#: Forms of bytes that are no printable characters of Latin-1, as byte-level vocabularies write them: U+0100 onwards, in order.
+BYTE_FORMS = {b: 0x100 + n for n, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-class WordIds(dict):
-    """Ids of words, as little-endian unsigned 32-bit numbers.
+class Kept(dict):
+    """A table of ``CACHED_WORDS`` entries, and those of one text: once it is larger, the oldest go."""
+
+    def make_room(self) -> None:
+        if len(self) > CACHED_WORDS:
+            for key in list(islice(self, len(self) - CACHED_WORDS // 2)):
+                del self[key]
+
 
-    The vocabulary drops white space and never joins across it, so a text's ids are those of its words. Words of printable
-    ASCII are cut into pieces here and share the pieces' ids; all others take the tokenizer's whole path.
+class TextIds:
+    """Ids of texts, as little-endian unsigned 32-bit numbers; those of their pieces are kept.
+
+    The vocabulary drops white space and never joins across it or across the pieces of its pre-tokenizer, so a text's ids are those of its
+    pieces. A text of ``PLAIN`` characters, which the normaliser only lower-cases, is cut into pieces here. Other texts are cut into words, and
+    those with other characters go through the tokenizer. A text that holds one of the added tokens, in any case, goes through it whole.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-
-    def __missing__(self, word: bytes) -> bytes:
-        if not PRINTABLE.fullmatch(word):
-            ids = self.tokenizer.encode(word.decode("utf-8"), add_special_tokens=False).ids
-            found = np.array(ids, dtype="<u4").tobytes()
-        else:
-            pieces = ASCII_PIECES.findall(word.lower())
-            if pieces == [word]:
-                found = np.array([t.id for t in self.model.tokenize(word.decode("ascii"))], dtype="<u4").tobytes()
-            else:
-                found = b"".join([self[p] for p in pieces])
-        self[word] = found
-        return found
-
-    def of_text(self, text: str | None) -> bytes:
-        # bytes.split() cuts at the same ASCII white space that the vocabulary drops
-        return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "surrogatepass").split()))
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.words = Kept(), Kept()
+
+    def _encoded(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _of_pieces(self, pieces: list[str]) -> bytes:
+        found = list(map(self.pieces.get, pieces))
+        if None in found:
+            new = {piece for piece, ids in zip(pieces, found, strict=True) if ids is None}
+            for piece in new:
+                # as the pre-tokenizer does: a character for each byte
+                form = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(BYTE_FORMS)
+                ids = [t.id for t in self.model.tokenize(form)]
+                self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            found = list(map(self.pieces.__getitem__, pieces))
+        return b"".join(found)
+
+    def _of_word(self, word: str) -> bytes:
+        if PLAIN.fullmatch(word):
+            return self._of_pieces(PIECES.findall(word.lower()))
+        if word not in self.words:
+            self.words[word] = self._encoded(word)
+        return self.words[word]
+
+    def __call__(self, text: str | None) -> bytes:
+        lower = (text or "").lower()
+        if any(a in lower for a in self.added):
+            return self._encoded(text)
+        self.pieces.make_room()
+        self.words.make_room()
+        if PLAIN.fullmatch(text or ""):
+            return self._of_pieces(PIECES.findall(lower))
+        return b"".join(map(self._of_word, WORDS.findall(text or "")))
+
+
+@lru_cache(maxsize=2)
+def text_ids(path: str) -> TextIds:
+    """One for each worker process, which runs many tasks one after the other."""
+    return TextIds(path)
 
 
 class SquaredLevels:
@@ -108,13 +152,13 @@ class SquaredLevels:
         self.n_open += 1
         return None
 
-    def drain(self) -> Iterator[list]:
-        """Closes all open windows: the emptiest are cut into the gaps of the fullest; only the last one may stay partly filled."""
-        left = deque((level, pieces) for level in range(self.window - 1, 0, -1) for pieces in self.open[level])
+    def drain(self, keep: int = 0) -> Iterator[list]:
+        """Closes windows until ``keep`` are open: the emptiest are cut into the gaps of the fullest; only the very last one may stay partly filled."""
+        left = deque([level, pieces] for level in range(self.window - 1, 0, -1) for pieces in self.open[level])
         self.counts[:] = 0
         self.open = [[] for _ in range(self.window)]
         self.n_open = 0
-        while left:
+        while len(left) > keep:
             fill, pieces = left.popleft()
             while fill < self.window and left:
                 donor = left[-1][1]
@@ -122,11 +166,16 @@ class SquaredLevels:
                 fits = min(len(ids) // 4, self.window - fill)
                 pieces.append((doc, start, ids[: 4 * fits], total))
                 fill += fits
+                left[-1][0] -= fits
                 if 4 * fits < len(ids):
                     donor.append((doc, start + fits, ids[4 * fits :], total))
                 if not donor:
                     left.pop()
             yield pieces
+        for level, pieces in left:
+            self.open[level].append(pieces)
+            self.counts[level] += 1
+            self.n_open += 1
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, most_open: int = MOST_OPEN) -> DataFrame:
@@ -135,7 +184,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        ids_of = text_ids(tokenizer_path)
         levels = SquaredLevels(window)
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         out: list[tuple] = []
@@ -158,10 +207,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
 
         for batch in batches:
             id_type = batch.schema.field(0).type
-            if len(words) > CACHED_WORDS:
-                words.clear()
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = words.of_text(text) + end
+                ids = ids_of(text) + end
                 total = len(ids) // 4
                 whole = total - total % window
                 for start in range(0, whole, window):
@@ -171,7 +218,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
                     if full:
                         emit(full)
                     if levels.n_open >= most_open:
-                        for pieces in levels.drain():
+                        for pieces in levels.drain(most_open // 2):
                             emit(pieces)
                 if len(out) >= PIECES_OUT:
                     yield flush()

@@ -1,5 +1,7 @@
+import random
 import zlib
 from collections import defaultdict
+from functools import cache
 
 import numpy as np
 import pytest
@@ -12,11 +14,15 @@ PATH = queries.tokenizer_path()
 DOCS = "doc_id long, text string, ids string, level int"
 
 
-def whole_ids(text):
+@cache
+def plain_tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
+    return Tokenizer.from_file(PATH)
+
+
+def whole_ids(text):
+    tokenizer = plain_tokenizer()
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
@@ -44,7 +50,7 @@ def check(rows, texts):
 
 
 def test_pieces_give_back_the_ids_of_the_tokenizer(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     rows = packing.pack(docs.coalesce(1), PATH).collect()
     sequences = check(rows, texts)
@@ -55,12 +61,38 @@ def test_pieces_give_back_the_ids_of_the_tokenizer(spark, sf):
 def test_odd_texts_and_clashing_columns(spark):
     texts = {
         1: None, 2: "", 3: "   \n\t ", 4: "Straße\u00a0don't  I'LL 42 ÀÉ x\u2028y", 5: "<|endoftext|> a", 6: "\x1c\x1fcontrol\x00chars", 7: "word " * 9000,
+        11: "<|ENDOFTEXT|> b <|startoftext|>", 12: "x<|endoftext|>y  z", 13: "<|end oftext|>", 14: "don't 've'RE 12,5% <b>&amp;</b>",
         8: "e\u0301te\u0301 \u03a3\u03a3 漢字かな", 9: "same", 10: "same", None: "no id",
     }
     docs = spark.createDataFrame([(i, t, "x", 7) for i, t in texts.items()], DOCS)
     check(packing.pack(docs, PATH).collect(), texts)
 
 
+@pytest.mark.parametrize("cached", [1, 30, 400_000])
+def test_forgotten_words_are_learned_again(monkeypatch, cached):
+    monkeypatch.setattr(packing, "CACHED_WORDS", cached)
+    ids_of, draw = packing.TextIds(PATH), random.Random(cached)
+    for _ in range(150):
+        text = " ".join(f"{draw.choice('abcÄß')}{draw.choice('defgh漢字')}{draw.randrange(40)}." for _ in range(draw.randrange(30)))
+        assert np.frombuffer(ids_of(text), "<u4").tolist() == whole_ids(text)[:-1]
+        assert max(len(ids_of.words), len(ids_of.pieces)) <= cached + 150
+
+
+def test_plain_words_get_the_ids_of_the_tokenizer():
+    every = [chr(c) for c in range(0x21, 0x180) if packing.PLAIN.fullmatch(chr(c)) and chr(c) != " "] + list("¡¿«»“”„‘’…–—")
+    draw = random.Random(1)
+    texts = ["".join(draw.choice(every) for _ in range(draw.randint(1, 12))) for _ in range(4000)] + every + [a + "'" + b for a in "é'x" for b in every]
+    assert len(every) > 200 and all(packing.PLAIN.fullmatch(t) for t in texts)
+    ids_of = packing.TextIds(PATH)
+    assert [np.frombuffer(ids_of(t), "<u4").tolist() for t in texts] == [whole_ids(t)[:-1] for t in texts]
+
+
+def test_repeated_rows_are_packed_each(spark):
+    docs = spark.createDataFrame([(1, "one two", "x", 7)] * 3, DOCS).coalesce(1)
+    rows = packing.pack(docs, PATH).collect()
+    assert [(r["doc_id"], r["start"]) for r in rows] == [(1, 0)] * 3 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], DOCS), PATH).count() == 0
 
@@ -91,7 +123,8 @@ def test_levels_choose_the_smallest_sum_of_squares(sizes, most_open):
         closed += [full] if full else []
         assert int((levels.counts**2).sum()) == min(after(h) for h in allowed)
         if levels.n_open >= most_open:
-            closed += levels.drain()
+            closed += levels.drain(most_open // 2)
+            assert levels.n_open <= most_open // 2 and (levels.counts.sum(), [len(p) for p in levels.open]) == (levels.n_open, list(levels.counts[:-1]))
     closed += levels.drain()
     fills = [sum(len(p[2]) // 4 for p in pieces) for pieces in closed]
     assert sum(fills) == sum(sizes) and max(fills, default=0) <= window and levels.n_open == 0
