@@ -88,14 +88,14 @@ def number_source(df: DataFrame, alias: str = "src_row", per_file: bool = False,
         number = F.col("_pos") + start
     else:
         files = materialise(placed.groupBy("source_file").agg(F.count("*").alias("_n")), "files")
-        offsets = _offsets(files, ["source_file"])
+        offsets = rows_before(files, ["source_file"])
         number = F.col("_pos") + F.col("before") + start
     located = placed if offsets is None else placed.join(offsets, "source_file")
     return located.select(*df.columns, "source_file", number.cast("bigint").alias(alias))
 
 
-def _offsets(pieces: DataFrame, keys: list[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows before each piece of the source (``_n`` rows each), broadcast where there are few pieces."""
+def rows_before(pieces: DataFrame, keys: list[str], by: Sequence[str] = ()) -> DataFrame:
+    """Rows before each piece of a source, in order of ``keys`` (``_n`` rows each), broadcast where there are few pieces."""
     # numbers of the pieces in order of their keys are the key for the running total
     ranked = number_sorted(pieces, keys, "_rank")
     offsets = materialise(running_before(ranked, "_rank", "_n", by).drop("_rank", "_n"), "offsets")
@@ -111,7 +111,7 @@ def _number_splits(df: DataFrame, alias: str, per_file: bool, start: int) -> Dat
     keys = ["source_file", "source_split"]
     stored = materialise(df.withColumn("_pos", F.monotonically_increasing_id()), "source")
     splits = stored.groupBy(*keys).agg(F.count("*").alias("_n"), F.min("_pos").alias("_first"))
-    offsets = _offsets(splits, keys, ["source_file"] if per_file else [])
+    offsets = rows_before(splits, keys, ["source_file"] if per_file else [])
     number = (F.col("_pos") - F.col("_first") + F.col("before") + start).cast("bigint")
     kept = [c for c in df.columns if c != "source_split"]
     return stored.join(offsets, keys).select(*kept, number.alias(alias))

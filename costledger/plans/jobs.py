@@ -20,7 +20,7 @@ from costledger.operators.reference import check_reference, prepare_reference
 from costledger.session import fit_shuffles, materialise
 from costledger.sinks import tables as sink
 from costledger.sources.delimited import read_delimited, read_raw_cells
-from costledger.sources.files import find_file, fingerprints, table_names
+from costledger.sources.files import find_file, input_fingerprint, table_names
 from costledger.sources.sheet import body_rows, locate_table
 
 
@@ -35,8 +35,7 @@ def contract_costs_of_file(spark: SparkSession, path: str, output: str, pattern:
     sheet = cells.withColumns({"sheet_ord": F.lit(1), "sheet": F.lit(name)})
     located = materialise(locate_table(sheet), "header")
     rows = body_rows(sheet, located)
-    sha256 = fingerprints(spark, path).first()["sha256"]
-    contract_costs(rows, output, sha256, path, name, located.first()["header_row"])
+    contract_costs(rows, output, input_fingerprint(spark, path), path, name, located.first()["header_row"])
 
 
 def contract_costs(

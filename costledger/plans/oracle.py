@@ -34,6 +34,13 @@ _NAMED = """SELECT *, CASE lower(regexp_replace(trim(cell), ' +', ' ', 'g')) WHE
 # Named subqueries, each with those it builds on.
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "contract_raw": ((), views.plain(views.CONTRACT_RAW)),
+    "contract_lines": ((), views.plain(views.CONTRACT_LINES)),
+    "digests": (
+        ("contract_lines",),
+        """SELECT subject_no, sum(strlen(line) + 1)::BIGINT AS length, sha256(string_agg(line || chr(10), '' ORDER BY line)) AS sha256
+        FROM contract_lines GROUP BY subject_no""",
+    ),
+    "remarks": ((), views.plain(views.REMARKS)),
     "typed": (
         ("contract_raw",),
         f"""SELECT trim(school) AS school, trim(subject_no) AS subject_no, trim(subject) AS subject,
@@ -439,7 +446,7 @@ ORACLE: dict[str, str] = {
         "subject_year",
     ),
     "processing_summary": _sql(
-        "SELECT 0 AS ord, 'Input file SHA-256' AS label, 'none' AS value UNION ALL SELECT 1, 'Input sheet', sheet FROM located "
+        "SELECT 0 AS ord, 'Input file SHA-256' AS label, sha256(string_agg(sha256, chr(10) ORDER BY sha256)) AS value FROM digests UNION ALL SELECT 1, 'Input sheet', sheet FROM located "
         "UNION ALL SELECT 2, 'Header row (1-based)', CAST(header_row AS VARCHAR) FROM located UNION ALL SELECT "
         + _case("metric", {name: str(i + 3) for i, name in enumerate(COUNTER_LABELS)})
         + ", "
@@ -449,6 +456,7 @@ ORACLE: dict[str, str] = {
         "counter_rows",
         "anchors",
         "located",
+        "digests",
     ),
     "reference_clean": _sql("SELECT * FROM reference", "reference"),
     "reference_issues": _sql(
@@ -615,4 +623,9 @@ ORACLE: dict[str, str] = {
         "transactions_raw",
     ),
     "stream_ingest": _sql("SELECT * EXCLUDE (batch_id) FROM tx", "tx"),
+    "file_digests": _sql("SELECT * FROM digests", "digests"),
+    "quoted_records": _sql(
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, remark, amount, row_number() OVER (ORDER BY part, o_orderkey) - 1 AS src_row FROM remarks",
+        "remarks",
+    ),
 }

@@ -24,6 +24,7 @@ from costledger.session import fresh_path, materialise
 from costledger.sinks import tables as sink
 from costledger.sources import files as source_files
 from costledger.sources.delimited import read_delimited
+from costledger.sources.records import read_quoted
 from costledger.sources.sheet import body_rows, locate_table
 from costledger.streaming.ingest import ingest_stream, read_ingested, read_transaction_stream
 
@@ -116,11 +117,35 @@ def subject_report(spark, folder):
     return S.subject_report(materialise(K.subject_year(_grouped(spark, folder)), "subject_years"))
 
 
+def _contract_export(spark, folder) -> str:
+    """Folder with the contract rows as sorted lines, a file for each subject."""
+    path = fresh_path(spark, "contract_export")
+    lines = view(spark, folder, views.CONTRACT_LINES).repartition("subject_no")
+    lines.sortWithinPartitions("subject_no", "line").write.partitionBy("subject_no").text(path)
+    return path
+
+
+def file_digests(spark, folder):
+    found = source_files.fingerprints(spark, _contract_export(spark, folder) + "/subject_no=*")
+    return found.select(F.regexp_extract("path", "subject_no=([0-9]+)", 1).alias("subject_no"), "length", "sha256")
+
+
+def quoted_records(spark, folder):
+    path = fresh_path(spark, "remarks")
+    remarks = view(spark, folder, views.REMARKS)
+    for part, encoding in (("latin", "ISO-8859-1"), ("utf8", "UTF-8")):
+        rows = remarks.where(F.col("part") == part).orderBy("o_orderkey").select("o_orderkey", "remark", "amount")
+        rows.write.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding).csv(f"{path}/{part}")
+    # small blocks, so that most of them begin within a file
+    return read_quoted(spark, f"{path}/*", number="src_row", block_bytes=100_000).drop("source_file")
+
+
 def processing_summary(spark, folder):
+    sha256 = source_files.input_fingerprint(spark, _contract_export(spark, folder) + "/subject_no=*")
     grouped = materialise(_grouped(spark, folder), "contract_groups")
     anchors = B.year_anchors(materialise(K.school_year(grouped), "school_years"))
     found = locate_table(view(spark, folder, views.RAW_SHEET)).first()
-    return sink.processing_summary(K.quality_counters(grouped), anchors, "none", found["sheet"], found["header_row"])
+    return sink.processing_summary(K.quality_counters(grouped), anchors, sha256, found["sheet"], found["header_row"])
 
 
 def reference_clean(spark, folder):
@@ -419,4 +444,6 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": csv_roundtrip,
     "stream_ingest": stream_ingest,
     "fingerprint": fingerprint,
+    "file_digests": file_digests,
+    "quoted_records": quoted_records,
 }

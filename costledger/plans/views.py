@@ -26,6 +26,22 @@ SELECT CASE WHEN l_orderkey % 97 = 0 THEN 'Total' WHEN l_orderkey % 89 = 0 THEN
 FROM {lineitem}
 """
 
+# the same rows as lines of an export, a file for each subject
+CONTRACT_LINES = f"""
+SELECT subject_no, concat(coalesce(school, ''), '|', subject_no, '|', coalesce(subject, ''), '|', teaching_session, '|',
+       coalesce(incl_oncosts, ''), '|', coalesce(student_count, '')) AS line
+FROM ({CONTRACT_RAW}) AS t
+"""
+
+# remarks with quotes, separators, line breaks and letters beyond ASCII
+REMARKS = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'latin' ELSE 'utf8' END AS part,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderkey % 5 = 0 THEN concat('José', chr(10), '"', o_orderpriority, '"', chr(10), chr(10), 'fin')
+            WHEN o_orderkey % 3 = 0 THEN concat(o_orderpriority, ', ', o_orderstatus) ELSE o_orderpriority END AS remark,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR(24)) AS amount
+FROM {orders}
+"""
+
 TRANSACTIONS_RAW = """
 SELECT o_orderkey AS src_row,
        CASE WHEN o_orderkey % 41 = 0 THEN 'Unallocated'

@@ -51,14 +51,14 @@ def mark_missing(df: DataFrame, texts: tuple[str, ...] = MISSING_TEXTS) -> DataF
 
 
 # Spark reads ISO-8859-1 but not windows-1252; the two differ in these characters.
-_WINDOWS = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
-_WINDOWS = {latin: char for latin, char in _WINDOWS.items() if char}
+WINDOWS = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+WINDOWS = {latin: char for latin, char in WINDOWS.items() if char}
 
 
 def _as_windows(df: DataFrame) -> DataFrame:
     """Text read as ISO-8859-1 as the windows-1252 that it is."""
-    table = str.maketrans(_WINDOWS)
-    latin, windows = "".join(_WINDOWS), "".join(_WINDOWS.values())
+    table = str.maketrans(WINDOWS)
+    latin, windows = "".join(WINDOWS), "".join(WINDOWS.values())
     return df.select(*[F.translate(f"`{c}`", latin, windows).alias(c.translate(table)) for c in df.columns])
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costledger.sources.blocks import can_open, listed, open_file, over_rows, steps
+
 # File types in order of preference.
 PREFERRED_SUFFIXES = (".xlsx", ".xlsm", ".csv")
 
@@ -65,11 +69,35 @@ def find_file(
     return row["path"]
 
 
-def fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """SHA-256 of each file, files in parallel; Spark rejects a single file above 2 GB."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(path)
-        .select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", F.sha2("content", 256).alias("sha256"))
-    )
+def _digest(row: dict) -> Iterator[pa.RecordBatch]:
+    digest = hashlib.sha256()
+    with open_file(row["path"]) as file:
+        for data in steps(file, 0, row["length"]):
+            digest.update(data)
+    yield pa.RecordBatch.from_pylist([{**row, "sha256": digest.hexdigest()}])
+
+
+def fingerprints(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
+    """``path``, ``name``, ``length`` and SHA-256 of each file, files in parallel.
+
+    A task streams its file block by block, so files of any size fit; Spark does not list empty files. Where tasks cannot open the files by themselves (a scheme
+    that only Spark reads), whole contents are hashed by Spark, which rejects a single file above 2 GB.
+    """
+    files = listed(spark, path, pattern)
+    first = files.select("path").first()
+    if first is None or can_open(first["path"]):
+        hashed = over_rows(files, _digest, "path string, length long, sha256 string")
+    else:
+        contents = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+        hashed = contents.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return hashed.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "sha256")
+
+
+def fingerprint() -> Column:
+    """One digest for an input, aggregated over ``fingerprints``: that of its file, or that of the sorted digests of its files, whatever their names."""
+    digests = F.array_join(F.array_sort(F.collect_list("sha256")), "\n")
+    return F.when(F.count("*") == 1, F.max("sha256")).otherwise(F.sha2(digests, 256)).alias("sha256")
+
+
+def input_fingerprint(spark: SparkSession, path: str | list[str], pattern: str = "*") -> str:
+    return fingerprints(spark, path, pattern).agg(fingerprint()).first()["sha256"]
