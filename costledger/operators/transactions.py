@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from costledger.functions import text as X
 from costledger.operators.numbering import running_before
 from costledger.schemas import TRANSACTION, TRANSACTION_RAW, conform, rename_columns
 from costledger.session import materialise
+from costledger.sources.records import Prefixes
 
 CHUNK_SIZE = 50_000
 ISSUES_PER_BATCH = 5
@@ -120,6 +121,35 @@ def limit_batches(classified: DataFrame, dry_run_limit: int, count_all: bool = F
     """
     if dry_run_limit <= 0:
         return classified
-    over = batch_totals(classified, count_all).where(F.col("rows_before") >= dry_run_limit)
-    first_over = over.agg(F.min("batch_id")).scalar()
+    first_over = _first_over(classified, dry_run_limit, count_all).scalar()
     return classified.where(F.col("batch_id") < F.coalesce(first_over, F.lit(2**63 - 1)))
+
+
+def _first_over(classified: DataFrame, dry_run_limit: int, count_all: bool) -> DataFrame:
+    """The first batch before which the limit is reached."""
+    over = batch_totals(classified, count_all).where(F.col("rows_before") >= dry_run_limit)
+    return over.agg(F.min("batch_id"))
+
+
+def limited_batches(
+    source: Prefixes, dry_run_limit: int, classify: Callable[[DataFrame], DataFrame], count_all: bool = False, first: int = 1
+) -> tuple[DataFrame, int]:
+    """Whole batches until the rows before one reach the limit, out of a source that is read only as far as that takes; and the number of its blocks read.
+
+    ``classify`` gives rows their batch. A prefix is enough once a row of the first batch over the limit is in it, as then all batches
+    before that are whole. If it is not, the next one is as long as the rows seen so far make likely, and twice as long at least.
+    """
+    blocks = first if dry_run_limit > 0 else source.total
+    while True:
+        blocks = min(blocks, source.total)
+        classified = materialise(classify(source.rows(blocks)), "prefix")
+        if dry_run_limit <= 0:
+            return classified, blocks
+        over = F.col("rows_before") >= dry_run_limit
+        found = batch_totals(classified, count_all).agg(F.min(F.when(over, F.col("batch_id"))).alias("first_over"), F.sum("n_rows").alias("n")).first()
+        if found["first_over"] is not None:
+            return classified.where(F.col("batch_id") < found["first_over"]), blocks
+        if blocks == source.total:
+            return classified, blocks
+        likely = 5 * blocks * dry_run_limit // (4 * found["n"]) if found["n"] else 0
+        blocks = max(2 * blocks, min(8 * blocks, likely + 1))

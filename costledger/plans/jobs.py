@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -19,12 +20,14 @@ from costledger.operators.redact import pii_dictionary, redact
 from costledger.operators.reference import check_reference, prepare_reference
 from costledger.session import fit_shuffles, materialise
 from costledger.sinks import tables as sink
+from costledger.sinks.versions import read_table
 from costledger.sources.delimited import read_delimited, read_raw_cells
 from costledger.sources.files import find_file, input_fingerprint, table_names
+from costledger.sources.records import BLOCK_BYTES, Prefixes, read_quoted
 from costledger.sources.sheet import body_rows, locate_table
 
 
-def contract_costs_of_file(spark: SparkSession, path: str, output: str, pattern: str = "") -> None:
+def contract_costs_of_file(spark: SparkSession, path: str, output: str, pattern: str = "", run_id: str | None = None) -> None:
     """Reports out of an export as it is: the table is found below any notes, and its cells stay the texts they are.
 
     With a ``pattern`` the file is chosen in the folder ``path``. The summary names the file's fingerprint and the header's row.
@@ -35,14 +38,17 @@ def contract_costs_of_file(spark: SparkSession, path: str, output: str, pattern:
     sheet = cells.withColumns({"sheet_ord": F.lit(1), "sheet": F.lit(name)})
     located = materialise(locate_table(sheet), "header")
     rows = body_rows(sheet, located)
-    contract_costs(rows, output, input_fingerprint(spark, path), path, name, located.first()["header_row"])
+    contract_costs(rows, output, input_fingerprint(spark, path), path, name, located.first()["header_row"], run_id)
 
 
 def contract_costs(
-    raw: DataFrame, output: str, sha256: str = "", source: str = "", sheet: str = "", header_row: int = 0
+    raw: DataFrame, output: str, sha256: str = "", source: str = "", sheet: str = "", header_row: int = 0,
+    run_id: str | None = None,
 ) -> None:
     """Contract rows to reports. The rows are read once; everything derives from their grouped table.
 
+    A job that is tried again under the same ``run_id`` leaves one line in the run log.
+
     Headers may be spelled as exports do, in any case and spacing.
     """
     spark = raw.sparkSession
@@ -63,7 +69,7 @@ def contract_costs(
         B.fuzzy_bands(schools, anchors), f"{output}/fuzzy_bands", f"{output}/fuzzy_band_summary",
         f"{output}/fuzzy_notice",
     )
-    sink.append_run_log(spark, f"{output}/run_log", source, output, sha256)
+    sink.append_run_log(spark, f"{output}/run_log", source, output, sha256, run_id or uuid.uuid4().hex)
 
 
 def reconciliation(
@@ -81,12 +87,41 @@ def reconciliation(
     The coerced transactions are stored once and all outputs read them, each with the columns it needs.
     """
     fit_shuffles(transactions_raw, reference_raw)
+    classified = materialise(TX.classify_transactions(transactions_raw, chunk_size, renames), "transactions")
+    _reconciled(TX.limit_batches(classified, dry_run_limit), reference_raw, output, letter, folder_per_staff, renames)
+
+
+def reconciliation_of_files(
+    spark: SparkSession,
+    transactions: str,
+    reference: str,
+    output: str,
+    chunk_size: int = TX.CHUNK_SIZE,
+    dry_run_limit: int = 0,
+    letter: R.Letter = R.Letter(),
+    folder_per_staff: bool = False,
+    renames: Mapping[str, str] | None = None,
+    block_bytes: int = BLOCK_BYTES,
+) -> int:
+    """The reconciliation of delimited files, whose cells may hold line breaks.
+
+    With a limit, the transactions are read from their start and only as far as the limit takes. Returns the number of blocks read.
+    """
+    people = read_quoted(spark, reference)
+    source = Prefixes(spark, transactions, block_bytes=block_bytes)
+    classified, blocks = TX.limited_batches(source, dry_run_limit, lambda rows: TX.classify_transactions(rows, chunk_size, renames))
+    _reconciled(classified, people, output, letter, folder_per_staff, renames)
+    return blocks
+
+
+def _reconciled(
+    classified: DataFrame, reference_raw: DataFrame, output: str, letter: R.Letter, folder_per_staff: bool, renames: Mapping[str, str] | None
+) -> None:
+    """All outputs of stored transactions; the reference is checked before anything is written."""
+    spark = reference_raw.sparkSession
     check_reference(reference_raw, renames)
     sink.replace_reference(prepare_reference(reference_raw, renames), f"{output}/reference")
-    spark = reference_raw.sparkSession
-    reference = spark.read.parquet(f"{output}/reference")
-    classified = materialise(TX.classify_transactions(transactions_raw, chunk_size, renames), "transactions")
-    classified = TX.limit_batches(classified, dry_run_limit)
+    reference = read_table(spark, f"{output}/reference")
     valid = TX.valid_transactions(classified)
     sink.write_data_issues(TX.data_issues(classified), f"{output}/data_issues")
     sink.write_ledger(R.ledger(valid, reference), f"{output}/Transaction_Ledger")

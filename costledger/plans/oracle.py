@@ -628,4 +628,10 @@ ORACLE: dict[str, str] = {
         "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, remark, amount, row_number() OVER (ORDER BY part, o_orderkey) - 1 AS src_row FROM remarks",
         "remarks",
     ),
+    "dry_run_files": _sql(
+        f"SELECT batch_id, n_all AS n_rows, n_rows AS n_valid FROM batches_before WHERE rows_before < {DRY_RUN_LIMIT}",
+        "batches_before",
+    ),
+    "replaced_reference": _sql("SELECT * FROM reference", "reference"),
+    "appended_transactions": _sql("SELECT * FROM tx", "tx"),
 }

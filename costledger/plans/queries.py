@@ -22,9 +22,10 @@ from costledger.plans.views import view
 from costledger.schemas import TRANSACTION, TRANSACTION_RAW, VIOLATION
 from costledger.session import fresh_path, materialise
 from costledger.sinks import tables as sink
+from costledger.sinks.versions import read_table
 from costledger.sources import files as source_files
 from costledger.sources.delimited import read_delimited
-from costledger.sources.records import read_quoted
+from costledger.sources.records import Prefixes, read_quoted
 from costledger.sources.sheet import body_rows, locate_table
 from costledger.streaming.ingest import ingest_stream, read_ingested, read_transaction_stream
 
@@ -186,6 +187,35 @@ def dry_run_batches(spark, folder):
     return kept.groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.count("tr_code").alias("n_valid"))
 
 
+def dry_run_files(spark, folder):
+    """The same batches out of files that are read from their start, only as far as the limit takes."""
+    path = fresh_path(spark, "transactions.csv")
+    sink.write_csv(view(spark, folder, views.TRANSACTIONS_RAW).withColumnRenamed("src_row", "journal_no"), path, ["journal_no"])
+    classify = lambda rows: TX.classify_transactions(rows, CHUNK)
+    kept, _ = TX.limited_batches(Prefixes(spark, path, block_bytes=100_000), DRY_RUN_LIMIT, classify)
+    return kept.groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.count("tr_code").alias("n_valid"))
+
+
+def replaced_reference(spark, folder):
+    """A reference that was loaded twice, read while a third load has not been committed."""
+    path = fresh_path(spark, "reference_table")
+    reference = _reference(spark, folder)
+    sink.replace_reference(reference.limit(3), path)
+    sink.replace_reference(reference, path)
+    reference.limit(5).write.parquet(f"{path}/data/{'0' * 32}")
+    return read_table(spark, path)
+
+
+def appended_transactions(spark, folder):
+    """Three loads of transactions, each tried twice."""
+    path = fresh_path(spark, "transaction_table")
+    valid = materialise(_valid(spark, folder), "valid")
+    for load in range(3):
+        for _ in range(2):
+            sink.append_transactions(valid.where(F.col("batch_id") % 3 == load), path, f"load {load}")
+    return read_table(spark, path)
+
+
 def source_batches(spark, folder):
     numbered = number_source(spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey"))
     batch = F.floor(F.col("src_row") / CHUNK).cast("bigint").alias("batch_id")
@@ -407,6 +437,9 @@ QUERIES: dict[str, Query] = {
     "scorecard": scorecard,
     "batch_totals": batch_totals,
     "dry_run_batches": dry_run_batches,
+    "dry_run_files": dry_run_files,
+    "replaced_reference": replaced_reference,
+    "appended_transactions": appended_transactions,
     "source_batches": source_batches,
     "ledger": ledger,
     "spenders": spenders,

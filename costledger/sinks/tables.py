@@ -11,6 +11,7 @@ from costledger.functions.cost import anchor_text
 from costledger.operators.bands import band_summary, rounded_bands
 from costledger.operators.contract import COUNTER_LABELS
 from costledger.schemas import LEDGER_COLUMNS
+from costledger.sinks import versions
 
 NO_BANDS = "No finite, positive School-Year cost-per-student values available for fuzzy banding."
 
@@ -74,18 +75,19 @@ def write_data_issues(issues: DataFrame, path: str) -> None:
 
 
 def replace_reference(reference: DataFrame, path: str) -> None:
-    """Replace the stored reference as a whole."""
-    reference.write.mode("overwrite").parquet(path)
+    """Replace the stored reference as a whole; until that is done, readers see the old one."""
+    versions.replace(reference, path)
 
 
-def append_transactions(transactions: DataFrame, path: str) -> None:
-    transactions.write.mode("append").parquet(path)
+def append_transactions(transactions: DataFrame, path: str, key: str) -> bool:
+    """Add one load of transactions, named by ``key``; a load that is stored already is not stored again."""
+    return versions.append(transactions, path, key)
 
 
-def append_run_log(spark: SparkSession, path: str, source: str, output: str, sha256: str) -> None:
-    """One line per run."""
+def append_run_log(spark: SparkSession, path: str, source: str, output: str, sha256: str, run_id: str) -> bool:
+    """One line per run, however often its job is tried."""
     line = spark.createDataFrame([("OK", source, output, sha256)], "status string, input string, output string, sha256 string")
-    write_csv(line, path, mode="append")
+    return versions.append(line.coalesce(1), path, run_id)
 
 
 def processing_summary(

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from costledger.operators.numbering import rows_before
 from costledger.session import materialise
 from costledger.sources.blocks import STEP, blocks_of, listed, open_file, over_rows
 from costledger.sources.delimited import WINDOWS, check_suffix, mark_missing
@@ -144,19 +143,25 @@ def _cut(row: dict) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * len(part), pa.string()), numbers.slice(at, len(part)), pa.array(part, pa.string())], ["source_file", "number", "value"])
 
 
-def survey(spark: SparkSession, path: str | list[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def survey(blocks: DataFrame) -> DataFrame:
     """A row a block: its state (``inside``), the number of its first record in the file (``place``) and of its first row among all (``before``), ``utf8``."""
-    seen = materialise(over_rows(blocks_of(listed(spark, path), max(LONGEST_CHARACTER, block_bytes)), _surveyed, SURVEY), "survey")
+    seen = materialise(over_rows(blocks, _surveyed, SURVEY), "survey")
     # a window holds the blocks of one file
     ordered = W.partitionBy("path").orderBy("offset")
     earlier = ordered.rowsBetween(W.unboundedPreceding, -1)
     inside = (F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2).cast("int")
-    whole = F.col("utf8") & (F.lead("lead", 1, 0).over(ordered) == F.col("wanted"))
+    # of the first blocks of a file the last one may end within a character
+    next_lead = F.coalesce(F.lead("lead").over(ordered), F.when(F.col("offset") + F.col("size") < F.col("length"), F.col("wanted")).otherwise(0))
+    whole = F.col("utf8") & (next_lead == F.col("wanted"))
     known = seen.withColumns({"inside": inside, "utf8": whole}).withColumn("n", F.when(F.col("inside") == 1, F.col("starts_inside")).otherwise(F.col("starts_outside")))
     known = known.withColumns({"utf8": F.min("utf8").over(W.partitionBy("path")), "place": F.coalesce(F.sum("n").over(earlier), F.lit(0))})
-    rows = materialise(known.withColumn("_n", F.col("n") - F.when((F.col("place") == 0) & (F.col("n") > 0), 1).otherwise(0)), "blocks")
-    before = rows_before(rows.select("path", "offset", "_n"), ["path", "offset"])
-    return materialise(rows.join(before, ["path", "offset"]).select("path", "length", "offset", "size", "inside", "utf8", "place", "before", "n"), "placed_blocks")
+    known = known.withColumn("rows", F.col("n") - F.when((F.col("place") == 0) & (F.col("n") > 0), 1).otherwise(0))
+    # a row a file
+    files = known.groupBy("path").agg(F.sum("rows").alias("rows"))
+    first = F.coalesce(F.sum("rows").over(W.orderBy("path").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    within = known.withColumn("within", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    placed = within.join(files.select("path", first.alias("first")), "path").withColumn("before", F.col("first") + F.col("within"))
+    return materialise(placed.select("path", "length", "offset", "size", "inside", "utf8", "place", "before", "n"), "blocks")
 
 
 def header_of(blocks: DataFrame) -> str | None:
@@ -191,12 +196,36 @@ def read_quoted(spark: SparkSession, path: str | list[str], missing: bool = True
     A file is read by as many tasks as it has blocks. ``number`` names a column for the rows' numbers from 0, in the order of files and places,
     and adds ``source_file``. Records without a character are left out. A quote that is never closed makes the rest of its file one record.
     """
+    return _rows(_listed_blocks(spark, path, block_bytes), missing, number)
+
+
+class Prefixes:
+    """The rows of the first blocks of a source, in the order of files and places: for readers that stop once they have enough.
+
+    The last row is whole, as its block reads it to its end. A file's encoding is judged by the blocks that are read of it.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | list[str], missing: bool = True, number: str = "src_row", block_bytes: int = BLOCK_BYTES):
+        self.listing = materialise(_listed_blocks(spark, path, block_bytes), "listing")
+        self.total = self.listing.count()
+        self.missing, self.number = missing, number
+
+    def rows(self, blocks: int) -> DataFrame:
+        first = self.listing if blocks >= self.total else self.listing.orderBy("path", "offset").limit(blocks)
+        return _rows(first, self.missing, self.number)
+
+
+def _listed_blocks(spark: SparkSession, path: str | list[str], block_bytes: int) -> DataFrame:
     for one in [path] if isinstance(path, str) else path:
         check_suffix(one)
-    blocks = survey(spark, path, block_bytes)
+    return blocks_of(listed(spark, path), max(LONGEST_CHARACTER, block_bytes))
+
+
+def _rows(listing: DataFrame, missing: bool, number: str | None) -> DataFrame:
+    blocks = survey(listing)
     header = header_of(blocks)
     if header is None:
-        raise ValueError(f"No header in {path}")
+        raise ValueError("No file with a header")
     records = over_rows(blocks.where("n > 0"), _cut, "source_file string, number long, value string")
     df = parsed(records, column_names(header), number)
     return mark_missing(df) if missing else df
