@@ -402,8 +402,15 @@ def csv_roundtrip(spark, folder):
 
 def stream_ingest(spark, folder):
     path = fresh_path(spark, "incoming")
-    # the files' columns are in another order than the job's
-    sink.write_csv(view(spark, folder, views.TRANSACTIONS_RAW).select(*reversed(TRANSACTION_RAW.names)), path)
+    raw = view(spark, folder, views.TRANSACTIONS_RAW)
+    # three headers: another order, another name of the activity, and columns that the job does not know
+    shapes = (
+        list(reversed(TRANSACTION_RAW.names)),
+        [F.col("activity").alias("Activity Level 3 Code and Name"), *[c for c in TRANSACTION_RAW.names if c != "activity"]],
+        [F.lit("x").alias("Remark"), *TRANSACTION_RAW.names, F.lit("y").alias("Ledger")],
+    )
+    for k, columns in enumerate(shapes):
+        sink.write_csv(raw.where(F.col("src_row") % 3 == k).select(*columns), path, mode="append")
     output = fresh_path(spark, "ingested")
     ingest_stream(read_transaction_stream(spark, path), output, fresh_path(spark, "progress")).awaitTermination()
     return read_ingested(spark, output).select(*[c for c in TRANSACTION.names if c != "batch_id"])

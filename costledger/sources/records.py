@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,10 +126,11 @@ def _decoded(records: list[bytes], utf8: bool) -> list[str]:
 
 
 def _first(row: dict) -> Iterator[pa.RecordBatch]:
-    """The header of a file, read step by step."""
+    """The header of a file, out of its first bytes: ``path`` and ``names``."""
     size = min(row["length"], STEP)
     header = _records({**row, "offset": 0, "size": size, "inside": 0})[:1]
-    yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * len(header)), pa.array(_decoded(header, row["utf8"]), pa.string())], ["path", "header"])
+    names = [column_names(text) for text in _decoded(header, row["utf8"])]
+    yield pa.RecordBatch.from_arrays([pa.array([row["path"]] * len(names), pa.string()), pa.array(names, pa.list_(pa.string()))], ["path", "names"])
 
 
 def _cut(row: dict) -> Iterator[pa.RecordBatch]:
@@ -164,13 +165,19 @@ def survey(blocks: DataFrame) -> DataFrame:
     return materialise(placed.select("path", "length", "offset", "size", "inside", "utf8", "place", "before", "n"), "blocks")
 
 
-def header_of(blocks: DataFrame) -> str | None:
-    """The one header of all files; None without any."""
-    firsts = over_rows(blocks.where("offset = 0").select("path", "length", "utf8"), _first, "path string, header string")
-    found = firsts.groupBy("header").agg(F.min("path").alias("path")).orderBy("path").limit(2).collect()
+def headers(blocks: DataFrame) -> DataFrame:
+    """``path`` and ``names`` (of its columns) of each file, by one job."""
+    return over_rows(blocks.where("offset = 0").select("path", "length", "utf8"), _first, "path string, names array<string>")
+
+
+def one_header(blocks: DataFrame) -> list[str]:
+    """The columns that all files have."""
+    found = headers(blocks).groupBy("names").agg(F.min("path").alias("path")).orderBy("path").limit(2).collect()
     if len(found) > 1:
         raise ValueError(f"Files with different headers: {found[0]['path']} and {found[1]['path']}")
-    return found[0]["header"] if found else None
+    if not found:
+        raise ValueError("No file with a header")
+    return found[0]["names"]
 
 
 def column_names(header: str) -> list[str]:
@@ -182,19 +189,45 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def parsed(records: DataFrame, names: list[str], number: str | None = None) -> DataFrame:
-    """Cells by column out of ``value``."""
-    schema = ", ".join(f"_c{i} STRING" for i in range(len(names)))
-    cells = F.from_csv("value", schema, {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
-    kept = ["source_file", F.col("number").alias(number)] if number else []
-    return records.withColumn("_cells", cells).select(*[F.col(f"_cells._c{i}").alias(n) for i, n in enumerate(names)], *kept)
+def _cells(width: int) -> Column:
+    """The cells of ``value``, by position."""
+    schema = ", ".join(f"_c{i} STRING" for i in range(width))
+    return F.from_csv("value", schema, {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1"})
+
+
+def _cut_records(blocks: DataFrame) -> DataFrame:
+    return over_rows(blocks.where("n > 0"), _cut, "source_file string, number long, value string")
+
+
+def read_by_name(spark: SparkSession, path: str | list[str], number: str = "src_row", missing: bool = True, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, DataFrame]:
+    """All text columns of files whose headers may differ, by name in any case; a column that a file lacks is NULL in its rows. And the files' headers.
+
+    The number of jobs depends neither on the number of files nor on that of headers. Files with a column ``number`` keep its values.
+    """
+    blocks = survey(_listed_blocks(spark, path, block_bytes))
+    known = materialise(headers(blocks), "headers")  # a row a file
+    lower = F.transform("names", lambda n: F.lower(n))
+    shape = known.select(F.explode("names").alias("name"), F.size("names").alias("width")).groupBy(F.lower("name").alias("key")).agg(F.min("name").alias("name"), F.max("width").alias("width"))
+    columns = {r["key"]: (r["name"], r["width"]) for r in shape.orderBy("key").collect()}  # a row a column
+    if not columns:
+        raise ValueError("No file with a header")
+    width = max(w for _, w in columns.values())
+    cells = F.array(*[F.col(f"_cells._c{i}") for i in range(width)])
+    rows = _cut_records(blocks).withColumn("_cells", _cells(width)).select("source_file", "number", cells.alias("_cells"))
+    rows = rows.join(F.broadcast(known.select(F.col("path").alias("source_file"), lower.alias("_names"))), "source_file")
+    # one column less than its place, which is 0 where there is none
+    cell = lambda key: F.get("_cells", (F.array_position("_names", F.lit(key)) - 1).cast("int"))
+    picked = [cell(key).alias(name) for key, (name, _) in columns.items() if key != number.lower()]
+    own = F.when(F.array_contains("_names", number.lower()), cell(number.lower()).try_cast("bigint")).otherwise(F.col("number"))
+    df = rows.select(*picked, "source_file", own.alias(number))
+    return (mark_missing(df) if missing else df), known
 
 
 def read_quoted(spark: SparkSession, path: str | list[str], missing: bool = True, number: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """All text columns of delimited files with one header, whose quoted cells may hold line breaks.
 
     A file is read by as many tasks as it has blocks. ``number`` names a column for the rows' numbers from 0, in the order of files and places,
-    and adds ``source_file``. Records without a character are left out. A quote that is never closed makes the rest of its file one record.
+    and adds ``source_file``; files that have such a column keep its values. Records without a character are left out. A quote that is never closed makes the rest of its file one record.
     """
     return _rows(_listed_blocks(spark, path, block_bytes), missing, number)
 
@@ -223,9 +256,10 @@ def _listed_blocks(spark: SparkSession, path: str | list[str], block_bytes: int)
 
 def _rows(listing: DataFrame, missing: bool, number: str | None) -> DataFrame:
     blocks = survey(listing)
-    header = header_of(blocks)
-    if header is None:
-        raise ValueError("No file with a header")
-    records = over_rows(blocks.where("n > 0"), _cut, "source_file string, number long, value string")
-    df = parsed(records, column_names(header), number)
-    return mark_missing(df) if missing else df
+    names = one_header(blocks)
+    own = number is not None and number.lower() in [n.lower() for n in names]
+    numbered = ["source_file", F.col("number").alias(number)] if number and not own else ["source_file"] if number else []
+    rows = _cut_records(blocks).withColumn("_cells", _cells(len(names)))
+    df = rows.select(*[F.col(f"_cells._c{i}").alias(n) for i, n in enumerate(names)], *numbered)
+    df = mark_missing(df) if missing else df
+    return df.withColumn(number, F.col(f"`{number}`").try_cast("bigint")) if own else df

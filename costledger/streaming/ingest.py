@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from costledger.operators.numbering import number_source
-from costledger.operators.transactions import classify_transactions, valid_transactions
+from costledger.operators.transactions import SOURCE_HEADERS, classify_transactions, valid_transactions
 from costledger.schemas import TRANSACTION
-from costledger.sources.delimited import read_delimited
+from costledger.sinks.versions import append, read_table
+from costledger.sources.records import read_by_name
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -23,24 +22,6 @@ def read_transaction_stream(spark: SparkSession, folder: str, max_files: int = 1
     return files.select("path")  # the content is not selected, so it is not read
 
 
-def read_by_header(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    """Files whose headers may differ: a scan for each header, with columns by name.
-
-    The first line of each file is read once more; the files of a trigger are bounded by ``maxFilesPerTrigger``.
-    """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in sorted(paths):
-        header = read_delimited(spark, path, encoding="UTF-8", missing=False).columns
-        by_header.setdefault(tuple(header), []).append(path)
-    parts = []
-    for header, files in by_header.items():
-        # files without row numbers are numbered as they are placed
-        own = "src_row" in [c.lower() for c in header]
-        scan = read_delimited(spark, files, encoding="UTF-8", keep_source=not own)
-        parts.append(scan.withColumn("src_row", F.col("src_row").cast("bigint")) if own else number_source(scan, "src_row").drop("source_file"))
-    return parts
-
-
 def ingest_stream(
     files: DataFrame,
     output: str,
@@ -50,19 +31,28 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Store the valid transactions of each micro-batch of files, with the epoch as their batch.
 
-    An epoch that is repeated after a failure overwrites its own folder, so no row is stored twice. The coercions
-    keep no state, hence no watermark. A file without an activity column raises.
+    The headers of a trigger's files are read by one job, and its rows by name by another, however many files and headers there are.
+    An epoch of a checkpoint is committed to the table once, so one that is repeated after a failure adds nothing. The coercions keep no
+    state, hence no watermark. A file without an activity column raises.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        paths = [r["path"] for r in batch.select("path").collect()]
+        paths = [r["path"] for r in batch.select("path").collect()]  # at most maxFilesPerTrigger
         if not paths:
             return
-        # classified by header, so a file that lacks the activity raises and is not filled up from the others
-        parts = [valid_transactions(classify_transactions(rows, renames=renames)) for rows in read_by_header(spark, paths)]
-        typed = reduce(DataFrame.unionByName, parts)
-        typed.drop("batch_id").write.mode("overwrite").parquet(f"{output}/batch_id={epoch}")
+        rows, headers = read_by_name(spark, paths)
+        names = F.transform("names", lambda n: F.lower(n))
+        accepted = ["activity", *(n.lower() for n, t in {**SOURCE_HEADERS, **(renames or {})}.items() if t == "activity")]
+        lacking = headers.where(~F.arrays_overlap(names, F.lit(accepted))).first()
+        if lacking is not None:
+            raise ValueError(f"Transaction data missing the activity column: {lacking['path']}")
+        for source, target in {**SOURCE_HEADERS, **(renames or {})}.items():  # files may differ in the name they use
+            present = {c.lower(): c for c in rows.columns}
+            if source.lower() in present and target.lower() in present and source.lower() != target.lower():
+                rows = rows.withColumn(present[target.lower()], F.coalesce(f"`{present[target.lower()]}`", f"`{present[source.lower()]}`")).drop(present[source.lower()])
+        typed = valid_transactions(classify_transactions(rows, renames=renames))
+        append(typed.withColumn("batch_id", F.lit(epoch).cast("bigint")), output, f"{checkpoint} epoch {epoch}")
 
     return (
         files.writeStream.foreachBatch(store)
@@ -74,5 +64,4 @@ def ingest_stream(
 
 def read_ingested(spark: SparkSession, output: str) -> DataFrame:
     """What the stream has stored so far, in the columns of the batch job."""
-    stored = spark.read.parquet(output)
-    return stored.withColumn("batch_id", F.col("batch_id").cast("bigint")).select(*TRANSACTION.names)
+    return read_table(spark, output, TRANSACTION).select(*TRANSACTION.names)
