@@ -10,7 +10,8 @@ Vectors are whole numbers, floor(64 * x). Scores are exact: double precision whe
 held to the range of a long.
 
 Defined cases: vectors that are NULL, empty or hold NULL or non-finite components take no part, nor do rows without id; vectors of different
-lengths do not meet; a query skips rows with its own id; equal scores go to the smaller id; an empty table gives no rows; other columns are ignored.
+lengths do not meet; a query skips rows with its own id; repeated equal query rows
+are one query, different vectors under one id are one each (their rows follow each other under that id); repeated candidates count each; equal scores go to the smaller id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -143,23 +144,23 @@ def search(tree: BallTree, queries: np.ndarray, query_ids: np.ndarray, bounds: n
 
 
 def search_large(points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """Query, candidate, score where sums exceed double precision: whole numbers of any size, held to a long."""
+    """Place of the query, candidate, score where sums exceed double precision: whole numbers of any size, held to a long."""
     wide = [[int(x) for x in row] for row in points]
     found = []
-    for q, own in zip(queries, query_ids.tolist(), strict=True):
+    for place, (q, own) in enumerate(zip(queries, query_ids.tolist(), strict=True)):
         whole = [int(x) for x in q]
         scores = [(max(-LONG - 1, min(LONG, sum(a * b for a, b in zip(whole, row, strict=True)))), i) for row, i in zip(wide, ids.tolist(), strict=True) if i != own]
-        found += [(own, i, s) for s, i in sorted(scores, key=lambda x: (-x[0], x[1]))[:k]]
+        found += [(place, i, s) for s, i in sorted(scores, key=lambda x: (-x[0], x[1]))[:k]]
     return found
 
 
 def _searched(rows: DataFrame, k: int) -> DataFrame:
-    """``query_id``, ``vec_id``, ``score``: the best of each shard and block. ``rows``: candidates (``bound`` NULL) and queries."""
+    """``query_id``, ``variant``, ``vec_id``, ``score``: the best of each shard and block. ``rows``: candidates (``bound`` NULL) and queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, starts in whole_groups(batches, 3):
             is_query, ids = part.column(3).to_numpy(), part.column(4).to_numpy()
-            bounds = part.column(6).to_numpy()
+            bounds, variants = part.column(6).to_numpy(), part.column(7).to_numpy()
             for s, e in zip(starts[:-1], starts[1:], strict=True):
                 asked = is_query[s:e] == 1
                 if asked.all() or not asked.any():
@@ -171,37 +172,42 @@ def _searched(rows: DataFrame, k: int) -> DataFrame:
                 if largest < EXACT:
                     best = search(BallTree(points, point_ids), queries, query_ids, bounds[s:e][asked], k)
                     row, column = np.nonzero(best.ids != NO_ID)
-                    found = [query_ids[row], best.ids[row, column], best.scores[row, column].astype(np.int64)]
+                    hits, scores = best.ids[row, column], best.scores[row, column].astype(np.int64)
                 else:
-                    found = list(zip(*search_large(points, point_ids, queries, query_ids, k), strict=True)) or [[], [], []]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["query_id", "vec_id", "score"])
+                    large = list(zip(*search_large(points, point_ids, queries, query_ids, k), strict=True)) or [[], [], []]
+                    row, hits, scores = np.array(large[0], dtype=np.int64), large[1], large[2]
+                found = [query_ids[row], variants[s:e][asked][row], hits, scores]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["query_id", "variant", "vec_id", "score"])
 
-    return by_groups(rows, ["length", "shard", "block"], run, "query_id long, vec_id long, score long")
+    return by_groups(rows, ["length", "shard", "block"], run, "query_id long, variant long, vec_id long, score long")
 
 
 def best_of(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "variant").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(embeddings: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` for the rows of ``queries`` (``vec_id``, ``embedding``) against all of ``embeddings``."""
     points = stored(whole_vectors(embeddings), "topk_points")
-    asked = stored(whole_vectors(queries).withColumnRenamed("vec_id", "query_id"), "topk_queries")
+    # equal queries are one; different vectors under one id are told apart by a number
+    distinct = whole_vectors(queries).withColumnRenamed("vec_id", "query_id").dropDuplicates(["query_id", "length", "vector"])
+    variant = F.row_number().over(Window.partitionBy("query_id").orderBy("length", "vector")).cast("long")
+    asked = stored(distinct.withColumn("variant", variant), "topk_queries")
     shards = max(1, -(-points.count() // SHARD))
     blocks = max(1, -(-asked.count() // QUERIES))
-    columns = ["length", "shard", "block", "is_query", "id", "vector", "bound"]
+    columns = ["length", "shard", "block", "is_query", "id", "vector", "bound", "variant"]
     every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
     shard, block = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"), F.pmod(F.xxhash64("query_id", F.lit(1)), F.lit(blocks)).cast("int")
     no_bound = F.lit(float("-inf"))
-    held = points.select("length", shard.alias("shard"), every(blocks, "block"), F.lit(0).alias("is_query"), F.col("vec_id").alias("id"), "vector", no_bound.alias("bound"))
+    held = points.select("length", shard.alias("shard"), every(blocks, "block"), F.lit(0).alias("is_query"), F.col("vec_id").alias("id"), "vector", no_bound.alias("bound"), F.lit(0).cast("long").alias("variant"))
     home = F.pmod(F.xxhash64("query_id", F.lit(2)), F.lit(shards)).cast("int")
-    first = asked.select("length", home.alias("shard"), block.alias("block"), F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "vector", no_bound.alias("bound"))
+    first = asked.select("length", home.alias("shard"), block.alias("block"), F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "vector", no_bound.alias("bound"), "variant")
     found = stored(_searched(held.select(columns).union(first.select(columns)), k), "topk_first")
     if shards > 1:
-        kth = found.groupBy("query_id").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k)
-        rest = asked.join(kth, "query_id", "left").select("*", every(shards, "shard")).where(F.col("shard") != home)
+        kth = found.groupBy("query_id", "variant").agg(F.min("score").alias("kth"), F.count("*").alias("n")).where(F.col("n") >= k)
+        rest = asked.join(kth, ["query_id", "variant"], "left").select("*", every(shards, "shard")).where(F.col("shard") != home)
         bound = F.coalesce(F.col("kth").cast("double"), no_bound).alias("bound")
-        rest = rest.select("length", "shard", block.alias("block"), F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "vector", bound)
+        rest = rest.select("length", "shard", block.alias("block"), F.lit(1).alias("is_query"), F.col("query_id").alias("id"), "vector", bound, "variant")
         found = found.union(_searched(held.select(columns).union(rest.select(columns)), k))
     return best_of(found, k).select("query_id", "rank", "vec_id", "score")

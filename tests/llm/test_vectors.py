@@ -126,6 +126,24 @@ def test_top_k_of_odd_vectors(spark):
     assert top(spark, []) == set()
 
 
+@pytest.mark.parametrize(("shard", "block"), [(16384, 4096), (30, 4)])
+def test_top_k_of_repeated_rows(spark, monkeypatch, shard, block):
+    """Equal query rows are one query, different vectors of an id one each; repeated candidates count each."""
+    monkeypatch.setattr(topk, "SHARD", shard)
+    monkeypatch.setattr(topk, "QUERIES", block)
+    rows = groups(9, 120, 8, 0.05)
+    rows = [(i // 10, v) for i, v in rows]
+    rows = rows + rows[:40] + [(i, [x + 0.5 for x in v]) for i, v in rows[:60]]
+    vectors = frame(spark, rows).select("vec_id", "embedding")
+    got = sorted(tuple(r) for r in topk.top_k(vectors, vectors.where("vec_id % 5 = 0"), 20).collect())
+    whole = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, own in sorted({(i, tuple(v)) for i, v in whole if i % 5 == 0}):
+        scores = sorted((-sum(a * b for a, b in zip(own, v, strict=True)), i) for i, v in whole if i != q)[:20]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    assert got == sorted(want)
+
+
 def test_query_equals_a_plain_version(spark, sf):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     got = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in queries.op8_topk(spark, sf).collect()}
