@@ -12,6 +12,7 @@ from costledger.schemas import LEDGER_COLUMNS
 from costledger.sources.delimited import read_delimited
 from costledger.streaming.ingest import ingest_stream, read_ingested, read_transaction_stream
 from costledger.sinks import tables as sink
+from costledger.sinks.versions import read_table
 
 
 def test_contract_costs(spark, sf, tmp_path):
@@ -26,7 +27,7 @@ def test_contract_costs(spark, sf, tmp_path):
     bands = read_delimited(spark, f"{out}/fuzzy_bands")
     assert bands.count() == int(read_delimited(spark, f"{out}/fuzzy_band_summary").agg(F.sum("total")).first()[0])
     assert not os.path.exists(f"{out}/fuzzy_notice")
-    assert [tuple(r) for r in read_delimited(spark, f"{out}/run_log").collect()] == [("OK", "in.csv", out, "abc")] * 2
+    assert [tuple(r) for r in read_table(spark, f"{out}/run_log").collect()] == [("OK", "in.csv", out, "abc")] * 2
 
 
 def test_contract_costs_of_an_export(spark, tmp_path):
