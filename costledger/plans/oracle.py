@@ -634,4 +634,6 @@ ORACLE: dict[str, str] = {
     ),
     "replaced_reference": _sql("SELECT * FROM reference", "reference"),
     "appended_transactions": _sql("SELECT * FROM tx", "tx"),
+    "stored_codes": _sql("SELECT tr_code FROM reference WHERE CAST(tr_code AS BIGINT) % 2 = 0", "reference"),
+    "loaded_reference": _sql("SELECT * FROM reference", "reference"),
 }

@@ -22,6 +22,8 @@ from costledger.plans.views import view
 from costledger.schemas import TRANSACTION, TRANSACTION_RAW, VIOLATION
 from costledger.session import fresh_path, materialise
 from costledger.sinks import tables as sink
+from costledger.sinks.reference import append_reference, read_reference
+from costledger.sinks.reference import stored_codes as repeated_codes
 from costledger.sinks.versions import read_table
 from costledger.sources import files as source_files
 from costledger.sources.delimited import read_delimited
@@ -206,6 +208,22 @@ def replaced_reference(spark, folder):
     return read_table(spark, path)
 
 
+def stored_codes(spark, folder):
+    """Codes of the whole reference that an earlier load, of its even codes, has stored."""
+    path = fresh_path(spark, "reference_loads")
+    reference = _reference(spark, folder)
+    append_reference(reference.where(F.col("tr_code").cast("long") % 2 == 0), path, "even")
+    return repeated_codes(reference, path)
+
+
+def loaded_reference(spark, folder):
+    """The reference out of three loads, the last one tried twice."""
+    path = fresh_path(spark, "reference_loads")
+    for load in (0, 1, 2, 2):
+        append_reference(_reference(spark, folder).where(F.col("tr_code").cast("long") % 3 == load), path, f"load {load}")
+    return read_reference(spark, path)
+
+
 def appended_transactions(spark, folder):
     """Three loads of transactions, each tried twice."""
     path = fresh_path(spark, "transaction_table")
@@ -446,6 +464,8 @@ QUERIES: dict[str, Query] = {
     "dry_run_batches": dry_run_batches,
     "dry_run_files": dry_run_files,
     "replaced_reference": replaced_reference,
+    "stored_codes": stored_codes,
+    "loaded_reference": loaded_reference,
     "appended_transactions": appended_transactions,
     "source_batches": source_batches,
     "ledger": ledger,

@@ -12,6 +12,7 @@ One writer at a time is assumed. Of two replacements with the same number the gr
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,14 @@ COMMIT = "number long, kind string, key string, version string"
 REPLACE, APPEND = "replace", "append"
 
 
+#: Folders are named as Spark names those of partitions, so a table may have folders of its own below.
+VERSION = "table_version"
+
+
+def _folder(path: str, version: str) -> str:
+    return f"{path}/data/{VERSION}={version}"
+
+
 def commits(spark: SparkSession, path: str) -> DataFrame:
     """The commits of a table since its last replacement; none if there is no table."""
     try:
@@ -33,9 +42,9 @@ def commits(spark: SparkSession, path: str) -> DataFrame:
     return log.join(F.broadcast(last), F.col("last").isNull() | (place >= F.col("last"))).drop("last")
 
 
-def _write(df: DataFrame, path: str, kind: str, key: str, number: int) -> None:
+def _write(df: DataFrame, path: str, kind: str, key: str, number: int, folders: Sequence[str] = ()) -> None:
     spark, version = df.sparkSession, uuid.uuid4().hex
-    df.write.parquet(f"{path}/data/{version}")
+    df.write.partitionBy(*folders).parquet(_folder(path, version))
     row = spark.createDataFrame([(number, kind, key, version)], COMMIT).coalesce(1)
     row.write.json(f"{path}/log/{number:012d}-{version}")
 
@@ -49,20 +58,21 @@ def replace(df: DataFrame, path: str, key: str = "") -> None:
     _write(df, path, REPLACE, key, _next_number(df.sparkSession, path))
 
 
-def append(df: DataFrame, path: str, key: str) -> bool:
-    """Add the rows of ``df`` under ``key``, unless that is done; whether it was done now."""
+def append(df: DataFrame, path: str, key: str, folders: Sequence[str] = ()) -> bool:
+    """Add the rows of ``df`` under ``key``, unless that is done; whether it was done now. ``folders``: columns whose values are folders."""
     known = commits(df.sparkSession, path)
     if not known.where(F.col("key") == key).isEmpty():
         return False
-    _write(df, path, APPEND, key, _next_number(df.sparkSession, path))
+    _write(df, path, APPEND, key, _next_number(df.sparkSession, path), folders)
     return True
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The content of the table. Without a commit it has no rows if a ``schema`` is given, and else is an error."""
-    versions = [f"{path}/data/{r['version']}" for r in commits(spark, path).select("version").orderBy("version").collect()]  # a row a load
+    versions = [_folder(path, r["version"]) for r in commits(spark, path).select("version").orderBy("version").collect()]  # a row a load
     if versions:
-        return (spark.read.schema(schema) if schema else spark.read).parquet(*versions)
+        reader = spark.read.option("basePath", f"{path}/data")
+        return (reader.schema(schema) if schema else reader).parquet(*versions).drop(VERSION)
     if schema is None:
         raise FileNotFoundError(f"No committed table in {path}")
     return spark.createDataFrame([], schema)
@@ -71,5 +81,5 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def unused(spark: SparkSession, path: str) -> DataFrame:
     """``path`` of each data file that the table does not use any more, or never did."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{path}/data").select("path")
-    version = F.regexp_extract("path", "/data/([0-9a-f]{32})/", 1)
+    version = F.regexp_extract("path", f"/data/{VERSION}=([0-9a-f]{{32}})/", 1)
     return files.join(F.broadcast(commits(spark, path).select("version")), version == F.col("version"), "left_anti")
