@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from functools import lru_cache
 from typing import NamedTuple
 
 # Splits a text into maximal runs: words at odd places, the runs between them at even ones, perhaps empty at both
@@ -68,3 +70,51 @@ def replace_keys(text: str, aliases: Mapping[str, str], index: KeyIndex) -> str:
     if not done:
         return text
     return "".join(out + parts[done:])
+
+
+# Bits of a block of a key filter, as Spark's bitmap functions make them.
+_BLOCK_BITS = 1 << 15
+_HEAD = "\0"
+
+
+def _places(item: str, bits: int) -> list[int]:
+    """Four places of an item in a filter."""
+    digest = hashlib.blake2b(item.encode("utf-8", "surrogatepass"), digest_size=32).digest()
+    return [int.from_bytes(digest[i : i + 8], "little") % bits for i in range(0, 32, 8)]
+
+
+def key_places(key: str, bits: int) -> list[int]:
+    """The places of a key and of its first run."""
+    runs = [run for run in _WORDS.split(key) if run]
+    return _places(key.lower(), bits) + _places(_HEAD + runs[0].lower(), bits) if runs else []
+
+
+class KeyFilter:
+    """Which places of a text probably start a key, by a Bloom filter in blocks."""
+
+    def __init__(self, bits: int, blocks: Mapping[int, bytes]) -> None:
+        self.bits, self.blocks = bits, blocks
+        # words repeat; the memory of their answers is bounded
+        self.holds = lru_cache(maxsize=200_000)(self._holds)
+
+    def _holds(self, item: str) -> bool:
+        for place in _places(item, self.bits):
+            block = self.blocks.get(place // _BLOCK_BITS + 1)
+            at = place % _BLOCK_BITS
+            if block is None or not block[at >> 3] >> (at & 7) & 1:
+                return False
+        return True
+
+    def _of_text(self, text: str, sizes: Sequence[int]) -> Iterator[str]:
+        runs = [run for run in _WORDS.split(text) if run]
+        for i, run in enumerate(runs):
+            if self.holds(_HEAD + run.lower()):
+                for size in sizes:
+                    if i + size <= len(runs):
+                        key = "".join(runs[i : i + size]).lower()
+                        if self.holds(key):
+                            yield key
+
+    def candidates(self, texts: Iterable[str | None], sizes: Sequence[int]) -> list[str]:
+        """The distinct probable keys of some texts, in lower case."""
+        return sorted({key for text in texts if text is not None for key in self._of_text(text, sizes)})

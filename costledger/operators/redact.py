@@ -6,13 +6,13 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costledger.functions import redaction
 from costledger.functions import text as X
-from costledger.functions.redaction import KeyIndex, index_keys, replace_keys, replace_words
+from costledger.functions.redaction import KeyFilter, KeyIndex, index_keys, key_places, replace_keys, replace_words
 from costledger.operators.numbering import number_sorted
 from costledger.schemas import REFERENCE, conform, rename_columns, underscore_headers
 from costledger.session import materialise
@@ -24,6 +24,12 @@ cloudpickle.register_pickle_by_value(redaction)
 # in each Python worker.
 MAX_BROADCAST_CHARS = 8_000_000
 
+# The filter of a larger dictionary: one key in 400 that is none passes at this size. At most 16 MB, at any number of keys.
+BITS_PER_KEY = 32
+MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 15, 1 << 27
+# A task gets about this share of the hits of a shuffle partition out of one key.
+HOT_SHARE = 4
+
 # The runs of a text, as in functions.redaction.
 RUNS = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
 
@@ -77,20 +83,15 @@ def redact(
 ) -> DataFrame:
     """Replace all dictionary keys in the text columns, in any case, between word boundaries, in one pass.
 
-    The dictionary is measured first. Up to the limit it goes to every task and the text is not shuffled. Of a
-    larger one, only the keys that occur in the texts are looked at; if they are still too many, each row is
-    joined with its own keys.
+    The dictionary is measured first. Up to the limit it goes to every task and the text is not shuffled. Of a larger
+    one, a filter of fixed size finds the places of a text that probably hold a key, and each row is joined with these.
     """
     columns = text_columns(df) if columns is None else list(columns)
     size = _chars(dictionary)
     if size == 0 or not columns:
         return df
     if size > max_broadcast_chars:
-        sizes = _key_sizes(dictionary)
-        found = df.select(F.explode(_candidates(columns, sizes)).alias("key_lower")).distinct()
-        dictionary = materialise(dictionary.join(found, "key_lower", "left_semi"), "found_keys")
-        if _chars(dictionary) > max_broadcast_chars:
-            return _redact_large(df, dictionary, columns, sizes)
+        return _redact_large(df, dictionary, columns)
     return _redact_small(df, dictionary, columns)
 
 
@@ -127,33 +128,68 @@ def _redact_small(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> D
     return df.withColumns({c: replaced(F.col(f"`{c}`")) for c in columns})
 
 
-def _candidates(columns: list[str], sizes: list[int]) -> Column:
-    """The distinct lower-case sequences of runs in a row, of the lengths that keys have."""
-    nothing = F.array().cast("array<string>")
+def _key_filter(dictionary: DataFrame, n_keys: int) -> tuple[int, dict[int, bytes]]:
+    """Bloom filter of the keys and of their first runs: its bits, and blocks of it by their number.
+
+    The bits are set by tasks and gathered by block; what reaches the driver is bounded by ``MAX_FILTER_BITS``. A filter that
+    is full lets more candidates through to the join, and loses none.
+    """
+    wanted = max(BITS_PER_KEY * n_keys, MIN_FILTER_BITS)
+    bits = min(1 << (wanted - 1).bit_length(), MAX_FILTER_BITS)
+
+    @F.pandas_udf("array<bigint>")
+    def places(keys: pd.Series) -> pd.Series:
+        return pd.Series([key_places(k, bits) for k in keys], dtype=object)
+
+    spelled = dictionary.select(F.explode(F.array("key", "key_lower")).alias("key"))
+    # the bitmap functions count places from 1
+    place = spelled.select(F.explode(F.transform(places("key"), lambda p: p + 1)).alias("place"))
+    blocks = place.groupBy(F.bitmap_bucket_number("place").alias("block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    return bits, {r["block"]: bytes(r["bits"]) for r in blocks.collect()}
+
 
-    def of_size(runs: Column, n: int) -> Column:
-        last = F.size(runs) - (n - 1)
-        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.lower(F.array_join(F.slice(runs, i, n), "")))
+def _key_hits(rows: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
+    """``_row`` and ``key_lower``, once each, of the places that probably hold a key."""
+    sizes = _key_sizes(dictionary)
+    shared = rows.sparkSession.sparkContext.broadcast(_key_filter(dictionary, dictionary.count()))
 
-    found = [nothing]
-    for c in columns:
-        runs = F.regexp_extract_all(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit(RUNS), F.lit(1))
-        found += [of_size(runs, n) for n in sizes]
-    return F.array_distinct(F.concat(*found))
+    @F.pandas_udf("array<string>")
+    def candidates(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        known = KeyFilter(*shared.value)
+        for texts in batches:
+            yield pd.Series([known.candidates(row, sizes) for row in zip(*texts)], dtype=object)
 
+    # two columns at least, as of a single one the batches are no tuples
+    found = candidates(*[F.col(f"`{c}`") for c in columns], F.lit(None).cast("string"))
+    return rows.select("_row", F.explode(found).alias("key_lower"))
 
-def _redact_large(df: DataFrame, dictionary: DataFrame, columns: list[str], sizes: list[int]) -> DataFrame:
-    """Redaction with a dictionary that no task holds whole.
 
-    The distinct runs of each row are joined with the dictionary; the few hits of a row are gathered and joined
-    back to it. A run that is in most rows makes a hot join key, which Spark splits (skew join).
+def _join_keys(hits: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Hits with their dictionary entries. A key with more hits than a task should get is spread over several tasks.
+
+    At most ``HOT_SHARE`` times as many keys as there are shuffle partitions can be that frequent, so the table of them is small.
     """
+    counts = hits.groupBy("key_lower").agg(F.count("*").alias("n"))
+    found = materialise(dictionary.select("key", "key_lower", "alias").join(counts, "key_lower"), "found_keys")
+    total = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    share = max(1, total // (HOT_SHARE * int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    spread = found.withColumn("salts", F.ceil(F.col("n") / F.lit(share)).cast("int")).drop("n")
+    hot = F.broadcast(spread.where("salts > 1").select("key_lower", "salts"))
+    salted_hits = hits.join(hot, "key_lower", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("_row"), F.coalesce("salts", F.lit(1))).cast("int")
+    )
+    entries = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return salted_hits.join(entries, ["key_lower", "salt"]).select("_row", "key", "key_lower", "alias")
+
+
+def _redact_large(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
+    """Redaction with a dictionary that no task holds whole: the few hits of a row are gathered and joined back to it."""
     # stored, because the row numbers must be the same on both sides of the join
     rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
     hits = (
-        rows.select("_row", F.explode(_candidates(columns, sizes)).alias("key_lower"))
-        .join(dictionary.select("key", "key_lower", "alias"), "key_lower")
+        _join_keys(materialise(_key_hits(rows, dictionary, columns), "key_hits"), dictionary)
         .groupBy("_row")
         .agg(F.collect_list(F.struct("key", "key_lower", "alias")).alias("_hits"))
         .select("_row", "_hits.key", "_hits.key_lower", "_hits.alias")

@@ -307,8 +307,8 @@ PARTS["staff_dictionary"] = (
         + " UNION ALL SELECT trim(staff_id), true FROM reference_raw"
     ),
 )
-PARTS["people_dictionary"] = (("people_raw",), _dictionary(_names("people_raw", "first_name", "family_name")))
-PARTS["word_dictionary"] = (("people_words",), _dictionary(_names("people_words", "first_name", "family_name")))
+PARTS["people_dictionary"] = (("people_raw",), _dictionary(_names("people_raw", "first_name")))
+PARTS["word_dictionary"] = (("people_words",), _dictionary(_names("people_words", "first_name")))
 PARTS["phrase_dictionary"] = (("people_phrases",), _dictionary(_names("people_phrases", "first_name")))
 
 RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
@@ -571,6 +571,11 @@ ORACLE: dict[str, str] = {
         f"({_redacted('documents', 'doc_id', 'text', 'word_dictionary')}) USING (doc_id)",
         "word_dictionary",
     ),
+    "redacted_by_join": _sql(
+        "SELECT doc_id, coalesce(shown, text) AS text FROM documents LEFT JOIN "
+        f"({_redacted('documents', 'doc_id', 'text', 'word_dictionary')}) USING (doc_id)",
+        "word_dictionary",
+    ),
     "redacted_phrases": _sql(
         """SELECT doc_id, coalesce(string_agg(shown, '' ORDER BY i), any_value(text)) AS text FROM (
         SELECT d.doc_id, d.text, r.i, CASE WHEN s.alias IS NOT NULL THEN s.alias

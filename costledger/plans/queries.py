@@ -327,16 +327,21 @@ def dictionary_of_people(spark, folder):
     return pii_dictionary(view(spark, folder, views.PEOPLE_RAW))
 
 
-def _redacted(spark, folder, people, table, key):
+def _redacted(spark, folder, people, table, key, **limit):
     texts = spark.read.parquet(f"{folder}/{table}.parquet").select(*key, "text")
     dictionary = materialise(pii_dictionary(view(spark, folder, people)), "dictionary")
-    return redact(texts, dictionary, ["text"])
+    return redact(texts, dictionary, ["text"], **limit)
 
 
 def redacted_documents(spark, folder):
     return _redacted(spark, folder, views.PEOPLE_WORDS, "documents", ["doc_id"])
 
 
+def redacted_by_join(spark, folder):
+    """The way of dictionaries that are too large to be sent to tasks."""
+    return _redacted(spark, folder, views.PEOPLE_WORDS, "documents", ["doc_id"], max_broadcast_chars=1000)
+
+
 def redacted_phrases(spark, folder):
     return _redacted(spark, folder, views.PEOPLE_PHRASES, "documents", ["doc_id"])
 
@@ -486,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "pii_dictionary": dictionary_of_staff,
     "pii_dictionary_people": dictionary_of_people,
     "redacted_documents": redacted_documents,
+    "redacted_by_join": redacted_by_join,
     "redacted_phrases": redacted_phrases,
     "redacted_conversations": redacted_conversations,
     "redacted_reference": redacted_reference,

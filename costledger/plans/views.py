@@ -82,21 +82,10 @@ UNION ALL
 SELECT lpad(CAST(c_custkey AS VARCHAR(12)), 7, '0') AS tr_code, c_name AS first_name FROM {{customer}} WHERE c_custkey % 50 = 1
 """
 
-PEOPLE_RAW = """
-SELECT item_id, split_part(text, ' ', 1) AS first_name, split_part(text, ' ', 2) AS family_name FROM {benchmark}
-"""
-
-# the first two words of each item, without punctuation; the second may be blank
-PEOPLE_WORDS = """
-SELECT item_id, split_part(head, ' ', 1) AS first_name, split_part(head, ' ', 2) AS family_name
-FROM (SELECT item_id, split_part(replace(replace(text, ',', '.'), chr(10), '.'), '.', 1) AS head FROM {benchmark}) AS t
-"""
-
-# the two words as one key
-PEOPLE_PHRASES = f"""
-SELECT item_id, concat(first_name, ' ', family_name) AS first_name
-FROM ({PEOPLE_WORDS}) AS t WHERE first_name <> '' AND family_name <> ''
-"""
+# every word of the items, with the punctuation that it has; without it; and every two words next to each other, taken in turn
+PEOPLE_RAW = "SELECT item_id, explode(regexp_extract_all(text, '([^ ]+)', 1)) AS first_name FROM {benchmark}"
+PEOPLE_WORDS = "SELECT item_id, explode(regexp_extract_all(text, '([A-Za-z]+)', 1)) AS first_name FROM {benchmark}"
+PEOPLE_PHRASES = "SELECT item_id, explode(regexp_extract_all(text, '([A-Za-z]+ [A-Za-z]+)', 1)) AS first_name FROM {benchmark}"
 
 # files sorted by falling amount, with unreadable cells, bad codes and a few rows out of order
 SPENDER_FILES = """
@@ -186,4 +175,4 @@ def view(spark: SparkSession, folder: str, sql: str) -> DataFrame:
 
 def plain(sql: str) -> str:
     """The same text over tables by name."""
-    return re.sub(r"\{(\w+)\}", r"\1", sql).strip()
+    return re.sub(r"\{(\w+)\}", r"\1", sql).replace("explode(", "unnest(").strip()

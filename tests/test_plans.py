@@ -11,7 +11,7 @@ ONE_TASK = {
     "quality_counters", "processing_summary", "scorecard", "verdict", "own_statements_verdict", "batch_totals",
     "dry_run_batches", "pii_dictionary", "pii_dictionary_people", "redacted_reference", "located_header",
 }
-PYTHON = {"redacted_documents", "redacted_phrases", "redacted_conversations", "redacted_reference"}
+PYTHON = {"redacted_documents", "redacted_by_join", "redacted_phrases", "redacted_conversations", "redacted_reference"}
 
 
 def plan_of(df) -> str:

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from costledger.functions.redaction import index_keys, replace_keys, replace_words
+from costledger.functions.redaction import KeyFilter, index_keys, replace_keys, replace_words
 from costledger.operators import redact as R
 from costledger.operators.redact import pii_dictionary, redact
 
@@ -64,7 +64,7 @@ TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("way", ["small", "found keys", "large"])
+@pytest.mark.parametrize("way", ["small", "large", "salted"])
 def test_all_ways_agree(spark, people, way, monkeypatch):
     dictionary = pii_dictionary(people)
     aliases = {r["key_lower"]: r["alias"] for r in dictionary.collect()}
@@ -72,12 +72,31 @@ def test_all_ways_agree(spark, people, way, monkeypatch):
     large = R._redact_large
     monkeypatch.setattr(R, "_redact_large", lambda *a: used.append("large") or large(*a))
     total = sum(len(k) + len(a) for k, a in aliases.items())
-    limit = {"small": total, "found keys": total - 1, "large": 0}[way]
+    limit = {"small": total, "large": total - 1, "salted": 0}[way]
+    if way == "salted":
+        monkeypatch.setattr(R, "HOT_SHARE", 10**6)  # each key is spread over as many tasks as it has hits
     df = spark.createDataFrame([(i, t, t) for i, t in enumerate(TEXTS)], "i int, a string, `b c` string").repartition(3)
     rows = redact(df, dictionary, max_broadcast_chars=limit).orderBy("i").collect()
     want = [t and _by_regex(t, aliases) for t in TEXTS]
     assert [r["a"] for r in rows] == want and [r["b c"] for r in rows] == want
-    assert used == (["large"] if way == "large" else [])
+    assert used == ([] if way == "small" else ["large"])
+
+
+def test_a_filter_holds_all_keys_and_few_others(spark):
+    keys = [f"key{i}" for i in range(3000)] + [f"two words{i}" for i in range(500)]
+    dictionary = spark.createDataFrame([(k, k) for k in keys], "key string, key_lower string")
+    known = KeyFilter(*R._key_filter(dictionary, len(keys)))
+    assert all(known.candidates([f"x {k.upper()}."], [1, 3]) == [k] for k in keys)
+    wrong = sum(bool(known.candidates([f"other{i}"], [1, 3])) for i in range(20_000))
+    assert wrong < 200
+
+
+def test_a_full_filter_loses_nothing(spark, people, monkeypatch):
+    monkeypatch.setattr(R, "_key_filter", lambda *a: (1 << 15, {1: b"\xff" * 4096}))
+    dictionary = pii_dictionary(people)
+    df = spark.createDataFrame([(t,) for t in TEXTS], "a string").coalesce(1)
+    got = redact(df, dictionary, max_broadcast_chars=0).collect()
+    assert sorted(str(r["a"]) for r in got) == sorted(str(r["a"]) for r in redact(df, dictionary).collect())
 
 
 def test_other_headers(spark):
