@@ -2,67 +2,77 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from costledger.functions import cost as C
 from costledger.functions.numbers import round_exact
+from costledger.session import materialise
 
-# The median is looked for between two quantiles of a sketch. The sketch is wrong by at most 1/ACCURACY of
-# the rows, ten times less than the distance of the quantiles from the middle.
-ACCURACY = 10_000
-BRACKET = (0.5 - 0.001, 0.5 + 0.001)
+# Values are counted by classes first: parts of an octave, so costs of any size are told apart, then equal parts of one class.
+OCTAVE_PARTS = 64
+CLASS_PARTS = 4096
 
 
 def year_anchors(school_years: DataFrame) -> DataFrame:
     """Minimum, exact median and maximum of the usable costs per student, by year.
 
-    The built-in ``median`` gathers all values of a year in one task. Here a sketch brackets the median, values
-    below the bracket are only counted, and the few distinct values inside it are ranked: what reaches the task
-    of a year is a small share of its schools. A bracket that missed would raise, never give a wrong median.
-    Years without a usable cost get NULL anchors.
+    The built-in ``median`` gathers all values of a year in one task. Here the costs are counted by classes of their value, and
+    only the class that holds the rank looked for is divided again, until it is one value. Each round reads the costs of that
+    class only and shuffles counts, at most a few thousand classes a year for all but the first. A double has 52 bits
+    behind its exponent, so there are at most five rounds, whatever the values. Years without a usable cost get NULL anchors.
     """
     x = F.col("oncosts_per_student")
-    usable = F.when(C.is_usable(x), x)
-    stats = school_years.groupBy("year").agg(
-        F.min(usable).alias("anchor_min"),
-        F.max(usable).alias("anchor_max"),
-        F.count(usable).alias("n"),
-        F.percentile_approx(usable, list(BRACKET), ACCURACY).alias("bracket"),
+    costs = materialise(school_years.select("year", F.when(C.is_usable(x), x).alias("x")), "costs")
+    counted = materialise(_classes(costs, ["year"], F.floor(F.log2("x") * OCTAVE_PARTS)), "classes")
+    years = counted.groupBy("year").agg(F.min("lo").alias("anchor_min"), F.max("hi").alias("anchor_max"), F.sum("n").alias("n"))
+    # the middle value, or the two next to the middle; the same row twice if the number is odd
+    sides = F.array(F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2))
+    ranks = years.where("n > 0").select("year", F.posexplode(sides).alias("side", "rank"))
+    # years are four digits that start with 19 or 20: at most 200 rows, and 400 ranks
+    targets = _holding(counted.join(F.broadcast(ranks), "year")).collect()
+    middles = []
+    while targets:
+        middles += [(r["year"], r["lo"]) for r in targets if r["lo"] == r["hi"]]
+        targets = [r for r in targets if r["lo"] < r["hi"]]
+        if targets:
+            targets = _divided(costs, targets).collect()
+    kind = costs.schema["year"].dataType.simpleString()
+    median = costs.sparkSession.createDataFrame(middles, f"year {kind}, middle double")
+    # the two values in order, as the sum of more than two would depend on it
+    halves = median.groupBy("year").agg(((F.min("middle") + F.max("middle")) / 2).alias("anchor_median"))
+    return years.join(F.broadcast(halves), "year", "left").select("year", "anchor_min", "anchor_median", "anchor_max")
+
+
+def _classes(costs: DataFrame, keys: list[str], number: Column) -> DataFrame:
+    """How many costs each class has, and the least and greatest of them; a greater number has greater costs."""
+    return costs.groupBy(*keys, number.alias("class")).agg(
+        F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
     )
-    # years are four digits that start with 19 or 20: at most 200 rows
-    small = F.broadcast(stats)
-
-    inside = (
-        school_years.where(C.is_usable(x))
-        .select("year", x.alias("x"))
-        .join(small, "year")
-        .where(F.col("x") <= F.col("bracket")[1])
-        .groupBy("year", "n", F.when(F.col("x") >= F.col("bracket")[0], F.col("x")).alias("x"))
-        .agg(F.count("*").alias("n_here"))
-    )
-    up_to = F.sum("n_here").over(W.partitionBy("year").orderBy(F.col("x").asc_nulls_first()))
-    lower, upper = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
 
-    def holds(rank):
-        return F.col("x").isNotNull() & (rank < F.col("up_to")) & (rank >= F.col("up_to") - F.col("n_here"))
 
-    median = (
-        inside.withColumn("up_to", up_to)
-        .groupBy("year")
-        .agg(F.max(F.when(holds(lower), F.col("x"))).alias("lo"), F.max(F.when(holds(upper), F.col("x"))).alias("hi"))
-        .select("year", ((F.col("lo") + F.col("hi")) / 2).alias("anchor_median"))
-    )
-    checked = F.when(
-        (F.col("n") > 0) & F.col("anchor_median").isNull(),
-        F.raise_error(F.lit("median outside its bracket")).cast("double"),
-    ).otherwise(F.col("anchor_median"))
-    return stats.join(F.broadcast(median), "year", "left").select(
-        "year", "anchor_min", checked.alias("anchor_median"), "anchor_max"
+def _holding(counted: DataFrame) -> DataFrame:
+    """The class that holds the rank of each year and side, and the rank within it."""
+    below = F.sum("n").over(W.partitionBy("year", "side").orderBy("class")) - F.col("n")
+    inside = F.col("rank") - F.col("below")
+    return (
+        counted.where("n > 0").withColumn("below", below)
+        .where((inside >= 0) & (inside < F.col("n")))
+        .select("year", "side", inside.alias("rank"), "lo", "hi")
     )
 
 
+def _divided(costs: DataFrame, targets: list[Row]) -> DataFrame:
+    """The part of each target's class that holds its rank: the least and the greatest cost of a class never share a part."""
+    kind = costs.schema["year"].dataType.simpleString()
+    schema = f"year {kind}, side int, rank bigint, lo double, hi double"
+    within = costs.join(F.broadcast(costs.sparkSession.createDataFrame(targets, schema).withColumnsRenamed({"lo": "from", "hi": "to"})), "year")
+    x, first, last = F.col("x"), F.col("from"), F.col("to")
+    part = F.floor((x - first) / (last - first) * CLASS_PARTS)
+    return _holding(_classes(within.where(x.between(first, last)), ["year", "side", "rank"], part))
+
+
 def fuzzy_bands(school_years: DataFrame, anchors: DataFrame) -> DataFrame:
     """Memberships, band and score of each school and year with a usable cost and anchors.
 

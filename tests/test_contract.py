@@ -1,5 +1,7 @@
+import math
 import random
 import statistics
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +92,30 @@ def test_median_with_a_third_equal(spark):
     assert got[2002] == (3.0, 3.5, 4.0)
 
 
+@pytest.mark.parametrize("parts", [64, B.CLASS_PARTS])
+def test_median_of_any_distribution(spark, monkeypatch, parts):
+    """Costs of all sizes, doubles next to each other, the least and the greatest double, and nearly all equal."""
+    monkeypatch.setattr(B, "CLASS_PARTS", parts)
+    rng = random.Random(parts)
+    near = [1000.0]
+    for _ in range(200):
+        near.append(math.nextafter(near[-1], math.inf))
+    years = {
+        2000: [10.0 ** rng.uniform(-250, 250) for _ in range(2001)],
+        2001: near,
+        2002: [5e-324, 1e-323, 1.5e-323, sys.float_info.max],
+        2003: [7.25] * 3000 + [math.nextafter(7.25, 8)] * 3000,
+        2004: [1.0] * 999 + [1e300] * 1000,
+        2005: [rng.choice([2.5, 2.5, 3.5, 1e9, rng.random()]) for _ in range(1500)],
+    }
+    schools = _schools(spark, [(y, x) for y, xs in years.items() for x in xs]).repartition(4)
+    got = {r["year"]: tuple(r)[1:] for r in B.year_anchors(schools).collect()}
+    assert got == {y: (min(xs), statistics.median(xs), max(xs)) for y, xs in years.items()}
+    exact = schools.groupBy("year").agg(F.expr("percentile(oncosts_per_student, 0.5)").alias("p"))
+    for year, p in exact.collect():
+        assert got[year][1] == pytest.approx(p, rel=1e-15)
+
+
 def test_bands_and_totals_agree(spark):
     rng = random.Random(4)
     schools = _schools(spark, [(2000 + i % 3, rng.uniform(0, 10)) for i in range(300)])
