@@ -114,6 +114,69 @@ def is_whole_number(number: Column) -> Column:
     return F.when(number["d"].isNotNull(), number["d"] == F.floor(number["d"])).otherwise(digits <= key["place"] * key["sign"])
 
 
+# Numbers of any length as whole multiples of powers of 10**9, so that sums of them need no common precision. A place
+# counts those powers. Exponents beyond this size are no amounts.
+LIMB_DIGITS = 9
+MAX_EXPONENT = 10**15
+_LIMB_SUM = "decimal(28,0)"
+# A sum of limbs is below 10**20 for 10**11 rows, so a carry of this size decides the sign, whatever follows.
+_DECIDED = "1000000000000"
+
+
+def _exponent(text: Column) -> Column:
+    """The exponent of a number text, 0 if it has none, NULL beyond the limit."""
+    written = F.regexp_extract(text, r"[eE]([+-]?[0-9]+)\z", 1)
+    exponent = F.when(written == "", F.lit(0).cast("bigint")).otherwise(written.try_cast("bigint"))
+    return F.when(F.abs(exponent) <= MAX_EXPONENT, exponent)
+
+
+def is_amount(number: Column) -> Column:
+    """Whether an ``exact_number`` is there and has an exponent that ``limbs`` takes."""
+    return number["d"].isNotNull() | (number["t"].isNotNull() & _exponent(number["t"]).isNotNull())
+
+
+def limbs(text: Column) -> Column:
+    """The number in a text as array of ``place`` and ``value``, without those that are zero."""
+    mantissa = F.translate(F.regexp_replace(text, "[eE].*", ""), "+-", "")
+    whole, part = (F.split_part(mantissa, F.lit("."), F.lit(n)) for n in (1, 2))
+    exponent = _exponent(text) - F.length(part)
+    digits = F.concat(F.ltrim(F.concat(whole, part), F.lit("0")), F.repeat(F.lit("0"), F.pmod(exponent, F.lit(LIMB_DIGITS)).cast("int")))
+    n = F.greatest(F.ceil(F.length(digits) / LIMB_DIGITS).cast("int"), F.lit(1))
+    padded = F.lpad(digits, n * LIMB_DIGITS, F.lit("0"))
+    lowest = F.floor(exponent / LIMB_DIGITS)
+    sign = F.when(text.startswith("-"), -1).otherwise(1)
+
+    def limb(i: Column) -> Column:
+        value = F.substring(padded, i * LIMB_DIGITS + 1, F.lit(LIMB_DIGITS)).cast("bigint")
+        return F.struct((lowest + (n - 1 - i)).cast("bigint").alias("place"), (sign * value).alias("value"))
+
+    return F.filter(F.transform(F.sequence(F.lit(0), n - 1), limb), lambda one: one["value"] != 0)
+
+
+def limb_sum(value: Column) -> Column:
+    """Aggregate that adds limbs of one place."""
+    return F.sum(value.cast("decimal(18,0)")).cast(_LIMB_SUM)
+
+
+def limb_sign(added: Column) -> Column:
+    """-1, 0 or 1: the sign of a sum, given as array of place and added value by falling place.
+
+    Carried from the highest place down. Places without a limb are passed in one step.
+    """
+    limit = F.lit(_DECIDED).cast("decimal(13,0)")
+    start = F.struct(F.lit(0).cast("decimal(13,0)").alias("carry"), F.lit(0).cast("bigint").alias("place"))
+
+    def step(state: Column, one: Column) -> Column:
+        gap = state["place"] - one["place"]
+        # three or more places up, anything but zero outweighs one sum
+        factor = F.when(gap <= 1, F.lit("1000000000")).when(gap == 2, F.lit("1" + "0" * 18)).otherwise(F.lit("1" + "0" * 24))
+        total = state["carry"] * factor.cast("decimal(25,0)") + one["value"]
+        carry = F.greatest(-limit, F.least(limit, total)).cast("decimal(13,0)")
+        return F.struct(carry.alias("carry"), one["place"].alias("place"))
+
+    return F.aggregate(added, start, step, lambda state: F.signum(state["carry"]).cast("int"))
+
+
 def lenient_decimal(c: Column | str) -> Column:
     """Decimal out of text, 0 for NULL and blank; NULL when it does not read as one."""
     return F.when(is_blank(c), F.lit(0).cast(STRICT)).otherwise(_number_text(c).try_cast(STRICT))

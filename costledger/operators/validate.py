@@ -13,6 +13,7 @@ from costledger.functions import numbers as N
 from costledger.functions import text as X
 from costledger.operators.numbering import BLOCK, previous_value
 from costledger.schemas import VIOLATION
+from costledger.session import materialise
 
 TOLERANCE = "0.01"
 MESSAGES_PER_FILE = 5
@@ -149,40 +150,58 @@ def month_order_violations(rows: DataFrame) -> DataFrame:
 
 # The amount columns of a statement and their labels.
 STATEMENT_AMOUNTS = {"debit": "Debit", "credit": "Credit", "net_amount": "Net_Amount"}
+# Amounts that a decimal holds, longer ones, and cells that are no amounts.
+HELD, LONG, INVALID = 0, 1, 2
 
 
 def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     """Statements without exactly one TOTAL row, or with totals that differ from the sum of the other rows.
 
     A TOTAL row is flagged by ``is_total`` or, where the table has no such column, by its description. Of several
-    the last counts. The sums come out of one grouped pass over the rows, without sorting them.
+    the last counts. The sums come out of one grouped pass over the rows, without sorting them. Sums are exact: amounts that
+    a decimal does not hold at a glance are added by their digits, in a second pass over files that have such.
     """
     if "is_total" in rows.columns:
         is_total = F.coalesce(F.col("is_total"), F.lit(False))
     else:
         is_total = F.coalesce(X.ustrip("description") == "TOTAL", F.lit(False))
-    zero = F.lit(0).cast(N.STRICT)
     cells = [c for c in rows.columns if c not in ("file_key", "row_num", "is_total")]
     filled = rows.where(~X.all_missing(cells))
-    typed = filled.select(
+    read = filled.select(
         "file_key",
         "row_num",
         is_total.alias("_total"),
-        *[N.lenient_number(c).alias(c) for c in STATEMENT_AMOUNTS],
-        *[F.col(c).cast("string").alias(f"{c}_text") for c in STATEMENT_AMOUNTS],
+        *[X.computed_once(F.when(X.is_blank(c), F.lit("0")).otherwise(N.number_text(c, ""))).alias(c) for c in STATEMENT_AMOUNTS],
     )
+    typed = read.withColumns({c: X.computed_once(N.exact_number(F.col(c))) for c in STATEMENT_AMOUNTS})
+    total_row = F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)).cast("bigint"))
 
-    def decimal(c: str) -> Column:
-        return N.lenient_decimal(f"{c}_text")
+    def state(c: str) -> Column:
+        number = F.col(c)
+        return F.when(number["d"].isNotNull(), HELD).when(F.coalesce(N.is_amount(number), F.lit(False)), LONG).otherwise(INVALID)
 
     # single values and not a struct of them: Spark aggregates those by hash, without sorting the rows
-    total_row = F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)))
-    sums = [part for c in STATEMENT_AMOUNTS for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c)), decimal(c))]
+    sums = [
+        part
+        for c in STATEMENT_AMOUNTS
+        for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c)["d"].cast("double")), F.col(c)["d"])
+    ]
     per_file = typed.groupBy("file_key").agg(
         F.count_if("_total").alias("n_totals"),
-        *[F.max_by(F.when(F.col("_total"), decimal(c)), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
+        F.max(total_row).alias("last_total"),
+        *[F.max_by(F.when(F.col("_total"), F.col(c)["d"]), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
+        *[F.max_by(F.when(F.col("_total"), state(c)), total_row).alias(f"state_{c}") for c in STATEMENT_AMOUNTS],
+        *[F.count_if(~F.col("_total") & (state(c) == LONG)).alias(f"n_long_{c}") for c in STATEMENT_AMOUNTS],
         *sums,
     )
+    zero = F.lit(0).cast(N.STRICT)
+    differences = {f"diff_{c}": N.parts_decimal(c) - F.coalesce(f"total_{c}", zero) for c in STATEMENT_AMOUNTS}
+    differs = {f"differs_{c}": F.abs(F.col(f"diff_{c}")) > F.lit(tolerance).cast(N.STRICT) for c in STATEMENT_AMOUNTS}
+    long = {f"long_{c}": (F.col(f"n_long_{c}") > 0) | F.coalesce(F.col(f"state_{c}") == LONG, F.lit(False)) for c in STATEMENT_AMOUNTS}
+    per_file = materialise(per_file.withColumns(differences).withColumns(differs).withColumns(long), "statement_sums")
+    any_long = F.greatest(*[F.col(name) for name in long])
+    if not per_file.where(any_long).isEmpty():
+        per_file = _with_long_amounts(per_file, typed.where(F.greatest(*[state(c) == LONG for c in STATEMENT_AMOUNTS])), any_long, tolerance)
     no_row = F.lit(None).cast("bigint")
     has_total = F.col("n_totals") > 0
 
@@ -203,19 +222,11 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         F.array(
             finding(~has_total, "no total", "TOTAL row not found"),
             *[
-                finding(has_total & F.col(f"total_{c}").isNull(), "invalid number", f"invalid {label} at row 0")
+                finding(has_total & (F.col(f"state_{c}") == INVALID), "invalid number", f"invalid {label} at row 0")
                 for c, label in STATEMENT_AMOUNTS.items()
             ],
             *[
-                finding(
-                    has_total
-                    & (
-                        F.abs(F.coalesce(f"total_{c}", zero) - N.parts_decimal(c))
-                        > F.lit(tolerance).cast(N.STRICT)
-                    ),
-                    "total differs",
-                    f"TOTAL {label} does not match recomputed sum",
-                )
+                finding(has_total & F.col(f"differs_{c}"), "total differs", f"TOTAL {label} does not match recomputed sum")
                 for c, label in STATEMENT_AMOUNTS.items()
             ],
         )
@@ -231,7 +242,7 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         )
     )
     bad_cells = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(label)) for c, label in STATEMENT_AMOUNTS.items()])
+        F.array(*[F.when(state(c) == INVALID, F.lit(label)) for c, label in STATEMENT_AMOUNTS.items()])
     )
     on_cells = typed.where(~F.col("_total")).select("file_key", "row_num", F.explode(bad_cells).alias("label")).select(
         "file_key",
@@ -244,6 +255,54 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
     return on_cells.unionByName(on_files)
 
 
+def _with_long_amounts(per_file: DataFrame, cells: DataFrame, any_long: Column, tolerance: str) -> DataFrame:
+    """``per_file`` with ``differs_...`` corrected where long amounts are part of the sum or its total.
+
+    The difference is added up in limbs: the long amounts of the rows, minus that of the total, plus the difference of the others.
+    """
+    files = per_file.where(any_long)
+    names = list(STATEMENT_AMOUNTS)
+    counted = cells.join(files.select("file_key", "last_total"), "file_key").where(
+        ~F.col("_total") | (F.coalesce("row_num", F.lit(0)) == F.col("last_total"))
+    )
+    sign = F.when(F.col("_total"), -1).otherwise(1)
+    of_cells = counted.select(
+        "file_key",
+        sign.alias("sign"),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.when(N.is_amount(F.col(c)), F.col(c)["t"]).alias("text")) for c in names])),
+    )
+    of_others = files.select(
+        "file_key",
+        F.lit(1).alias("sign"),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"diff_{c}").cast("string").alias("text")) for c in names])),
+    )
+    parts = (
+        of_cells.unionByName(of_others).where("text IS NOT NULL")
+        .select("file_key", "column", "sign", F.explode(N.limbs(F.col("text"))).alias("one"))
+        .select("file_key", "column", "one.place", (F.col("sign") * F.col("one.value")).alias("value"), F.lit(0).cast("bigint").alias("allowed"))
+    )
+    limits = (
+        files.select("file_key", F.explode(F.array(*[F.lit(c) for c in names])).alias("column"))
+        .select("file_key", "column", F.explode(N.limbs(F.lit(tolerance))).alias("one"))
+        .select("file_key", "column", "one.place", F.lit(0).cast("bigint").alias("value"), F.col("one.value").alias("allowed"))
+    )
+    added = parts.unionByName(limits).groupBy("file_key", "column", "place").agg(
+        N.limb_sum(F.col("value")).alias("value"), N.limb_sum(F.col("allowed")).alias("allowed")
+    )
+
+    def beyond(c: str, direction: int) -> Column:
+        """Whether the difference, or its negative, is beyond the tolerance."""
+        value = (direction * F.col("value") - F.col("allowed")).cast("decimal(29,0)")
+        own = F.collect_list(F.when(F.col("column") == c, F.struct("place", value.alias("value"))))
+        return N.limb_sign(F.sort_array(own, asc=False)) > 0
+
+    # the places of a sum are few: a ninth of its digits
+    found = added.groupBy("file_key").agg(*[(beyond(c, 1) | beyond(c, -1)).alias(f"found_{c}") for c in names])
+    joined = per_file.join(found, "file_key", "left")
+    corrected = {f"differs_{c}": F.when(F.col(f"long_{c}"), F.col(f"found_{c}")).otherwise(F.col(f"differs_{c}")) for c in names}
+    return joined.withColumns(corrected).drop(*[f"found_{c}" for c in names])
+
+
 # The rules in the order in which a file is checked, first as a whole, then row by row, then its totals.
 FILE_RULES = ("no package", "missing table", "header", "columns")
 ROW_RULES = ("tr_code", "missing value", "invalid number", "not whole", "not sorted")

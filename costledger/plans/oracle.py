@@ -208,8 +208,8 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "statement_files": ((), views.plain(views.STATEMENT_FILES)),
     "statement_typed": (
         ("statement_files",),
-        """SELECT *, trim(description) = 'TOTAL' AS is_total, TRY_CAST(coalesce(debit, '0') AS DECIMAL(38,10)) AS d,
-        TRY_CAST(coalesce(credit, '0') AS DECIMAL(38,10)) AS c, TRY_CAST(coalesce(net_amount, '0') AS DECIMAL(38,10)) AS n FROM statement_files""",
+        """SELECT *, trim(description) = 'TOTAL' AS is_total, TRY_CAST(coalesce(debit, '0') AS DECIMAL(38,4)) AS d,
+        TRY_CAST(coalesce(credit, '0') AS DECIMAL(38,4)) AS c, TRY_CAST(coalesce(net_amount, '0') AS DECIMAL(38,4)) AS n FROM statement_files""",
     ),
     "last_total": (
         ("statement_typed",),

@@ -107,7 +107,7 @@ SELECT concat('trends_', CAST(o_custkey % 3 AS VARCHAR(4))) AS file_key, o_order
 FROM {orders}
 """
 
-# statements with totals that are right, off by one or two cents, absent or doubled
+# statements with totals that are right, off by one or two cents, absent or doubled, and amounts of 30 digits
 STATEMENT_FILES = """
 SELECT concat('statement_', CAST(o_custkey AS VARCHAR(12))) AS file_key, o_orderkey + 2 AS row_num, o_orderpriority AS description,
        CASE WHEN o_orderkey % 211 = 0 THEN 'x' ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR(24)) END AS debit,
@@ -124,6 +124,15 @@ UNION ALL
 SELECT concat('statement_', CAST(o_custkey AS VARCHAR(12))) AS file_key, max(o_orderkey) + 11 AS row_num, ' TOTAL' AS description,
        '7' AS debit, NULL AS credit, 'y' AS net_amount
 FROM {orders} WHERE o_custkey % 19 = 0 GROUP BY o_custkey
+UNION ALL
+SELECT concat('statement_', CAST(o_custkey AS VARCHAR(12))) AS file_key, max(o_orderkey) + 12 AS row_num, 'Transfer in' AS description,
+       '900000000000000000000000000000.25' AS debit, NULL AS credit, '0' AS net_amount
+FROM {orders} WHERE o_custkey % 23 = 0 GROUP BY o_custkey
+UNION ALL
+SELECT concat('statement_', CAST(o_custkey AS VARCHAR(12))) AS file_key, max(o_orderkey) + 13 AS row_num, 'Transfer out' AS description,
+       CASE WHEN o_custkey % 46 = 0 THEN '-900000000000000000000000000000.20' ELSE '-900000000000000000000000000000.25' END AS debit,
+       NULL AS credit, '0' AS net_amount
+FROM {orders} WHERE o_custkey % 23 = 0 GROUP BY o_custkey
 """
 
 # the tables that each package holds

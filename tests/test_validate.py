@@ -1,3 +1,6 @@
+import random
+from decimal import Decimal, localcontext
+
 import pytest
 
 from costledger.operators import validate as V
@@ -60,6 +63,54 @@ def test_totals(spark, net, bad):
     assert _statement(spark, rows) == (["s: TOTAL Net_Amount does not match recomputed sum"] if bad else [])
 
 
+@pytest.mark.parametrize(
+    ("debits", "total", "bad"),
+    [
+        (["9" * 40 + ".25", "-" + "9" * 40 + ".20"], "0.05", False),
+        (["9" * 40 + ".25", "-" + "9" * 40 + ".20"], "0.07", True),
+        (["1e400", "1", "-1E+400"], "1.01", False),
+        (["1e400", "1", "-1E+400"], "1.02", True),
+        (["1e400", "1"], "1" + "0" * 399 + "1", False),
+        (["1e400", "1"], "1e400", True),
+        (["0.1", "0." + "0" * 60 + "1"], "0.11", False),
+        (["0.1", "-0." + "0" * 60 + "1"], "0.11", True),
+        (["5", "1e99999999999999999999"], "5", "invalid"),
+    ],
+)
+def test_totals_of_any_length(spark, debits, total, bad):
+    rows = [("a", d, "1e0", "000000000000000000000001.50") for d in debits]
+    found = _statement(spark, [*rows, ("TOTAL", total, str(len(debits)), str(1.5 * len(debits)))])
+    if bad == "invalid":
+        assert found == ["s: invalid Debit at row 3"]
+    else:
+        assert found == (["s: TOTAL Debit does not match recomputed sum"] if bad else [])
+
+
+def test_long_totals_against_decimals(spark):
+    """Random amounts of up to 80 digits with cancelling parts, against arithmetic that rounds nothing."""
+    rng = random.Random(8)
+
+    def amount():
+        digits = "".join(rng.choice("0019") for _ in range(rng.choice([1, 9, 18, 27, 80])))
+        text = rng.choice(["", "-"]) + digits + rng.choice(["", ".5", "." + digits, f"e{rng.randint(-40, 40)}"])
+        return text
+
+    rows, want = [], set()
+    with localcontext(prec=400):
+        for i in range(300):
+            own = [amount() for _ in range(rng.randint(0, 6))]
+            own += [a[1:] if a.startswith("-") else "-" + a for a in own if rng.random() < 0.7]
+            total = sum((Decimal(a) for a in own), Decimal(0))
+            shown = total + rng.choice([Decimal(0), Decimal("0.01"), Decimal("-0.01"), Decimal("0.0100000000000000000001"), Decimal("-1e-1")])
+            if abs(total - shown) > Decimal("0.01"):
+                want.add(f"s{i}")
+            rows += [(f"s{i}", n, "a", a, None, None) for n, a in enumerate(own)]
+            rows.append((f"s{i}", len(own), "TOTAL", str(shown), None, ""))
+    df = spark.createDataFrame(rows, "file_key string, row_num bigint, description string, debit string, credit string, net_amount string")
+    got = V.total_violations(df.repartition(4)).collect()
+    assert {r["file_key"] for r in got} == want and {r["rule"] for r in got} == {"total differs"}
+
+
 def test_total_rows(spark):
     assert _statement(spark, [("a", "1", "1", "1")]) == ["s: TOTAL row not found"]
     assert _statement(spark, [("a", "1", "1", "1"), ("TOTAL", "9", "9", "9"), ("TOTAL", "1", "1", "1")]) == ["s: multiple TOTAL rows found"]
