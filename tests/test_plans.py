@@ -11,6 +11,8 @@ ONE_TASK = {
     "quality_counters", "processing_summary", "scorecard", "verdict", "own_statements_verdict", "batch_totals",
     "dry_run_batches", "pii_dictionary", "pii_dictionary_people", "redacted_reference", "located_header",
 }
+# tasks that read byte ranges of files
+FILE_BLOCKS = {"fingerprint", "file_digests", "quoted_records"}
 PYTHON = {"redacted_documents", "redacted_by_join", "redacted_phrases", "redacted_conversations", "redacted_reference"}
 
 
@@ -31,8 +33,8 @@ def test_no_rows_through_one_task(plans):
     assert {n for n, p in plans.items() if "SinglePartition" in p} <= ONE_TASK
 
 
-def test_python_in_redaction_only(plans):
-    assert {n for n, p in plans.items() if re.search("Python|Pandas|Arrow", p)} == PYTHON
+def test_python_in_redaction_and_blocks_of_files_only(plans):
+    assert {n for n, p in plans.items() if re.search("Python|Pandas|Arrow", p)} == PYTHON | FILE_BLOCKS
 
 
 def test_first_rows_are_cut_before_the_shuffle(plans):
