@@ -20,6 +20,7 @@ from costledger.operators.redact import pii_dictionary, redact
 from costledger.operators.reference import check_reference, prepare_reference
 from costledger.session import fit_shuffles, materialise
 from costledger.sinks import tables as sink
+from costledger.sinks.statements import index_statements
 from costledger.sinks.versions import read_table
 from costledger.sources.delimited import read_delimited, read_raw_cells
 from costledger.sources.files import find_file, input_fingerprint, table_names
@@ -130,6 +131,8 @@ def _reconciled(
     sink.write_account_summary(R.account_summary(valid), f"{output}/Spending_by_Account")
     totals = materialise(R.staff_totals(valid, reference), "staff_totals")
     sink.write_statements(R.statements(valid, reference, totals), f"{output}/Statements", folder_per_staff)
+    if not folder_per_staff:
+        index_statements(spark, f"{output}/Statements")
     sink.write_messages(R.messages(totals, letter), f"{output}/Messages")
     sink.write_csv(TX.scorecard(classified), f"{output}/scorecard")
 

@@ -551,6 +551,13 @@ ORACLE: dict[str, str] = {
         "UNION ALL SELECT staff_id, true, NULL, NULL FROM staff_totals)",
         "staff_totals",
     ),
+    "indexed_statement": _sql(
+        "SELECT tr_code, account_name, debit, credit, net_amount, year, month, description, batch_id, first_name, family_name, "
+        "email, staff_id, false AS is_total FROM matched WHERE staff_id = '9021' UNION ALL "
+        "SELECT NULL, NULL, total_debit, total_credit, total_net_spend, NULL, NULL, 'TOTAL', NULL, NULL, NULL, NULL, staff_id, true "
+        "FROM staff_totals WHERE staff_id = '9021'",
+        "staff_totals",
+    ),
     "statements": _sql(
         "SELECT tr_code, account_name, debit, credit, net_amount, year, month, description, batch_id, first_name, family_name, "
         "email, staff_id, false AS is_total FROM matched WHERE staff_id IS NOT NULL UNION ALL "

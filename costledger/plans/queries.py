@@ -24,6 +24,7 @@ from costledger.session import fresh_path, materialise
 from costledger.sinks import tables as sink
 from costledger.sinks.reference import append_reference, read_reference
 from costledger.sinks.reference import stored_codes as repeated_codes
+from costledger.sinks.statements import index_statements, read_statement
 from costledger.sinks.versions import read_table
 from costledger.sources import files as source_files
 from costledger.sources.delimited import read_delimited
@@ -266,6 +267,14 @@ def staff_statement_one(spark, folder):
     return R.staff_statement(_valid(spark, folder), _reference(spark, folder), "9021")
 
 
+def indexed_statement(spark, folder):
+    """The same out of the statements of all staff, with its TOTAL row."""
+    path = fresh_path(spark, "statements")
+    sink.write_statements(R.statements(_valid(spark, folder), _reference(spark, folder)), path)
+    index_statements(spark, path)
+    return read_statement(spark, path, "9021").drop("src_row")
+
+
 def staff_totals(spark, folder):
     return R.staff_totals(_valid(spark, folder), _reference(spark, folder))
 
@@ -479,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "account_summary": account_summary,
     "active_staff": active_staff,
     "staff_statement_one": staff_statement_one,
+    "indexed_statement": indexed_statement,
     "staff_totals": staff_totals,
     "statements": statements,
     "sorted_spenders": sorted_spenders,
