@@ -173,23 +173,33 @@ def total_violations(rows: DataFrame, tolerance: str = TOLERANCE) -> DataFrame:
         is_total.alias("_total"),
         *[X.computed_once(F.when(X.is_blank(c), F.lit("0")).otherwise(N.number_text(c, ""))).alias(c) for c in STATEMENT_AMOUNTS],
     )
-    typed = read.withColumns({c: X.computed_once(N.exact_number(F.col(c))) for c in STATEMENT_AMOUNTS})
+    numbers = read.withColumns({c: X.computed_once(N.exact_number(F.col(c))) for c in STATEMENT_AMOUNTS})
+    # the parsed cells are read by the sums and by the checks of cells, so they are stored
+    typed = materialise(
+        numbers.select(
+            "file_key",
+            "row_num",
+            "_total",
+            *[F.col(c)["d"].cast(N.AMOUNT).alias(c) for c in STATEMENT_AMOUNTS],
+            *[F.when(N.is_amount(F.col(c)), F.col(c)["t"]).alias(f"text_{c}") for c in STATEMENT_AMOUNTS],
+        ),
+        "statement_cells",
+    )
     total_row = F.when(F.col("_total"), F.coalesce("row_num", F.lit(0)).cast("bigint"))
 
     def state(c: str) -> Column:
-        number = F.col(c)
-        return F.when(number["d"].isNotNull(), HELD).when(F.coalesce(N.is_amount(number), F.lit(False)), LONG).otherwise(INVALID)
+        return F.when(F.col(c).isNotNull(), HELD).when(F.col(f"text_{c}").isNotNull(), LONG).otherwise(INVALID)
 
     # single values and not a struct of them: Spark aggregates those by hash, without sorting the rows
     sums = [
         part
         for c in STATEMENT_AMOUNTS
-        for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c)["d"].cast("double")), F.col(c)["d"])
+        for part in N.sum_parts(c, F.when(~F.col("_total"), F.col(c).cast("double")), F.col(c))
     ]
     per_file = typed.groupBy("file_key").agg(
         F.count_if("_total").alias("n_totals"),
         F.max(total_row).alias("last_total"),
-        *[F.max_by(F.when(F.col("_total"), F.col(c)["d"]), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
+        *[F.max_by(F.when(F.col("_total"), F.col(c)), total_row).alias(f"total_{c}") for c in STATEMENT_AMOUNTS],
         *[F.max_by(F.when(F.col("_total"), state(c)), total_row).alias(f"state_{c}") for c in STATEMENT_AMOUNTS],
         *[F.count_if(~F.col("_total") & (state(c) == LONG)).alias(f"n_long_{c}") for c in STATEMENT_AMOUNTS],
         *sums,
@@ -269,7 +279,7 @@ def _with_long_amounts(per_file: DataFrame, cells: DataFrame, any_long: Column,
     of_cells = counted.select(
         "file_key",
         sign.alias("sign"),
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.when(N.is_amount(F.col(c)), F.col(c)["t"]).alias("text")) for c in names])),
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"text_{c}").alias("text")) for c in names])),
     )
     of_others = files.select(
         "file_key",
