@@ -184,11 +184,32 @@ WITH RECURSIVE d AS (
     CASE WHEN abs(p.taken) <= abs(p.left_out) THEN p.taken ELSE p.left_out END + e.high,
     CASE WHEN abs(p.taken) <= abs(p.left_out) THEN p.taken ELSE p.left_out END + e.low
   FROM walk p JOIN edge e ON p.source IS NOT DISTINCT FROM e.source AND e.n = p.n + 1
+), decided AS (
+  SELECT walk.source, walk.stratum, walk.hash, walk.n, budget, abs(taken) <= abs(left_out) AS inclusive,
+    CASE WHEN abs(taken) <= abs(left_out) THEN taken ELSE left_out END AS error,
+    CASE WHEN abs(taken) <= abs(left_out) THEN high ELSE low END AS own
+  FROM walk JOIN edge ON walk.source IS NOT DISTINCT FROM edge.source AND walk.n = edge.n
+), moved AS (
+  -- the budget of a stratum that has to make up for the errors of all others
+  SELECT decided.*, budget - (last_value(error) OVER (PARTITION BY source ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) - own) AS moved_budget
+  FROM decided
+), able AS (
+  SELECT moved.source, min(moved.stratum) AS stratum
+  FROM moved JOIN (SELECT source, stratum, sum(words) AS words FROM x GROUP BY ALL) f ON moved.source IS NOT DISTINCT FROM f.source AND moved.stratum = f.stratum
+  WHERE moved_budget > 0 AND moved_budget <= f.words GROUP BY moved.source
+), bounds AS (
+  SELECT moved.source, moved.stratum, moved.hash, inclusive
+  FROM moved LEFT JOIN able ON moved.source IS NOT DISTINCT FROM able.source AND moved.stratum = able.stratum WHERE able.stratum IS NULL
+  UNION ALL
+  SELECT o.source, o.stratum, o.hash, abs((before + words)::DOUBLE - moved_budget) <= abs(before::DOUBLE - moved_budget)
+  FROM o JOIN able ON o.source IS NOT DISTINCT FROM able.source AND o.stratum = able.stratum
+  JOIN moved ON o.source IS NOT DISTINCT FROM moved.source AND o.stratum = moved.stratum
+  WHERE before < moved_budget AND before + words >= moved_budget
 )
 SELECT d.doc_id, d.size, w.source_size, w.target,
-  (d.size * (w.whole + CASE WHEN d.hash < walk.hash OR (d.hash = walk.hash AND abs(walk.taken) <= abs(walk.left_out)) THEN 1 ELSE 0 END))::BIGINT AS taken
+  (d.size * (w.whole + CASE WHEN d.hash < bounds.hash OR (d.hash = bounds.hash AND inclusive) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN w ON d.source IS NOT DISTINCT FROM w.source
-LEFT JOIN walk ON d.source IS NOT DISTINCT FROM walk.source AND walk.stratum = length(bin(d.size))
+LEFT JOIN bounds ON d.source IS NOT DISTINCT FROM bounds.source AND bounds.stratum = length(bin(d.size))
 """,
     "op4_near_dedup": f"""
 WITH RECURSIVE w AS (

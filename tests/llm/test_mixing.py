@@ -24,10 +24,50 @@ def test_words_come_near_the_targets(spark):
         assert abs(r["sum(taken)"] - r["target"]) <= 20 and r["max(repeats)"] <= 3
 
 
-def test_shares_are_capped_and_shared_again():
-    assert mixing.shares([10, 10, 1000], [1, 2, 3], 3, 1020.0) == [30, 30, 960.0]
-    assert mixing.shares([0, 0], [1, 1], 3, 0.0) == [0, 0]
-    assert mixing.shares([4], [1], 3, 4.0) == [4.0]
+def test_small_documents_make_up_for_large_ones(spark):
+    # by chance of the hash a document of 300 words is far off any budget; documents of one to three words are not
+    rows = [(i, "w " * (300 if i % 50 == 0 else 1 + i % 3), "ab"[i % 3 == 0]) for i in range(6000)]
+    found = mixing.mix(frame(spark, rows)).groupBy("source_size", "target").agg({"taken": "sum"}).collect()
+    assert len(found) == 2
+    for r in found:
+        assert abs(r["sum(taken)"] - r["target"]) <= 2
+
+
+def test_sources_of_the_tables_are_near_their_targets(spark):
+    found = queries.op9_mixing(spark, "/root/testdata/sf0.01").groupBy("source_size", "target").agg({"taken": "sum"}).collect()
+    # half of a document of the smallest stratum that can make up for the others; these have up to some 120 words
+    assert len(found) == 20 and all(abs(r["sum(taken)"] - r["target"]) <= 60 for r in found)
+
+
+def shared(spark, sizes, weights, cap, total):
+    sources = spark.createDataFrame([(i, s, float(w)) for i, (s, w) in enumerate(zip(sizes, weights))], "i int, source_size long, weight double")
+    return [r["target"] for r in mixing.shared(sources, cap, total).orderBy("i").collect()]
+
+
+def plain_shares(sizes, weights, cap, total):
+    """One full source after the other."""
+    full = set()
+    while len(full) < len(sizes):
+        rest = total - sum(cap * sizes[i] for i in full)
+        weight = sum(w for i, w in enumerate(weights) if i not in full)
+        over = [i for i in range(len(sizes)) if i not in full and rest * weights[i] / weight > cap * sizes[i]]
+        if not over:
+            return [cap * s if i in full else rest * weights[i] / weight for i, s in enumerate(sizes)]
+        full.add(min(over, key=lambda i: cap * sizes[i] / weights[i]))
+    return [cap * s for s in sizes]
+
+
+def test_shares_are_capped_and_shared_again(spark):
+    assert shared(spark, [10, 10, 1000], [1, 2, 3], 3, 1020.0) == [30, 30, 960.0]
+    assert shared(spark, [0, 0], [1, 1], 3, 0.0) == [0, 0]
+    assert shared(spark, [4], [1], 3, 4.0) == [4.0]
+    assert shared(spark, [], [], 3, 0.0) == []
+
+
+def test_shares_of_many_sources(spark):
+    sizes = [(i * i * i) % 977 for i in range(3000)]
+    weights = [1 + i % 3 for i in range(3000)]
+    assert shared(spark, sizes, weights, 3, float(sum(sizes))) == pytest.approx(plain_shares(sizes, weights, 3, sum(sizes)))
 
 
 def test_smaller_budgets_take_subsets(spark):
