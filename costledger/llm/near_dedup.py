@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
-1. Each text becomes its set of word shingles (64-bit hashes). Documents with equal sets form a class; only its smallest id goes on. The sketch is
-   the ``K`` smallest hashes of the set.
+1. Each text becomes its set of word shingles (64-bit hashes). Documents with equal sets form a class; one row with its smallest id goes on. The
+   sketch is the ``K`` smallest hashes of the set.
 2. Inverted lists of the sketch values. Two sets with a similarity of 0.8 share at least ``least_shared`` sketch values (the chance of less is below
    1e-6 a pair; sets up to ``K`` are held whole and follow exactly), so they share one of the rarest ``size - least_shared + 1`` values of
    either: only these are listed, which leaves out the values that many documents share. Lists with equal members are read once, lists longer
@@ -14,7 +14,8 @@
 So no step makes rows for all pairs of a group, and no group meets in one task. Texts are read twice; sets are made for members of clusters only.
 
 Defined cases: a NULL text or one without words has an empty set and is linked with nothing; a NULL id is returned with NULL component and kept;
-repeated rows have equal sets; an empty table gives no rows; other columns are ignored.
+repeated rows have equal sets; different texts under one id are a document each, whose links all count; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,10 +43,12 @@ COLUMNS = 8192
 #: Links have a similarity of at least ``PART`` / ``WHOLE``.
 PART, WHOLE = 80, 100
 PAD = np.iinfo(np.int64).max
+#: Name of an added column, which documents do not have: tells apart the texts of one id.
+MARK = "near__mark"
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id``, ``n`` (set size), ``digest`` (of the set, NULL if empty), ``sketch``."""
+    """``doc_id``, ``mark`` (of the text), ``n`` (set size), ``digest`` (of the set, NULL if empty), ``sketch``."""
     import xxhash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,19 +61,25 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             lengths = np.cumsum([0, *map(len, sketches)]).astype(np.int32)
             values = pa.array(np.concatenate(sketches) if sketches else np.zeros(0, dtype=np.int64))
             lists = pa.ListArray.from_arrays(pa.array(lengths), values)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "sketch"])
+            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", MARK, "n", "digest", "sketch"])
 
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n long, digest binary, sketch array<long>"
-    return in_batches(docs.select("doc_id", "text"), run, schema)
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, {MARK} long, n long, digest binary, sketch array<long>"
+    return in_batches(docs.select("doc_id", "text", MARK), run, schema)
 
 
 def classes(signed: DataFrame) -> DataFrame:
-    """``doc_id``, ``n``, ``rep`` (smallest id with the same set), ``sketch`` (of the representative's own row)."""
-    smallest = signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    joined = signed.join(smallest, "digest", "left")
-    sketch = F.when(F.col("doc_id") == F.col("rep"), F.col("sketch")).alias("sketch")
-    return joined.select("doc_id", "n", "rep", sketch)
+    """``doc_id``, ``MARK``, ``n``, ``least`` (smallest id with the same set), ``rep`` (names the set), ``sketch`` (of rows with the smallest id).
+
+    ``rep`` is the smallest id too, but where an id is the smallest of several sets: of these only one is named by it, others by a hash.
+    """
+    smallest = stored(signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least")), "near_smallest")
+    several = smallest.groupBy("least").agg(F.count("*").alias("sets"), F.min("digest").alias("first")).where("sets > 1").select("least", "first")
+    named = smallest.join(several, "least", "left")
+    rep = F.when(F.col("first").isNull() | (F.col("first") == F.col("digest")), F.col("least").cast("long")).otherwise(F.xxhash64("least", "digest"))
+    joined = signed.join(named.select("digest", "least", rep.alias("rep")), "digest", "left")
+    sketch = F.when(F.col("doc_id") == F.col("least"), F.col("sketch")).alias("sketch")
+    return joined.select("doc_id", MARK, "n", "least", "rep", sketch)
 
 
 def posted(reps: DataFrame) -> DataFrame:
@@ -181,20 +190,20 @@ def links_in_cluster(sets: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def linked(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
-    """Edges ``a``, ``b`` (the smaller one) that connect all linked documents of each cluster. ``clusters``: ``rep``, ``n``, ``cluster``.
+    """Edges ``a``, ``b`` (the smaller one) that connect all linked documents of each cluster. ``clusters``: ``rep``, ``least``, ``MARK``, ``n``, ``cluster``.
 
     ``whole`` says that the cluster is one block, so ``b`` is the smallest document of the component already.
     """
     sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("shingles"), F.count("*").alias("documents"))
     members = stored(clusters.join(sizes, "cluster"), "near_members")
-    texts = docs.where("doc_id IS NOT NULL").join(members.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    texts = docs.join(members.select(F.col("least").alias("doc_id"), MARK, "rep"), ["doc_id", MARK])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["rep", "shingles_of"])
 
-    sets = in_batches(texts.select("doc_id", "text"), make, "rep long, shingles_of binary").dropDuplicates(["rep"])
+    sets = in_batches(texts.select("rep", "text"), make, "rep long, shingles_of binary").dropDuplicates(["rep"])
     n_blocks = F.greatest(F.ceil(F.col("shingles") / CLUSTER_BLOCK), F.ceil(F.col("documents") / CLUSTER_DOCUMENTS)).cast("int")
     block = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
     rows = members.join(sets, "rep").withColumns({"blocks": n_blocks, "pair": F.explode(block_pairs(block, n_blocks, inner=False))})
@@ -217,26 +226,43 @@ def linked(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
     return by_groups(rows.select(columns), ["cluster", "i", "j"], run, "a long, b long, whole boolean", 256)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """Per document ``doc_id``, ``n_shingles``, ``component_id``, ``kept``; links have a similarity of ``PART`` / ``WHOLE`` at least."""
-    docs = docs.select("doc_id", "text")
+def grouped(docs: DataFrame, width: int) -> DataFrame:
+    """Per document ``doc_id``, ``MARK``, ``n_shingles``, ``component_id``, ``kept``, ``group`` (names its component, NULL with an empty set)."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias(MARK))
     known = stored(classes(signatures(docs, width)), "near_classes")
-    reps = known.where("sketch IS NOT NULL").select("rep", "n", "sketch").dropDuplicates(["rep"])
+    reps = known.where("sketch IS NOT NULL").select("rep", "least", MARK, "n", "sketch").dropDuplicates(["rep"])
     post = stored(posted(reps), "near_posted")
     clusters = components(candidate_edges(reps, post), "near_clusters")
-    clusters = clusters.join(reps.select("rep", "n"), F.col("node") == F.col("rep")).select("rep", "n", F.col("component").alias("cluster"))
+    clusters = clusters.join(reps.drop("sketch"), F.col("node") == F.col("rep")).select("rep", "least", MARK, "n", F.col("component").alias("cluster"))
     links = stored(linked(docs, clusters, width), "near_links")
     found = components(links.where("NOT whole"), "near_groups").union(links.where("whole").select("a", "b"))
-    joined = known.join(found, F.col("rep") == F.col("node"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    found = stored(found.union(found.select("component", "component")).distinct(), "near_found")
+    # the smallest node of a component names it; its smallest id may be that of another node, as some are hashes
+    ids = found.join(reps.select("rep", "least"), F.col("node") == F.col("rep")).groupBy("component").agg(F.min("least").alias("smallest"))
+    joined = known.join(found.join(ids, "component"), F.col("rep") == F.col("node"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "least", "doc_id"))
     kept = F.coalesce(component == F.col("doc_id"), F.lit(True))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"))
+    group = F.coalesce("component", "rep").alias("group")
+    return joined.select("doc_id", MARK, F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), group)
+
+
+def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
+    """Per document ``doc_id``, ``n_shingles``, ``component_id``, ``kept``; links have a similarity of ``PART`` / ``WHOLE`` at least."""
+    return grouped(docs, width).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def one_of_each(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The documents, with all their columns, that ``near_duplicates`` keeps; of rows with the same id one stays, rows without id all stay."""
-    found = near_duplicates(docs, width).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The documents, with all their columns, that ``near_duplicates`` keeps.
+
+    Of rows with the same id those with different texts stay unless their sets are linked; rows without id all stay.
+    """
+    found = stored(grouped(docs, width).select("doc_id", MARK, "kept", "group"), "near_grouped")
+    marked = docs.withColumn(MARK, F.xxhash64("text"))
+    keys = ["doc_id", MARK]
+    left = marked.join(found.where("NOT kept").select(keys).distinct(), keys, "left_anti")
     repeated = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     once = left.join(repeated, "doc_id", "left_anti")
-    return once.select(*docs.columns).union(left.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    several = found.where("kept").join(repeated, "doc_id", "left_semi")
+    one = several.groupBy("doc_id", F.coalesce("group", MARK).alias("group")).agg(F.min(MARK).alias(MARK)).select(keys).distinct()
+    rest = left.join(one, keys, "left_semi").dropDuplicates(keys)
+    return once.select(*docs.columns).union(rest.select(*docs.columns))

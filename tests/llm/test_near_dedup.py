@@ -146,3 +146,28 @@ def test_estimates_of_held_sets_are_exact():
         row = lambda s: np.concatenate((s, np.full(near_dedup.K - len(s), near_dedup.PAD)))[None, :]
         want = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
         assert near_dedup.estimates(row(a), row(b))[0] == pytest.approx(want)
+
+
+def test_different_texts_under_one_id(spark):
+    first, second = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    near = first + " more"
+    rows = [(5, first), (5, second), (5, second), (7, near), (9, second), (4, second + " x"), (8, "alone here now"), (8, None), (8, ""), (6, first), (6, near)]
+    docs = spark.createDataFrame([(i, t, n, "m") for n, (i, t) in enumerate(rows)], "doc_id long, text string, mark int, component string")
+    found = {(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(docs).collect()}
+    # 60 words have 56 shingles, one more word one more
+    assert found == {
+        (5, 56, 5, True), (7, 57, 5, False), (6, 56, 5, False), (6, 57, 5, False),
+        (5, 56, 4, False), (9, 56, 4, False), (4, 57, 4, True), (8, 1, 8, True), (8, 0, 8, True),
+    }
+    left = near_dedup.one_of_each(docs)
+    assert left.schema == docs.schema
+    kept = sorted((r["doc_id"], r["text"] or "") for r in left.collect())
+    assert kept == sorted([(5, first), (4, second + " x"), (8, "alone here now"), (8, ""), (8, "")])
+
+
+def test_near_texts_under_one_id_leave_one(spark):
+    text = " ".join(f"c{i}" for i in range(80))
+    docs = spark.createDataFrame([(3, text), (3, text + " end"), (3, text), (3, "other words of another text")], "doc_id long, text string")
+    assert {r["component_id"] for r in near_dedup.near_duplicates(docs).collect()} == {3}
+    left = [r["text"] for r in near_dedup.one_of_each(docs).collect()]
+    assert len(left) == 2 and "other words of another text" in left
