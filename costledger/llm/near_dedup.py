@@ -196,17 +196,17 @@ def linked(docs: DataFrame, clusters: DataFrame, width: int) -> DataFrame:
     """
     sizes = clusters.groupBy("cluster").agg(F.sum("n").alias("shingles"), F.count("*").alias("documents"))
     members = stored(clusters.join(sizes, "cluster"), "near_members")
-    texts = docs.join(members.select(F.col("least").alias("doc_id"), MARK, "rep"), ["doc_id", MARK])
+    texts = docs.where("doc_id IS NOT NULL").join(members.select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(1), width)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["rep", "shingles_of"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sets], ["least", MARK, "shingles_of"])
 
-    sets = in_batches(texts.select("rep", "text"), make, "rep long, shingles_of binary").dropDuplicates(["rep"])
+    sets = in_batches(texts.select("doc_id", "text", MARK), make, f"least long, {MARK} long, shingles_of binary").dropDuplicates(["least", MARK])
     n_blocks = F.greatest(F.ceil(F.col("shingles") / CLUSTER_BLOCK), F.ceil(F.col("documents") / CLUSTER_DOCUMENTS)).cast("int")
     block = F.pmod(F.xxhash64("rep"), n_blocks).cast("int")
-    rows = members.join(sets, "rep").withColumns({"blocks": n_blocks, "pair": F.explode(block_pairs(block, n_blocks, inner=False))})
+    rows = members.join(sets, ["least", MARK]).withColumns({"blocks": n_blocks, "pair": F.explode(block_pairs(block, n_blocks, inner=False))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows_, starts in whole_groups(batches, 3):
