@@ -8,11 +8,30 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Texts of a batch that a task holds as Python strings at a time, in bytes.
+PIECE_BYTES = 1 << 20
+
 # Splits a text into maximal runs: words at odd places, the runs between them at even ones, perhaps empty at both
 # ends. Word boundaries are exactly where two runs meet, so a match always covers whole runs.
 _WORDS = re.compile(r"(\w+)")
 
 
+def pieces(texts: Sequence[pa.Array], *others: pa.Array, max_bytes: int = PIECE_BYTES) -> Iterator[tuple[pa.Array, ...]]:
+    """The rows of a batch in order, some at a time with at most ``max_bytes`` of texts, or one row that has more."""
+    sizes = sum(pc.fill_null(pc.binary_length(t), 0).to_numpy(zero_copy_only=False).astype(np.int64) for t in texts)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+        yield tuple(column.slice(start, stop - start) for column in (*texts, *others))
+        start = stop
+
+
 class KeyIndex(NamedTuple):
     """First run of the keys -> numbers of runs of such keys, longest first; and whether one starts with a symbol."""
 

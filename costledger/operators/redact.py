@@ -5,14 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costledger.functions import redaction
 from costledger.functions import text as X
-from costledger.functions.redaction import KeyFilter, KeyIndex, index_keys, key_places, replace_keys, replace_words
+from costledger.functions.redaction import (
+    KeyFilter,
+    KeyIndex,
+    index_keys,
+    key_places,
+    pieces,
+    replace_keys,
+    replace_words,
+)
 from costledger.operators.numbering import number_sorted
 from costledger.schemas import REFERENCE, conform, rename_columns, underscore_headers
 from costledger.session import materialise
@@ -107,25 +116,44 @@ def _key_sizes(dictionary: DataFrame) -> list[int]:
     return sorted(r["n"] for r in both.select(runs.alias("n")).distinct().collect())
 
 
+def _texts_of(columns: list[str]) -> list[Column]:
+    """The text columns and an empty one, as of a single one the batches of a function are no tuples."""
+    return [*[F.col(f"`{c}`") for c in columns], F.lit(None).cast("string")]
+
+
+def _with_texts(df: DataFrame, columns: list[str], texts: Column) -> DataFrame:
+    """``df`` with the text columns out of an array of them: one function for all, so that a task has one Python worker."""
+    name, taken = "_texts", {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    replaced = df.withColumn(name, texts)
+    return replaced.withColumns({c: F.col(name)[i] for i, c in enumerate(columns)}).drop(name)
+
+
 def _redact_small(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> DataFrame:
     rows = dictionary.select("key", "key_lower", "alias").collect()
     aliases = {r["key_lower"]: r["alias"] for r in rows}
     index = index_keys([*aliases, *(r["key"] for r in rows)])
-    shared = df.sparkSession.sparkContext.broadcast((aliases, tuple(index)))
+    # single words are found without the index
+    shared = df.sparkSession.sparkContext.broadcast((aliases, None if index.words_only else tuple(index)))
 
-    @F.pandas_udf("string")
-    def replaced(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def replaced(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         aliases, index = shared.value
-        index = KeyIndex(*index)
-        words_only = index.words_only
+        if index is not None:
+            index = KeyIndex(*index)
+
+        def shown(text: str | None) -> str | None:
+            if text is None:
+                return None
+            return replace_words(text, aliases) if index is None else replace_keys(text, aliases, index)
+
         for batch in batches:
-            if words_only:
-                texts = [None if t is None else replace_words(t, aliases) for t in batch]
-            else:
-                texts = [None if t is None else replace_keys(t, aliases, index) for t in batch]
-            yield pd.Series(texts, dtype=object)
+            for piece in pieces(batch[:-1]):
+                rows = zip(*(texts.to_pylist() for texts in piece))
+                yield pa.array([[shown(t) for t in row] for row in rows], pa.list_(pa.string()))
 
-    return df.withColumns({c: replaced(F.col(f"`{c}`")) for c in columns})
+    return _with_texts(df, columns, replaced(*_texts_of(columns)))
 
 
 def _key_filter(dictionary: DataFrame, n_keys: int) -> tuple[int, dict[int, bytes]]:
@@ -155,14 +183,15 @@ def _key_hits(rows: DataFrame, dictionary: DataFrame, columns: list[str]) -> Dat
     sizes = _key_sizes(dictionary)
     shared = rows.sparkSession.sparkContext.broadcast(_key_filter(dictionary, dictionary.count()))
 
-    @F.pandas_udf("array<string>")
-    def candidates(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def candidates(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         known = KeyFilter(*shared.value)
-        for texts in batches:
-            yield pd.Series([known.candidates(row, sizes) for row in zip(*texts)], dtype=object)
+        for batch in batches:
+            for piece in pieces(batch[:-1]):
+                rows = zip(*(texts.to_pylist() for texts in piece))
+                yield pa.array([known.candidates(row, sizes) for row in rows], pa.list_(pa.string()))
 
-    # two columns at least, as of a single one the batches are no tuples
-    found = candidates(*[F.col(f"`{c}`") for c in columns], F.lit(None).cast("string"))
+    found = candidates(*_texts_of(columns))
     return rows.select("_row", F.explode(found).alias("key_lower"))
 
 
@@ -196,17 +225,19 @@ def _redact_large(df: DataFrame, dictionary: DataFrame, columns: list[str]) -> D
         .toDF("_row", "_spellings", "_keys", "_aliases")
     )
 
-    @F.pandas_udf("string")
-    def replaced(text: pd.Series, spellings: pd.Series, keys: pd.Series, aliases: pd.Series) -> pd.Series:
-        out = []
-        for t, s, k, a in zip(text, spellings, keys, aliases):
-            if t is not None and k is not None:
-                own = dict(zip(k, a))
-                t = replace_keys(t, own, index_keys([*k, *s]))
-            out.append(t)
-        return pd.Series(out, dtype=object)
-
-    redacted = rows.join(hits, "_row", "left").withColumns(
-        {c: replaced(F.col(f"`{c}`"), F.col("_spellings"), F.col("_keys"), F.col("_aliases")) for c in columns}
-    )
+    @F.arrow_udf("array<string>")
+    def replaced(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for *texts, spellings, keys, aliases in batches:
+            for piece in pieces(texts, spellings, keys, aliases):
+                out = []
+                for *row, s, k, a in zip(*(column.to_pylist() for column in piece)):
+                    if k is not None:
+                        own, index = dict(zip(k, a)), index_keys([*k, *s])
+                        row = [None if t is None else replace_keys(t, own, index) for t in row]
+                    out.append(row)
+                yield pa.array(out, pa.list_(pa.string()))
+
+    hit_columns = ["_spellings", "_keys", "_aliases"]
+    joined = rows.join(hits, "_row", "left")
+    redacted = _with_texts(joined, columns, replaced(*[F.col(f"`{c}`") for c in [*columns, *hit_columns]]))
     return redacted.select(*[f"`{c}`" for c in df.columns])

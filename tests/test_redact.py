@@ -1,9 +1,10 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
-from costledger.functions.redaction import KeyFilter, index_keys, replace_keys, replace_words
+from costledger.functions.redaction import KeyFilter, index_keys, pieces, replace_keys, replace_words
 from costledger.operators import redact as R
 from costledger.operators.redact import pii_dictionary, redact
 
@@ -135,3 +136,42 @@ def test_keys_whose_lower_case_has_more_runs(spark, limit):
     dictionary = spark.createDataFrame([("İnci", "İnci".lower(), "R_1", False), ("Öz", "öz", "R_2", False)], "key string, key_lower string, alias string, is_id boolean")
     df = spark.createDataFrame([("İnci Öz phoned",), ("xİnci inci ÖZ",)], "t string")
     assert [r["t"] for r in redact(df, dictionary, max_broadcast_chars=limit).collect()] == ["R_1 R_2 phoned", "xİnci inci R_2"]
+
+
+def test_pieces_hold_all_rows_in_order():
+    texts = pa.array([None, "", "éé", "x" * 50, "a", "b", None, "c" * 9, ""]).slice(1)
+    others = pa.array([None, "x", "é", None, "y", "z", "z", None, None]).slice(1)
+    got = list(pieces([texts, others], texts, max_bytes=10))
+    assert [t for piece in got for t in piece[0].to_pylist()] == texts.to_pylist()
+    assert [t for piece in got for t in piece[1].to_pylist()] == others.to_pylist()
+    assert all(piece[2].equals(piece[0]) for piece in got)
+    sizes = [sum(len(t.encode()) for c in piece[:2] for t in c.to_pylist() if t) for piece in got]
+    assert [n for n in sizes if n > 10] == [50] and len(got) == 4
+    assert list(pieces([texts.slice(0, 0)])) == []
+
+
+def test_a_task_holds_some_texts_of_a_batch_only(spark, monkeypatch):
+    def memory_and_text(text, aliases):
+        with open("/proc/self/statm") as file:
+            return f"{int(file.read().split()[1]) * 4096} {text}"
+
+    monkeypatch.setattr(R, "replace_words", memory_and_text)
+    dictionary = spark.createDataFrame([("Ann", "ann", "R_1")], "key string, key_lower string, alias string")
+    # 20 MB, and 80 MB as Python strings
+    df = spark.range(0, 400, 1, 1).selectExpr("concat(chr(65 + id % 26), '\U0001f600', repeat('x', 50000)) AS t")
+    rows = redact(df, dictionary).selectExpr("cast(split_part(t, ' ', 1) AS bigint) AS used", "length(t) AS n").collect()
+    assert len(rows) == 400 and all(r["n"] > 50_000 for r in rows)
+    assert max(r["used"] for r in rows) - rows[0]["used"] < 40_000_000
+
+
+@pytest.mark.parametrize("limit", [R.MAX_BROADCAST_CHARS, 0])
+def test_one_python_worker_a_task_for_all_columns(spark, people, limit):
+    dictionary = pii_dictionary(people)
+    aliases = {r["key_lower"]: r["alias"] for r in dictionary.collect()}
+    df = spark.createDataFrame([(t, t, i) for i, t in enumerate(TEXTS)], "_texts string, `B.c` string, i int")
+    out = redact(df, dictionary, max_broadcast_chars=limit)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"EvalPython", plan)) == 1
+    assert out.schema == df.schema
+    want = [t and _by_regex(t, aliases) for t in TEXTS]
+    assert [tuple(r) for r in out.orderBy("i").collect()] == [(t, t, i) for i, t in enumerate(want)]
